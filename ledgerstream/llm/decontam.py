@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .winnow import PRIME, gram_hashes, let
+from .winnow import PRIME, gram_hashes, let, window_minima
 
 WINDOW, LEAST_WINDOWS, LEAST_LITERALS = 8, 6, 4
 #: Items' windows are sent to all tasks up to this number of rows (about 100 bytes each), else joined by shuffle.
@@ -88,13 +88,18 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least:
 
     wanted = stored(benchmark_windows(benchmark, window), "benchmark-windows")
     found = stored(candidates(docs, wanted, window, wanted.count() <= BROADCAST_ROWS).where(enough(least)), "leak-candidates")
-    texts = _documents(docs).withColumn("text_hash", F.xxhash64("text")).join(found.select("doc_id", "text_hash").distinct().withColumnsRenamed({"doc_id": "_d", "text_hash": "_h"}), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_hash") == F.col("_h")), "left_semi")
-    tokens = texts.select("doc_id", "text_hash", template(F.col("text"), True).alias("tokens")).withColumn("hashes", window_hashes(F.transform("tokens", _kind), window))
-    rows = tokens.select("doc_id", "text_hash", "tokens", F.posexplode("hashes").alias("pos", "hash")).withColumn("doc_slots", _slots("pos", window)).drop("tokens")
-    joined = rows.join(wanted.withColumnRenamed("slots", "item_slots"), "hash").where(F.size("doc_slots") == F.size("item_slots")).withColumn("pairs", F.expr("transform(arrays_zip(item_slots, doc_slots), x -> struct(x.item_slots as i, x.doc_slots as d))"))
-    # A diagonal has at most one row a window of the item, which bounds the group.
-    grouped = joined.groupBy("doc_id", "text_hash", "item_id", (F.col("pos") - F.col("at")).alias("diagonal"), "n").agg(F.countDistinct("at").alias("n_windows"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
-    return grouped.where(enough(least)).withColumnRenamed("n", "item_windows").withColumn("n_slots", F.size("pairs")).withColumn("n_changed", F.size(F.filter("pairs", lambda x: x.i != x.d))).withColumn("consistent", F.size(F.array_distinct(F.transform("pairs", lambda x: x.i))) == F.size("pairs"))
+    texts = _documents(docs).withColumn("text_hash", F.xxhash64("text")).distinct().withColumnsRenamed({"doc_id": "_d", "text_hash": "_h"})
+    items = benchmark.select("item_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).distinct().select("item_id", template(F.col("text"), True).alias("item")).where(F.size("item") >= window)
+    held = found.join(texts, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_hash") == F.col("_h"))).select("doc_id", "text_hash", "item_id", "diagonal", "n", template(F.col("text"), True).alias("tokens"))
+    # A candidate's passage, of the item's length, beside the item.
+    copy = held.select("doc_id", "text_hash", "item_id", "diagonal", "n", F.expr(f"slice(tokens, greatest(diagonal, 0) + 1, greatest(0, n + {window - 1} + least(diagonal, 0)))").alias("copy"))
+    both = copy.join(items, "item_id").where(F.size("item") == F.col("n") + window - 1).withColumn("item", F.expr("slice(item, greatest(-diagonal, 0) + 1, size(copy))")).withColumn("copy", F.expr("slice(copy, 1, size(item))"))
+    value = lambda t: F.substring_index(t, VALUE, -1)
+    compared = both.withColumn("pairs", F.zip_with("item", "copy", lambda i, d: F.struct(i.alias("i"), d.alias("d"), ((_kind(i) == _kind(d)) | (value(i) == value(d))).alias("same"))))
+    alike = window_minima(F.transform("pairs", lambda p: p.same.cast("int")), window)
+    slots = F.array_distinct(F.transform(F.filter("pairs", lambda p: p.same & F.contains(p.i, F.lit(VALUE)) & F.contains(p.d, F.lit(VALUE))), lambda p: F.struct(p.i.alias("i"), p.d.alias("d"))))
+    counted = compared.select("doc_id", "text_hash", "item_id", "diagonal", "n", F.when(F.size("pairs") < window, 0).otherwise(F.size(F.filter(alike, lambda x: x == 1))).alias("n_windows"), slots.alias("slots"))
+    return counted.where(enough(least)).select("doc_id", "text_hash", "item_id", "diagonal", "n_windows", F.col("n").alias("item_windows"), F.size("slots").alias("n_slots"), F.size(F.filter("slots", lambda x: x.i != x.d)).alias("n_changed"), (F.size(F.array_distinct(F.transform("slots", lambda x: x.i))) == F.size("slots")).alias("consistent"))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least: int = LEAST_WINDOWS) -> DataFrame:
