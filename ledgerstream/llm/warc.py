@@ -9,6 +9,7 @@ folder may be in any store and lost tasks are run again.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import re
 from collections.abc import Iterator
@@ -101,7 +102,12 @@ def write_warc(pages: DataFrame, path: str, segment: int = SEGMENT) -> None:
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
 
     records = pages.select("page_id", "url", "html", "digest", "refers_to", F.monotonically_increasing_id().alias("row")).mapInArrow(run, "record binary")
-    records.select(F.col("record").cast("string")).write.option("lineSep", SEPARATOR).option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    records.select(F.col("record").cast("string")).write.option("lineSep", SEPARATOR).option("maxRecordsPerFile", RECORDS_PER_FILE).option("compression", "gzip").text(path)
+
+
+def unzipped(data) -> bytes:
+    """A file's bytes; RECORDS_PER_FILE and SEGMENT bound them."""
+    return gzip.decompress(data) if bytes(memoryview(data)[:2]) == b"\x1f\x8b" else bytes(data)
 
 
 def parse_records(data: memoryview) -> Iterator[tuple[dict[str, str], memoryview]]:
@@ -164,7 +170,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
             for b in batches:
                 for data in b.column(0):
                     rows, held = [], 0
-                    for h, block in parse_records(memoryview(data.as_buffer())):
+                    for h, block in parse_records(memoryview(unzipped(data.as_buffer()))):
                         if (row := rows_of(h, block)) is not None:
                             rows.append(row)
                             held += len(block)
