@@ -25,7 +25,9 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-LENGTH, GRAM = 100, 32
+LENGTH, GRAM = 100, 24
+#: Anchors are dealt by this many bits of their hash: one that two grams share costs a comparison, no more.
+ANCHOR_BITS = 48
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _TABLE = np.random.default_rng(20240101).integers(0, 2**63, 256, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 PIECE = 1 << 19
@@ -78,13 +80,14 @@ def runs(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.n
         place = (low & _PLACE).astype(np.int64)
         first = np.concatenate(([0], np.flatnonzero(np.diff(place)) + 1))
         last = np.concatenate((first[1:] - 1, [len(place) - 1]))
-        out.append((h[place[first]].view(np.int64), first + at, last + at, place[first] + at))
+        out.append(((h[place[first]] >> np.uint64(64 - ANCHOR_BITS)).view(np.int64), first + at, last + at, place[first] + at))
     if not out:
         return tuple(np.empty(0, np.int64) for _ in range(4))
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
-# A run's place in one long: copy number of the id (for repeated ids), first window. Its shape in another: context bytes, anchor's offset.
+# A run's place in one long: copy number of the id (for repeated ids), first window. Its shape in another: context bytes,
+# anchor's offset; below zero where the run is settled.
 def _pack(a, b, bits):
     return (a << bits) | b
 
@@ -118,8 +121,9 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         itself[order] = (doc[order] == doc[order][head]) & (at[order] == at[order][head])
         keep = ~(moved & itself)  # a row that repeats id and text goes
         # Settled runs need no others any more, so they are dealt evenly.
-        anchor = np.where(moved, _mixed(doc.view(np.uint64) * BASE + at.view(np.uint64)).view(np.int64), anchor)
-        yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (anchor, context, doc, at, shape)] + [pa.array(moved[keep])], names=["anchor", "context", "doc", "at", "shape", "again"])
+        anchor = np.where(moved, (_mixed(doc.view(np.uint64) * BASE + at.view(np.uint64)) >> np.uint64(64 - ANCHOR_BITS)).view(np.int64), anchor)
+        shape = np.where(moved, -shape, shape)
+        yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (anchor, context, doc, at, shape)], names=["anchor", "context", "doc", "at", "shape"])
 
 
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -128,11 +132,11 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     first: tuple | None = None  # (doc, at, shape) of the context at hand
     pending: tuple | None = None  # the first run of an anchor's first context, until another context comes
     for b in batches:
-        cols = [b.column(i).to_numpy(zero_copy_only=False) for i in range(6)]
-        done = cols[5].astype(bool)
+        cols = [b.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
+        done = cols[4] < 0
         if done.any():
             d, p, s = (x[done] for x in cols[2:5])
-            yield pa.RecordBatch.from_arrays([pa.array(d), pa.array(p), pa.array(s), pa.array(np.zeros(len(d), bool)), pa.array(np.zeros(len(d), np.int64))], names=["doc", "at", "shape", "open", "anchor"])
+            yield pa.RecordBatch.from_arrays([pa.array(d), pa.array(p), pa.array(-s), pa.array(np.zeros(len(d), bool)), pa.array(np.zeros(len(d), np.int64))], names=["doc", "at", "shape", "open", "anchor"])
             cols = [x[~done] for x in cols]
         a, c = cols[0], cols[1]
         n = len(a)
@@ -278,7 +282,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     repeated id follow each other in order of their SHA-256. Texts shorter than a window lose nothing.
     """
     rows = _with_copies(docs)
-    scanned = rows.select("doc", "copy", "text").mapInArrow(_scan, "anchor long, context long, doc long, at long, shape long, again boolean")
+    scanned = rows.select("doc", "copy", "text").mapInArrow(_scan, "anchor long, context long, doc long, at long, shape long")
     settled = stored(scanned.repartition("anchor").sortWithinPartitions("anchor", "context", "doc", "at").mapInArrow(_settle, "doc long, at long, shape long, open boolean, anchor long"), "repeats-runs")
     copy = F.shiftright("at", 40).alias("copy")
     # A document's own runs: its length bounds the group.
