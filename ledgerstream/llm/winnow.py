@@ -81,8 +81,8 @@ def likeness(a: Column, b: Column) -> Column:
     return let(shared, lambda s: F.when(F.size(a) + F.size(b) == 0, 1.0).otherwise(s / (F.size(a) + F.size(b) - s)))
 
 
-def with_next(docs: DataFrame, derive, columns: list[str], rows_per_part: int = 20_000) -> DataFrame:
-    """``derive(docs)`` with ``next``, a struct of ``columns`` of the following row by descending (doc_id, text); after the last, the first.
+def with_next(docs: DataFrame, rows_per_part: int = 20_000) -> DataFrame:
+    """``docs (doc_id, text)`` with ``next``, the text of the following row by descending (doc_id, text); after the last, the first.
 
     Ids are cut into ranges at their quantiles, each range is one window, and a copy of the next range's first row stands
     at a range's end. Null ids come last. Only quantiles and one id a range (a thousand ranges at most) reach the driver.
@@ -98,9 +98,9 @@ def with_next(docs: DataFrame, derive, columns: list[str], rows_per_part: int =
     heads = docs.where(F.col("doc_id").isin(ids) | F.col("doc_id").isNull()).groupBy("doc_id").agg(F.max("text").alias("text"))
     at = docs.sparkSession.createDataFrame(pairs, "part int, head long")
     ends = heads.join(F.broadcast(at), F.col("doc_id").eqNullSafe(F.col("head"))).select("doc_id", "text", "part", F.lit(True).alias("end"))
-    rows = derive(keyed.select("doc_id", "text", "part", F.lit(False).alias("end")).unionByName(ends))
+    rows = keyed.select("doc_id", "text", "part", F.lit(False).alias("end")).unionByName(ends)
     order = "order by end, doc_id desc nulls last, text desc nulls last"
-    return rows.withColumn("next", F.expr(f"lead(struct({', '.join(columns)})) over (partition by part {order})")).where("not end").drop("part", "end")
+    return rows.withColumn("next", F.expr(f"lead(text) over (partition by part {order})")).where("not end").drop("part", "end")
 
 
 def fingerprints_and_edits(docs: DataFrame, k: int = K, w: int = W) -> DataFrame:
@@ -111,9 +111,10 @@ def fingerprints_and_edits(docs: DataFrame, k: int = K, w: int = W) -> DataFrame
     ordered by text. A single document is its own next one.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    paired = with_next(rows, lambda x: x.withColumn("prints", fingerprint(F.col("text"), k, w)), ["text", "prints"])
+    # The next document's fingerprints are computed again here: they are larger to shuffle than its text.
+    paired = with_next(rows).withColumn("prints", fingerprint(F.col("text"), k, w)).withColumn("next_prints", fingerprint(F.col("next"), k, w))
     third = "cast(floor(length(text) / 3) as int)"
-    edited = paired.withColumn("n_chars", F.length("text").cast("long")).withColumn("edited", F.expr(f"concat(substring(text, 1, length(text) - {third}), substring(next.text, 1, {third}))"))
+    edited = paired.withColumn("n_chars", F.length("text").cast("long")).withColumn("edited", F.expr(f"concat(substring(text, 1, length(text) - {third}), substring(next, 1, {third}))"))
     edited = edited.withColumn("edited_prints", fingerprint(F.col("edited"), k, w))
-    own, changed, following = hashes(F.col("prints")), hashes(F.col("edited_prints")), hashes(F.col("next.prints"))
+    own, changed, following = hashes(F.col("prints")), hashes(F.col("edited_prints")), hashes(F.col("next_prints"))
     return edited.withColumn("near_edited", let(own, lambda a: let(changed, lambda b: likeness(a, b)))).withColumn("near_next", let(own, lambda a: let(following, lambda b: likeness(a, b)))).select("doc_id", "n_chars", "text", "edited", "prints", "edited_prints", "near_edited", "near_next")
