@@ -12,9 +12,13 @@ the least hash, of equal ones the rightmost.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored
+
 K, W = 4, 4
 TOKENS = r"\p{IsHan}|[\p{L}\p{M}\p{N}]{1,16}"
 PRIME, BASE, HALF = (1 << 31) - 1, 1_000_003, 1 << 32
@@ -81,24 +85,40 @@ def likeness(a: Column, b: Column) -> Column:
     return let(shared, lambda s: F.when(F.size(a) + F.size(b) == 0, 1.0).otherwise(s / (F.size(a) + F.size(b) - s)))
 
 
-def with_next(docs: DataFrame, rows_per_part: int = 20_000) -> DataFrame:
+def _above(bounds: Column) -> Column:
+    """How many of the bounds are greater than doc_id: the number of its range, counted from the highest ids."""
+    return F.size(F.filter(bounds, lambda b: b > F.col("doc_id")))
+
+
+def _in_ranges(docs: DataFrame, rows_per_part: int) -> DataFrame:
+    """``docs`` with ``part``, a range of ids of about ``rows_per_part`` rows, numbered by descending id; null ids come last.
+
+    Ranges are cut at quantiles of the ids, and each again at its own, into 1,000 times 1,000 at most (beyond that many,
+    ranges hold more rows). Only the first level's bounds reach the driver; the second level is written, because
+    approximate quantiles that are computed again may differ.
+    """
+    parts = max(1, -(-docs.count() // rows_per_part))
+    coarse = min(1000, math.isqrt(parts - 1) + 1)
+    fine = min(1000, -(-parts // coarse))
+    quantiles = lambda n: F.percentile_approx("doc_id", [i / n for i in range(1, n)], 100 * n) if n > 1 else F.array().cast("array<bigint>")
+    first = sorted(set(docs.agg(quantiles(coarse)).first()[0] or []))
+    numbered = docs.withColumn("coarse", F.when(F.col("doc_id").isNull(), F.lit(len(first) + 1)).otherwise(_above(F.array(*map(F.lit, first)).cast("array<bigint>"))))
+    second = stored(numbered.select("coarse", "doc_id").groupBy("coarse").agg(F.array_distinct(quantiles(fine)).alias("cuts")), "ranges")
+    part = F.col("coarse") * 1000 + F.coalesce(_above(F.col("cuts")), F.lit(0))
+    return numbered.join(F.broadcast(second), "coarse").withColumn("part", F.when(F.col("doc_id").isNull(), F.col("coarse") * 1000).otherwise(part)).drop("coarse", "cuts")
+
+
+def with_next(docs: DataFrame, rows_per_part: int = 5_000) -> DataFrame:
     """``docs (doc_id, text)`` with ``next``, the text of the following row by descending (doc_id, text); after the last, the first.
 
-    Ids are cut into ranges at their quantiles, each range is one window, and a copy of the next range's first row stands
-    at a range's end. Null ids come last. Only quantiles and one id a range (a thousand ranges at most) reach the driver.
+    Each range of ids is one window, and a copy of the next range's first row stands at a range's end.
     """
-    n = docs.count()
-    parts = min(1000, max(1, -(-n // rows_per_part)))
-    bounds = sorted(set(docs.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], 100 * parts)).first()[0] or []), reverse=True) if parts > 1 else []
-    cut = F.size(F.filter(F.array(*[F.lit(b).cast("long") for b in bounds]), lambda b: b > F.col("doc_id"))) if bounds else F.lit(0)
-    keyed = docs.withColumn("part", F.when(F.col("doc_id").isNull(), F.lit(len(bounds) + 1)).otherwise(cut))
-    firsts = sorted(tuple(r) for r in keyed.groupBy("part").agg(F.max("doc_id")).collect())
-    pairs = [(firsts[i - 1][0], head) for i, (_, head) in enumerate(firsts)]  # the part whose end it stands at; the first's is the last part's
-    ids = [d for _, d in pairs if d is not None]
-    heads = docs.where(F.col("doc_id").isin(ids) | F.col("doc_id").isNull()).groupBy("doc_id").agg(F.max("text").alias("text"))
-    at = docs.sparkSession.createDataFrame(pairs, "part int, head long")
-    ends = heads.join(F.broadcast(at), F.col("doc_id").eqNullSafe(F.col("head"))).select("doc_id", "text", "part", F.lit(True).alias("end"))
-    rows = keyed.select("doc_id", "text", "part", F.lit(False).alias("end")).unionByName(ends)
+    keyed = _in_ranges(docs, rows_per_part).select("doc_id", "text", "part")
+    # One row a range, a million at most, is put in order and broadcast.
+    heads = keyed.groupBy("part").agg(F.max("doc_id").alias("head"))
+    at = heads.selectExpr("head", "coalesce(lag(part) over (order by part), max(part) over ()) as part")
+    ends = docs.join(F.broadcast(at), F.col("doc_id").eqNullSafe(F.col("head"))).groupBy("doc_id", "part").agg(F.max("text").alias("text")).withColumn("end", F.lit(True))
+    rows = keyed.withColumn("end", F.lit(False)).unionByName(ends)
     order = "order by end, doc_id desc nulls last, text desc nulls last"
     return rows.withColumn("next", F.expr(f"lead(text) over (partition by part {order})")).where("not end").drop("part", "end")
 
