@@ -1,21 +1,26 @@
 """Repeated byte strings across documents: every byte that a string of ``length`` bytes covers which starts earlier too.
 
-The dealt method inserts a symbol of each document a round and rewrites the collection's transform each time; its
-rounds are as many as the longest document has bytes, each over all that is stored, which long documents rule out (see
-the README for figures). Instead, equal strings are found by what they must share:
+The dealt method inserts one symbol of each document a round and rewrites the collection's transform and common prefixes
+each time (``columns``). Its rounds are as many as the longest string has bytes, each over all that is stored, so whole
+documents are not one collection (see the README for figures): equal strings are first brought together by what they share,
+and the contexts that share it are a collection of strings of less than 2 * ``length`` bytes.
 
 1. Each window of ``length`` bytes has an anchor, the least of its k-gram hashes (leftmost of equals). Equal windows have
    equal anchors at equal offsets. Neighbouring windows with one anchor are a run; a run's bytes are its context.
 2. Runs are dealt by anchor. Where a whole run was seen earlier, all its bytes go. Where an anchor has several contexts,
-   the first run of each goes on to step 3. Runs that a task sees again are settled before the shuffle.
-3. Their contexts are dealt by anchor, and their windows are compared by offset and hash in order of (document, start).
-4. The spans found are joined with the texts.
+   the first run of each stays open. Runs that a task sees again are settled before the shuffle.
+3. Open runs of an anchor with over ``COLLECTION`` of them are cut into runs of 8 windows that are dealt by the bytes all
+   of these hold, and settled as in 2; what is still so frequent is cut into single windows, which leaves nothing open.
+4. Contexts of open runs are dealt by anchor and put in order column by column; of windows with a common prefix of
+   ``length`` all but the first by (document, start) go.
+5. The spans found are joined with the texts.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .columns import sorted_suffixes
 from .common import stored
 
 LENGTH, GRAM = 100, 24
@@ -31,6 +37,9 @@ ANCHOR_BITS = 48
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _TABLE = np.random.default_rng(20240101).integers(0, 2**63, 256, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 PIECE = 1 << 19
+#: Contexts put in order at once, and open runs of an anchor beyond which they are cut. Bounds memory, not the result.
+COLLECTION = 4_000
+CUTS = (8, 1)
 _PLACE = np.uint64((1 << 20) - 1)
 
 
@@ -170,6 +179,33 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(ats, pa.int64()), pa.array(shapes, pa.int64()), pa.array(opens, pa.bool_()), pa.array(anchors, pa.int64())], names=["doc", "at", "shape", "open", "anchor"])
 
 
+def _cut(step: int):
+    """A document's open runs cut where their windows' anchor offset passes a multiple of ``step``, dealt by common bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        h = xxhash.xxh3_64_intdigest
+        for b in batches:
+            for d, text, want in zip(b.column(0).to_pylist(), b.column(1), b.column(2), strict=True):
+                raw = memoryview(text.as_buffer())
+                out = []
+                for r in want.as_py():
+                    first, size, offset = r["at"] & ((1 << 40) - 1), r["shape"] >> 10, r["shape"] & 1023
+                    last = size - LENGTH
+                    j = 0
+                    while j <= last:
+                        block = (offset - j) // step
+                        end = min(last, offset - block * step)
+                        shape = ((end - j + LENGTH) << 10) | (offset - j)
+                        low = first + offset - block * step
+                        out.append((h(raw[low : low - step + 1 + LENGTH], block), h(raw[first + j : first + end + LENGTH], shape), r["at"] + j, shape))
+                        j = end + 1
+                key, context, at, shape = zip(*out, strict=True)
+                signed = lambda x: pa.array(np.array(x, np.uint64).view(np.int64))
+                yield pa.RecordBatch.from_arrays([signed(key), signed(context), pa.array(np.full(len(at), d, np.int64)), pa.array(at, pa.int64()), pa.array(shape, pa.int64())], names=["anchor", "context", "doc", "at", "shape"])
+
+    return run
+
+
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of a document's open runs."""
     for b in batches:
@@ -181,59 +217,65 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(np.full(len(at), d, np.int64)), pa.array(at), pa.array(shape), pa.array([raw[i : i + n] for i, n in zip(first.tolist(), size.tolist(), strict=True)], pa.binary())], names=["anchor", "doc", "at", "shape", "bytes"])
 
 
-def _compare(batches: Iterator[pa.RecordBatch], rows_at_once: int = 20_000) -> Iterator[pa.RecordBatch]:
-    """Sorted by anchor, doc, at: windows whose like was seen at the same offset from the same anchor become spans."""
-    held: list[pa.RecordBatch] = []
-    n_held = 0
-    before = None
-    seen, seen_anchor = np.empty(0, np.uint64), None  # windows of an anchor that goes on in the next rows
+def _compare(batches: Iterator[pa.RecordBatch], rows_at_once: int = COLLECTION) -> Iterator[pa.RecordBatch]:
+    """Sorted by anchor, doc, at: windows whose like an earlier context of the anchor holds become spans.
+
+    Contexts are a collection whose suffixes are put in order column by column; suffixes with a common prefix of
+    ``LENGTH`` follow each other, and all but the earliest go. Of an anchor that goes on in the next rows, the contexts that
+    hold a window first are taken along.
+    """
+    before: tuple | None = None
+    known: list[bytes] = []
+    known_anchor = None
 
     def work(t: pa.Table) -> pa.RecordBatch:
-        nonlocal seen, seen_anchor
-        nonlocal before
-        anchor, doc, at, shape = (t.column(i).to_numpy() for i in range(4))
+        nonlocal before, known, known_anchor
+        anchor, doc, at = (t.column(i).to_numpy() for i in range(3))
         own = np.stack((anchor, doc, at), axis=1)  # rows that repeat id and text bring the same context again
-        fresh = np.any(own != np.concatenate((own[:1] * 0 - 1 if before is None else before, own[:-1])), axis=1)
-        before = own[-1:]
-        if not fresh.all():
-            t = t.filter(pa.array(fresh))
-            anchor, doc, at, shape = (t.column(i).to_numpy() for i in range(4))
-        raw = t.column(4).combine_chunks()
-        data = np.frombuffer(b"".join(raw.to_pylist()), np.uint8)
-        size, offset = shape >> 10, shape & 1023
-        start = np.concatenate(([0], np.cumsum(size)[:-1]))
-        n = size - LENGTH + 1
-        row = np.repeat(np.arange(len(n)), n)
-        j = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-        h = gram_hashes(data, LENGTH)[start[row] + j]
-        key = _mixed(h ^ _mixed(anchor[row].view(np.uint64) + np.uint64(0x9E3779B97F4A7C15) * (offset[row] - j).astype(np.uint64)))
-        unique, index = np.unique(key, return_index=True)
-        again = np.ones(len(key), bool)
-        again[index] = False
-        if seen_anchor is not None and len(anchor) and anchor[0] == seen_anchor:
-            again |= np.isin(key, seen) & (anchor[row] == seen_anchor)
-        else:
-            seen = np.empty(0, np.uint64)
+        fresh = np.ones(len(own), bool)
+        fresh[1:] = np.any(own[1:] != own[:-1], axis=1)
+        fresh[:1] = before != tuple(own[0].tolist())
+        before = tuple(own[-1].tolist())
+        anchor, doc, at = anchor[fresh], doc[fresh], at[fresh]
+        raw = [x for x, f in zip(t.column(4).to_pylist(), fresh.tolist(), strict=True) if f]
+        if not len(anchor) or anchor[0] != known_anchor:
+            known = known if not len(anchor) else []
+        held = len(known)
+        raw = known + raw
+        size = np.array([len(x) for x in raw], np.int64)
+        start = np.concatenate(([0], np.cumsum(size)[:-1])).astype(np.int64)
+        string, place, common = sorted_suffixes(np.frombuffer(b"".join(raw), np.uint8), start, size)
+        # Windows by value, then by context: contexts are in order of document and start.
+        window = np.flatnonzero(size[string] - place >= LENGTH)
+        value = np.cumsum(common < LENGTH)[window]
+        string, place = string[window], place[window]
+        order = np.lexsort((string, value))
+        again = np.zeros(len(order), bool)
+        again[1:] = np.diff(value[order]) == 0
+        string, place = string[order], place[order]
         if len(anchor):
-            last = key[anchor[row] == anchor[-1]]
-            seen = np.union1d(seen, last) if anchor[-1] == seen_anchor else np.unique(last)
-            seen_anchor = anchor[-1]
-        where = np.flatnonzero(again)
-        if not len(where):
-            return pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 3, names=["doc", "at", "bytes"])
-        cut = np.concatenate(([True], (np.diff(where) != 1) | (np.diff(row[where]) != 0)))
-        lo = where[cut]
-        hi = where[np.concatenate((np.flatnonzero(cut)[1:] - 1, [len(where) - 1]))]
-        return pa.RecordBatch.from_arrays([pa.array(doc[row[lo]]), pa.array(at[row[lo]] + j[lo]), pa.array(hi - lo + LENGTH)], names=["doc", "at", "bytes"])
-
+            first = np.unique(string[~again])
+            known = [raw[i] for i in first.tolist() if (anchor[i - held] if i >= held else known_anchor) == anchor[-1]]
+            known_anchor = anchor[-1]
+        again &= string >= held
+        row, j = string[again] - held, place[again]
+        order = np.lexsort((j, row))
+        row, j = row[order], j[order]
+        cut = np.flatnonzero(np.concatenate((np.ones(min(1, len(row)), bool), (np.diff(j) != 1) | (np.diff(row) != 0))))
+        ends = np.concatenate((cut[1:], [len(row)])).astype(np.int64)[: len(cut)] - 1
+        return pa.RecordBatch.from_arrays([pa.array(doc[row[cut]]), pa.array(at[row[cut]] + j[cut]), pa.array(j[ends] - j[cut] + LENGTH)], names=["doc", "at", "bytes"])
+
+    waiting: list[pa.RecordBatch] = []
+    n = 0
     for b in batches:
-        held.append(b)
-        n_held += b.num_rows
-        if n_held >= rows_at_once:
-            yield work(pa.Table.from_batches(held))
-            held, n_held = [], 0
-    if held:
-        yield work(pa.Table.from_batches(held))
+        for i in range(0, b.num_rows, rows_at_once):
+            waiting.append(b.slice(i, rows_at_once))
+            n += waiting[-1].num_rows
+            if n >= rows_at_once:
+                yield work(pa.Table.from_batches(waiting))
+                waiting, n = [], 0
+    if waiting:
+        yield work(pa.Table.from_batches(waiting))
 
 
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,13 +324,27 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     repeated id follow each other in order of their SHA-256. Texts shorter than a window lose nothing.
     """
     rows = _with_copies(docs)
-    scanned = rows.select("doc", "copy", "text").mapInArrow(_scan, "anchor long, context long, doc long, at long, shape long")
-    settled = stored(scanned.repartition("anchor").sortWithinPartitions("anchor", "context", "doc", "at").mapInArrow(_settle, "doc long, at long, shape long, open boolean, anchor long"), "repeats-runs")
     copy = F.shiftright("at", 40).alias("copy")
-    # A document's own runs: its length bounds the group.
-    wanted = settled.where("open").groupBy("doc", copy).agg(F.collect_list(F.struct("at", "shape", "anchor")).alias("runs"))
-    contexts = rows.join(wanted, ["doc", "copy"]).select("doc", "text", "runs").mapInArrow(_contexts, "anchor long, doc long, at long, shape long, bytes binary")
+
+    def settle(runs: DataFrame) -> DataFrame:
+        return stored(runs.repartition("anchor").sortWithinPartitions("anchor", "context", "doc", "at").mapInArrow(_settle, "doc long, at long, shape long, open boolean, anchor long"), "repeats-runs")
+
+    def with_text(runs: DataFrame) -> DataFrame:
+        # A document's own runs: its length bounds the group.
+        wanted = runs.groupBy("doc", copy).agg(F.collect_list(F.struct("at", "shape", "anchor")).alias("runs"))
+        return rows.join(wanted, ["doc", "copy"]).select("doc", "text", "runs")
+
+    settled = settle(rows.select("doc", "copy", "text").mapInArrow(_scan, "anchor long, context long, doc long, at long, shape long"))
+    done, still, few = settled.where("not open"), settled.where("open"), []
+    for step in CUTS:
+        hot = stored(still.groupBy("anchor").count().where(F.col("count") > COLLECTION).select("anchor"), "repeats-hot")
+        if hot.isEmpty():
+            break
+        few.append(still.join(hot, "anchor", "left_anti").select(*settled.columns))
+        again = settle(with_text(still.join(hot, "anchor", "left_semi")).mapInArrow(_cut(step), "anchor long, context long, doc long, at long, shape long"))
+        done, still = done.union(again.where("not open")), again.where("open")
+    contexts = with_text(reduce(DataFrame.union, few, still)).mapInArrow(_contexts, "anchor long, doc long, at long, shape long, bytes binary")
     compared = contexts.repartition("anchor").sortWithinPartitions("anchor", "doc", "at").mapInArrow(_compare, "doc long, at long, bytes long")
-    spans = settled.where("not open").select("doc", "at", F.shiftright("shape", 10).alias("bytes")).union(compared)
+    spans = done.select("doc", "at", F.shiftright("shape", 10).alias("bytes")).union(compared)
     by_doc = spans.groupBy("doc", copy).agg(F.collect_list(F.struct("at", "bytes")).alias("spans"))
     return rows.join(by_doc, ["doc", "copy"], "left").select("doc_id", "text", "spans").mapInArrow(_apply, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")

@@ -7,12 +7,14 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 pytest.importorskip("ledgerstream.llm")
 from ledgerstream.llm import decontam, quality, repeats, secrets, sentencepiece, simhash, tokenbin, warc, winnow, wrappers  # noqa: E402
+from ledgerstream.llm.columns import sorted_suffixes  # noqa: E402
 from ledgerstream.llm.common import connected_components  # noqa: E402
 from ledgerstream.llm.queries import tokenizer_file  # noqa: E402
 
@@ -266,3 +268,43 @@ def test_repeats(spark, docs, empty, monkeypatch):
     data = np.frombuffer((LONG[:3000] * 2).encode(), np.uint8)
     _, first, last, _ = repeats.runs(data)
     assert first[0] == 0 and last[-1] == len(data) - 100 and (first[1:] == last[:-1] + 1).all()
+
+
+def test_sorted_suffixes():
+    r = np.random.default_rng(4)
+    for _ in range(60):
+        strings = [bytes(r.integers(97, 98 + r.integers(1, 4), r.integers(0, 12)).astype(np.uint8)) for _ in range(r.integers(1, 9))]
+        size = np.array([len(s) for s in strings])
+        string, place, common = sorted_suffixes(np.frombuffer(b"".join(strings), np.uint8), np.cumsum(size) - size, size)
+        got = [strings[i][j:] for i, j in zip(string, place, strict=True)]
+        assert got == sorted(s[i:] for s in strings for i in range(len(s) + 1))
+        assert len(set(zip(string.tolist(), place.tolist(), strict=True))) == len(got)
+        prefix = lambda a, b: next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+        assert common.tolist() == [0, *(prefix(a, b) for a, b in zip(got, got[1:], strict=False))]
+    assert all(len(x) == 0 for x in sorted_suffixes(np.empty(0, np.uint8), np.empty(0, np.int64), np.empty(0, np.int64)))
+
+
+def test_collections_in_parts():
+    """Contexts of one anchor in many collections give the spans that one collection gives."""
+    core = text(40).encode()[:120]
+    contexts = [bytes(rng.choice(b"xyz") for _ in range(i % 7)) + core[i % 5 : 110 + i % 9] for i in range(40)]
+    schema = ["anchor", "doc", "at", "shape", "bytes"]
+    rows = [(5, i, 0, len(c) << 10, c) for i, c in enumerate(contexts) if len(c) >= 100]
+    rows = rows[:9] + [rows[8]] + rows[9:] + [(6, 99, 3, 100 << 10, b"q" * 100)]
+    batch = pa.RecordBatch.from_arrays([pa.array(list(x)) for x in zip(*rows, strict=True)], names=schema)
+    found = [sorted(x for b in repeats._compare(iter([batch]), n) for x in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True)) for n in (1, 3, 1000)]
+    seen, want = set(), set()
+    for _, d, at, _, c in dict.fromkeys(rows):
+        for i in range(len(c) - 99):
+            if c[i : i + 100] in seen:
+                want.add((d, at + i))
+            seen.add(c[i : i + 100])
+    assert found[0] == found[1] == found[2] and {(d, i) for d, at, n in found[2] for i in range(at, at + n - 99)} == want
+
+
+def test_frequent_anchors_are_cut(spark, monkeypatch):
+    core = text(60)
+    rows = [(i, text(3) + " " + core[i % 40 : 170 + i % 60] + " " + text(3)) for i in range(60)]
+    monkeypatch.setattr(repeats, "COLLECTION", 3)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    assert {d: tuple(r)[1:5] for d, r in by_id(repeats.remove_repeats(df)).items()} == brute_repeats(rows)
