@@ -332,7 +332,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     def with_text(runs: DataFrame) -> DataFrame:
         # A document's own runs: its length bounds the group.
         wanted = runs.groupBy("doc", copy).agg(F.collect_list(F.struct("at", "shape", "anchor")).alias("runs"))
-        return rows.join(wanted, ["doc", "copy"]).select("doc", "text", "runs")
+        # The same columns and the same kind of join as at the end, so that both read one shuffle of the texts.
+        return rows.join(wanted.hint("merge"), ["doc", "copy"]).select("doc", "text", "runs", "doc_id")
 
     settled = settle(rows.select("doc", "copy", "text").mapInArrow(_scan, "anchor long, context long, doc long, at long, shape long"))
     done, still, few = settled.where("not open"), settled.where("open"), []
@@ -347,4 +348,4 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     compared = contexts.repartition("anchor").sortWithinPartitions("anchor", "doc", "at").mapInArrow(_compare, "doc long, at long, bytes long")
     spans = done.select("doc", "at", F.shiftright("shape", 10).alias("bytes")).union(compared)
     by_doc = spans.groupBy("doc", copy).agg(F.collect_list(F.struct("at", "bytes")).alias("spans"))
-    return rows.join(by_doc, ["doc", "copy"], "left").select("doc_id", "text", "spans").mapInArrow(_apply, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
+    return rows.join(by_doc.hint("merge"), ["doc", "copy"], "left").select("doc_id", "text", "spans").mapInArrow(_apply, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
