@@ -313,7 +313,10 @@ def _with_copies(docs: DataFrame) -> DataFrame:
         return rows.withColumn("copy", F.lit(0).cast("long"))
     texts = rows.select("doc", F.sha2("text", 256).alias("sha")).distinct()
     many = texts.groupBy("doc").count().where("count > 1").select("doc")
-    numbered = texts.join(many, "doc").selectExpr("doc", "sha", "cast(row_number() over (partition by doc order by sha) - 1 as bigint) as copy")
+    # Written, so that its size is known: where few ids have several texts, numbering them does not shuffle the texts.
+    numbered = stored(texts.join(many, "doc").selectExpr("doc", "sha", "cast(row_number() over (partition by doc order by sha) - 1 as bigint) as copy"), "repeats-copies")
+    if numbered.isEmpty():
+        return rows.withColumn("copy", F.lit(0).cast("long"))
     return stored(rows.withColumn("sha", F.sha2("text", 256)).join(numbered, ["doc", "sha"], "left").withColumn("copy", F.coalesce("copy", F.lit(0).cast("long"))).drop("sha"), "repeats-docs")
 
 
