@@ -22,14 +22,15 @@ NUMBER, NAME, UNIT, VALUE = "ⓝ", "ⓐ", "ⓤ", "§"
 SEPARATORS = r"[^\p{L}\p{M}\p{So}§0-9]+"
 
 
-def template(text: Column, values: bool = False) -> Column:
-    """The tokens of a text: lower-cased words and placeholders; with ``values`` a placeholder is followed by § and its value.
+def template(text: Column) -> Column:
+    """The tokens of a text: lower-cased words and placeholders, each followed by § and its value.
 
-    Numbers are runs of digits, so 12.5 is two.
+    Numbers are runs of digits, so 12.5 is two. Documents and items are cut by this one rule, so positions agree; signs of
+    the text itself that are reserved for placeholders are left out.
     """
-    of = (lambda kind, group: f" {kind}{VALUE}${group} ") if values else (lambda kind, group: f" {kind} ")
+    of = lambda kind, group: f" {kind}{VALUE}${group} "
     units = "|".join(sorted(set(UNITS.split()), key=lambda u: (-len(u), u)))
-    clean = F.regexp_replace(text, f"[{NUMBER}{NAME}{UNIT}{VALUE}]", " ") if values else text
+    clean = F.regexp_replace(text, f"[{NUMBER}{NAME}{UNIT}{NUMBER.upper()}{NAME.upper()}{UNIT.upper()}{VALUE}]", " ")
     named = F.regexp_replace(clean, r"(?<=[\p{L}\p{N},;)] )(\p{Lu}\p{Ll}+)(?![\p{L}\p{N}])", of(NAME, 1).strip())
     with_units = F.regexp_replace(named, rf"(?i)(?<![\p{{L}}\p{{Nd}}])(\p{{Nd}}+)\s?({units})(?![\p{{L}}\p{{N}}])", of(NUMBER, 1) + of(UNIT, 2))
     numbered = F.regexp_replace(with_units, rf"(?<![{VALUE}\p{{Nd}}])(\p{{Nd}}+)", of(NUMBER, 1))
@@ -57,7 +58,7 @@ def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     An item's first word may be a name where a document quotes it inside a sentence, so its first window counts both
     ways. ``n`` is the number of the item's windows. Items of fewer tokens than a window have none.
     """
-    items = benchmark.select("item_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).distinct().withColumn("tokens", template(F.col("text"), True)).withColumn("n", F.size("tokens") - (window - 1))
+    items = benchmark.select("item_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).distinct().withColumn("tokens", template(F.col("text"))).withColumn("n", F.size("tokens") - (window - 1))
     again = items.where(r"text rlike '^\\s*\\p{Lu}\\p{Ll}' and n > 0").withColumn("tokens", F.expr(f"transform(slice(tokens, 1, {window}), (t, i) -> if(i = 0, '{NAME}{VALUE}' || t, t))"))
     rows = items.unionByName(again).select("item_id", "n", "tokens", F.posexplode(window_hashes(F.transform("tokens", _kind), window)).alias("at", "hash"))
     return rows.withColumn("slots", _slots("at", window)).where(F.size("slots") <= window - LEAST_LITERALS).select("item_id", "at", "hash", "n", "slots").distinct()
@@ -69,7 +70,7 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 def candidates(docs: DataFrame, wanted: DataFrame, window: int, small: bool) -> DataFrame:
     """``doc_id, text_hash, item_id, diagonal`` of all template matches that are long enough, slots not yet looked at."""
-    found = _documents(docs).select("doc_id", F.xxhash64("text").alias("text_hash"), template(F.col("text")).alias("tokens")).select("doc_id", "text_hash", F.posexplode(window_hashes(F.col("tokens"), window)).alias("pos", "hash"))
+    found = _documents(docs).select("doc_id", F.xxhash64("text").alias("text_hash"), F.transform(template(F.col("text")), _kind).alias("tokens")).select("doc_id", "text_hash", F.posexplode(window_hashes(F.col("tokens"), window)).alias("pos", "hash"))
     items = wanted.select("hash", "item_id", "at", "n").distinct()
     joined = found.join(F.broadcast(items) if small else items, "hash")
     return joined.groupBy("doc_id", "text_hash", "item_id", (F.col("pos") - F.col("at")).alias("diagonal"), "n").agg(F.countDistinct("at").alias("n_windows"))
@@ -89,8 +90,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least:
     wanted = stored(benchmark_windows(benchmark, window), "benchmark-windows")
     found = stored(candidates(docs, wanted, window, wanted.count() <= BROADCAST_ROWS).where(enough(least)), "leak-candidates")
     texts = _documents(docs).withColumn("text_hash", F.xxhash64("text")).distinct().withColumnsRenamed({"doc_id": "_d", "text_hash": "_h"})
-    items = benchmark.select("item_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).distinct().select("item_id", template(F.col("text"), True).alias("item")).where(F.size("item") >= window)
-    held = found.join(texts, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_hash") == F.col("_h"))).select("doc_id", "text_hash", "item_id", "diagonal", "n", template(F.col("text"), True).alias("tokens"))
+    items = benchmark.select("item_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).distinct().select("item_id", template(F.col("text")).alias("item")).where(F.size("item") >= window)
+    held = found.join(texts, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_hash") == F.col("_h"))).select("doc_id", "text_hash", "item_id", "diagonal", "n", template(F.col("text")).alias("tokens"))
     # A candidate's passage, of the item's length, beside the item.
     copy = held.select("doc_id", "text_hash", "item_id", "diagonal", "n", F.expr(f"slice(tokens, greatest(diagonal, 0) + 1, greatest(0, n + {window - 1} + least(diagonal, 0)))").alias("copy"))
     both = copy.join(items, "item_id").where(F.size("item") == F.col("n") + window - 1).withColumn("item", F.expr("slice(item, greatest(-diagonal, 0) + 1, size(copy))")).withColumn("copy", F.expr("slice(copy, 1, size(item))"))

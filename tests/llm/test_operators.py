@@ -244,6 +244,17 @@ def test_leaks(spark, docs, empty):
     assert decontam.leaks(empty, bench).count() == 0 and decontam.leaks(docs, bench.limit(0)).count() == 0
 
 
+def leak_pairs(spark, items, texts):
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    return {(r.doc_id, r.item_id) for r in decontam.leaks(spark.createDataFrame(list(enumerate(texts)), SCHEMA), bench).collect()}
+
+
+def test_leaks_after_reserved_signs(spark):
+    items = [PASSAGE, "A field of 5 km2 lies beside the old river where the two brothers kept 12 sheep and a dog"]
+    before = ["\u00a7 5 of the law. ", "\u24dd \u24d0 \u24ca \u24c3 so ", "an area of 7 km2 and 3 m2, ", ""]
+    assert leak_pairs(spark, items, [b + i for i in items for b in before]) == {(k, k // 4) for k in range(8)}
+
+
 def brute_repeats(rows):
     seen, out = set(), {}
     for d, x in rows:
