@@ -97,9 +97,15 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least:
     both = copy.join(items, "item_id").where(F.size("item") == F.col("n") + window - 1).withColumn("item", F.expr("slice(item, greatest(-diagonal, 0) + 1, size(copy))")).withColumn("copy", F.expr("slice(copy, 1, size(item))"))
     value = lambda t: F.substring_index(t, VALUE, -1)
     compared = both.withColumn("pairs", F.zip_with("item", "copy", lambda i, d: F.struct(i.alias("i"), d.alias("d"), ((_kind(i) == _kind(d)) | (value(i) == value(d))).alias("same"))))
-    alike = window_minima(F.transform("pairs", lambda p: p.same.cast("int")), window)
-    slots = F.array_distinct(F.transform(F.filter("pairs", lambda p: p.same & F.contains(p.i, F.lit(VALUE)) & F.contains(p.d, F.lit(VALUE))), lambda p: F.struct(p.i.alias("i"), p.d.alias("d"))))
-    counted = compared.select("doc_id", "text_hash", "item_id", "diagonal", "n", F.when(F.size("pairs") < window, 0).otherwise(F.size(F.filter(alike, lambda x: x == 1))).alias("n_windows"), slots.alias("slots"))
+    alike = F.when(F.size("pairs") < window, F.array().cast("array<int>")).otherwise(window_minima(F.transform("pairs", lambda p: p.same.cast("int")), window))
+
+    def in_windows(w: Column) -> Column:
+        """The number of matching windows, and the slots of the pairs inside of them: what stands beside is another text's."""
+        inside = lambda j: F.exists(F.slice(w, F.greatest(j - (window - 1), F.lit(0)) + 1, F.least(j + 1, F.lit(window))), lambda x: x == 1)
+        pairs = F.filter("pairs", lambda p, j: F.contains(p.i, F.lit(VALUE)) & F.contains(p.d, F.lit(VALUE)) & inside(j))
+        return F.struct(F.size(F.filter(w, lambda x: x == 1)).alias("n_windows"), F.array_distinct(F.transform(pairs, lambda p: F.struct(p.i.alias("i"), p.d.alias("d")))).alias("slots"))
+
+    counted = compared.select("doc_id", "text_hash", "item_id", "diagonal", "n", let(alike, in_windows).alias("m")).select("doc_id", "text_hash", "item_id", "diagonal", "n", "m.*")
     return counted.where(enough(least)).select("doc_id", "text_hash", "item_id", "diagonal", "n_windows", F.col("n").alias("item_windows"), F.size("slots").alias("n_slots"), F.size(F.filter("slots", lambda x: x.i != x.d)).alias("n_changed"), (F.size(F.array_distinct(F.transform("slots", lambda x: x.i))) == F.size("slots")).alias("consistent"))
 
 

@@ -255,6 +255,14 @@ def test_leaks_after_reserved_signs(spark):
     assert leak_pairs(spark, items, [b + i for i in items for b in before]) == {(k, k // 4) for k in range(8)}
 
 
+def test_leaks_of_partial_quotations(spark):
+    words = PASSAGE.split()
+    item = " ".join([*words[:3], "12", *words[3:12], "12", *words[12:19], *words[20:24], "12", *words[24:40]])
+    quoted = " ".join(item.split()[:21])
+    other = text(4) + " 7 " + text(20)
+    assert leak_pairs(spark, [item], [quoted + " " + other, quoted.replace("12", "13") + " " + other, quoted.replace("12", "13", 1) + " " + other]) == {(0, 0), (1, 0)}
+
+
 def brute_repeats(rows):
     seen, out = set(), {}
     for d, x in rows:
