@@ -4,6 +4,9 @@ Numbers, names (capitalised words inside a sentence) and units after a number be
 are slots. Windows of template tokens of the documents are hash-joined with those of the benchmark's items. Matches on
 one diagonal (document position less item position) are one copy of the item; its slots must be consistent, each item
 value always replaced by one and the same value, which tells a re-parameterised question from a chance likeness.
+
+Windows of mostly placeholders say too little as templates, and items shorter than a window have no template window;
+these are joined by their literal tokens in the same pass, so their verbatim copies are found.
 """
 
 from __future__ import annotations
@@ -11,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .winnow import PRIME, gram_hashes, let, window_minima
+from .winnow import BASE, PRIME, gram_hashes, let
 
 WINDOW, LEAST_WINDOWS, LEAST_LITERALS = 8, 6, 4
 #: Items' windows are sent to all tasks up to this number of rows (about 100 bytes each), else joined by shuffle.
@@ -44,24 +47,65 @@ def _kind(token: Column) -> Column:
     return F.substring_index(token, VALUE, 1)
 
 
-def window_hashes(tokens: Column, window: int) -> Column:
-    return gram_hashes(F.transform(tokens, lambda t: F.xxhash64(t).bitwiseAND(F.lit(PRIME))), window)
+def run_hashes(h: Column, k: int) -> Column:
+    """``gram_hashes`` for any ``k``."""
+    m = 1 << (k.bit_length() - 1)
+    if m == k:
+        return gram_hashes(h, k)
+    n = F.greatest(F.size(h) - (k - 1), F.lit(0))
+    return F.zip_with(F.slice(gram_hashes(h, m), 1, n), F.slice(run_hashes(h, k - m), F.lit(m + 1), n), lambda a, b: (a * F.lit(pow(BASE, k - m, PRIME)) + b) % F.lit(PRIME))
+
+
+def _literal(token: Column) -> Column:
+    return F.substring_index(token, VALUE, -1)
+
+
+def _hashed(tokens: Column, form) -> Column:
+    return F.transform(tokens, lambda t: F.xxhash64(form(t)).bitwiseAND(F.lit(PRIME)))
+
+
+def keys(tokens: Column, window: int, lengths: list[int]) -> Column:
+    """Hashes of all template windows, then of all runs of each length of literal tokens, its length above 32 bits."""
+    tagged = lambda h, k: F.transform(run_hashes(h, k), lambda x: x + F.lit(k << 32))
+    literal = lambda h: F.concat(*[tagged(h, k) for k in lengths])
+    template_hashes = gram_hashes(_hashed(tokens, _kind), window)
+    return F.concat(template_hashes, let(_hashed(tokens, _literal), literal)) if lengths else template_hashes
+
+
+def _at(place: Column, length: Column, size: Column, window: int, lengths: list[int]) -> Column:
+    """The token at which the hash at ``place`` of ``keys`` starts, in a text of ``size`` tokens."""
+    before = F.greatest(size - (window - 1), F.lit(0))
+    start = F.lit(0)
+    for k in lengths:
+        start = F.when(length == k, before).otherwise(start)
+        before = before + F.greatest(size - (k - 1), F.lit(0))
+    return place - start
 
 
-def _slots(at: str, window: int) -> Column:
-    return F.expr(f"transform(filter(slice(tokens, {at} + 1, {window}), t -> contains(t, '{VALUE}')), t -> substring_index(t, '{VALUE}', -1))")
+def _items(benchmark: DataFrame) -> DataFrame:
+    """``item_id, text, tokens, size, n``: the size in tokens and the number of windows; an item shorter than a window is one."""
+    items = benchmark.select("item_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).distinct()
+    return items.withColumn("tokens", template(F.col("text"))).withColumn("size", F.size("tokens")).where("size > 0")
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``item_id, at, hash, n, slots`` for each window of each item that has enough words besides placeholders.
+    """``item_id, at, hash, length, size, n`` for each window of each item: of its template where it has enough words
+    besides placeholders, else (``length`` > 0) of its literal tokens; an item shorter than a window is one literal run.
 
     An item's first word may be a name where a document quotes it inside a sentence, so its first window counts both
-    ways. ``n`` is the number of the item's windows. Items of fewer tokens than a window have none.
+    ways. ``n`` is the number of the item's windows.
     """
-    items = benchmark.select("item_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).distinct().withColumn("tokens", template(F.col("text"))).withColumn("n", F.size("tokens") - (window - 1))
-    again = items.where(r"text rlike '^\\s*\\p{Lu}\\p{Ll}' and n > 0").withColumn("tokens", F.expr(f"transform(slice(tokens, 1, {window}), (t, i) -> if(i = 0, '{NAME}{VALUE}' || t, t))"))
-    rows = items.unionByName(again).select("item_id", "n", "tokens", F.posexplode(window_hashes(F.transform("tokens", _kind), window)).alias("at", "hash"))
-    return rows.withColumn("slots", _slots("at", window)).where(F.size("slots") <= window - LEAST_LITERALS).select("item_id", "at", "hash", "n", "slots").distinct()
+    items = _items(benchmark).withColumn("n", F.greatest(F.lit(1), F.col("size") - (window - 1)))
+    long = items.where(F.col("size") >= window)
+    again = long.where(r"text rlike '^\\s*\\p{Lu}\\p{Ll}'").withColumn("tokens", F.expr(f"transform(slice(tokens, 1, {window}), (t, i) -> if(i = 0, '{NAME}{VALUE}' || t, t))"))
+    rows = long.unionByName(again).select("item_id", "size", "n", "tokens", F.posexplode(let(F.col("tokens"), lambda t: keys(t, window, [window]))).alias("place", "hash"), F.size("tokens").alias("held"))
+    length = F.shiftright("hash", 32).cast("int")
+    rows = rows.withColumn("at", _at(F.col("place"), length, F.col("held"), window, [window]))
+    few = F.expr(f"size(filter(slice(tokens, at + 1, {window}), t -> contains(t, '{VALUE}')))") <= window - LEAST_LITERALS
+    whole = F.coalesce(*[F.when(F.col("size") == k, let(run_hashes(_hashed(F.col("tokens"), _literal), k), lambda h: h[0]) + F.lit(k << 32)) for k in range(1, window)])
+    short = items.where(F.col("size") < window).select("item_id", F.lit(0).alias("at"), whole.alias("hash"), "size", "n")
+    found = rows.where(few == (length == 0)).select("item_id", "at", "hash", "size", "n").unionByName(short)
+    return found.distinct().withColumn("length", length)
 
 
 def _documents(docs: DataFrame) -> DataFrame:
@@ -69,11 +113,13 @@ def _documents(docs: DataFrame) -> DataFrame:
 
 
 def candidates(docs: DataFrame, wanted: DataFrame, window: int, small: bool) -> DataFrame:
-    """``doc_id, text_hash, item_id, diagonal`` of all template matches that are long enough, slots not yet looked at."""
-    found = _documents(docs).select("doc_id", F.xxhash64("text").alias("text_hash"), F.transform(template(F.col("text")), _kind).alias("tokens")).select("doc_id", "text_hash", F.posexplode(window_hashes(F.col("tokens"), window)).alias("pos", "hash"))
-    items = wanted.select("hash", "item_id", "at", "n").distinct()
-    joined = found.join(F.broadcast(items) if small else items, "hash")
-    return joined.groupBy("doc_id", "text_hash", "item_id", (F.col("pos") - F.col("at")).alias("diagonal"), "n").agg(F.countDistinct("at").alias("n_windows"))
+    """``doc_id, text_hash, item_id, diagonal, size, n`` of all matches that are long enough, slots not yet looked at."""
+    lengths = sorted(r[0] for r in wanted.select("length").where("length > 0").distinct().collect())  # at most ``window`` rows
+    cut = let(template(F.col("text")), lambda t: F.struct(F.size(t).alias("held"), keys(t, window, lengths).alias("hashes")))
+    found = _documents(docs).select("doc_id", F.xxhash64("text").alias("text_hash"), cut.alias("cut")).select("doc_id", "text_hash", F.col("cut.held").alias("held"), F.posexplode("cut.hashes").alias("place", "hash"))
+    items = wanted.select("hash", "length", "item_id", "at", "size", "n")
+    joined = found.join(F.broadcast(items) if small else items, "hash").withColumn("pos", _at(F.col("place"), F.col("length"), F.col("held"), window, lengths))
+    return joined.groupBy("doc_id", "text_hash", "item_id", (F.col("pos") - F.col("at")).alias("diagonal"), "size", "n").agg(F.countDistinct("at").alias("n_windows"))
 
 
 def enough(least: int) -> Column:
@@ -83,21 +129,25 @@ def enough(least: int) -> Column:
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least: int = LEAST_WINDOWS) -> DataFrame:
     """Copies of items in documents, consistent or not: one row per (doc_id, text_hash, item_id, diagonal).
 
-    Templates find the copies over all documents; slot values are then read from the documents that have one.
+    Hashes find the copies over all documents; tokens are then compared in the documents that have one.
     """
     from .common import stored
 
     wanted = stored(benchmark_windows(benchmark, window), "benchmark-windows")
     found = stored(candidates(docs, wanted, window, wanted.count() <= BROADCAST_ROWS).where(enough(least)), "leak-candidates")
     texts = _documents(docs).withColumn("text_hash", F.xxhash64("text")).distinct().withColumnsRenamed({"doc_id": "_d", "text_hash": "_h"})
-    items = benchmark.select("item_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).distinct().select("item_id", template(F.col("text")).alias("item")).where(F.size("item") >= window)
-    held = found.join(texts, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_hash") == F.col("_h"))).select("doc_id", "text_hash", "item_id", "diagonal", "n", template(F.col("text")).alias("tokens"))
+    items = _items(benchmark).select("item_id", F.col("tokens").alias("item"))
+    held = found.join(texts, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_hash") == F.col("_h"))).select("doc_id", "text_hash", "item_id", "diagonal", "size", "n", template(F.col("text")).alias("tokens"))
     # A candidate's passage, of the item's length, beside the item.
-    copy = held.select("doc_id", "text_hash", "item_id", "diagonal", "n", F.expr(f"slice(tokens, greatest(diagonal, 0) + 1, greatest(0, n + {window - 1} + least(diagonal, 0)))").alias("copy"))
-    both = copy.join(items, "item_id").where(F.size("item") == F.col("n") + window - 1).withColumn("item", F.expr("slice(item, greatest(-diagonal, 0) + 1, size(copy))")).withColumn("copy", F.expr("slice(copy, 1, size(item))"))
-    value = lambda t: F.substring_index(t, VALUE, -1)
-    compared = both.withColumn("pairs", F.zip_with("item", "copy", lambda i, d: F.struct(i.alias("i"), d.alias("d"), ((_kind(i) == _kind(d)) | (value(i) == value(d))).alias("same"))))
-    alike = F.when(F.size("pairs") < window, F.array().cast("array<int>")).otherwise(window_minima(F.transform("pairs", lambda p: p.same.cast("int")), window))
+    copy = held.select("doc_id", "text_hash", "item_id", "diagonal", "size", "n", F.expr("slice(tokens, greatest(diagonal, 0) + 1, greatest(0, size + least(diagonal, 0)))").alias("copy"))
+    both = copy.join(items, "item_id").where(F.size("item") == F.col("size")).withColumn("item", F.expr("slice(item, greatest(-diagonal, 0) + 1, size(copy))")).withColumn("copy", F.expr("slice(copy, 1, size(item))"))
+    compared = both.withColumn("pairs", F.zip_with("item", "copy", lambda i, d: F.struct(i.alias("i"), d.alias("d"), (_literal(i) == _literal(d)).alias("equal"), ((_kind(i) == _kind(d)) | (_literal(i) == _literal(d))).alias("same"))))
+    few = lambda ps: F.size(F.filter(ps, lambda p: F.contains(p.i, F.lit(VALUE)))) <= window - LEAST_LITERALS
+    equal = lambda ps: F.forall(ps, lambda p: p.equal)
+    alike = lambda ps: (equal(ps) | (few(ps) & F.forall(ps, lambda p: p.same))).cast("int")
+    windows = F.transform(F.sequence(F.lit(1), F.size("pairs") - (window - 1)), lambda i: let(F.slice("pairs", i, F.lit(window)), alike))
+    whole = F.array(((F.size("pairs") == F.col("size")) & equal(F.col("pairs"))).cast("int"))
+    alike_windows = F.when(F.col("size") < window, whole).when(F.size("pairs") >= window, windows).otherwise(F.array().cast("array<int>"))
 
     def in_windows(w: Column) -> Column:
         """The number of matching windows, and the slots of the pairs inside of them: what stands beside is another text's."""
@@ -105,7 +155,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least:
         pairs = F.filter("pairs", lambda p, j: F.contains(p.i, F.lit(VALUE)) & F.contains(p.d, F.lit(VALUE)) & inside(j))
         return F.struct(F.size(F.filter(w, lambda x: x == 1)).alias("n_windows"), F.array_distinct(F.transform(pairs, lambda p: F.struct(p.i.alias("i"), p.d.alias("d")))).alias("slots"))
 
-    counted = compared.select("doc_id", "text_hash", "item_id", "diagonal", "n", let(alike, in_windows).alias("m")).select("doc_id", "text_hash", "item_id", "diagonal", "n", "m.*")
+    counted = compared.select("doc_id", "text_hash", "item_id", "diagonal", "n", let(alike_windows, in_windows).alias("m")).select("doc_id", "text_hash", "item_id", "diagonal", "n", "m.*")
     return counted.where(enough(least)).select("doc_id", "text_hash", "item_id", "diagonal", "n_windows", F.col("n").alias("item_windows"), F.size("slots").alias("n_slots"), F.size(F.filter("slots", lambda x: x.i != x.d)).alias("n_changed"), (F.size(F.array_distinct(F.transform("slots", lambda x: x.i))) == F.size("slots")).alias("consistent"))
 
 
@@ -113,7 +163,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least: in
     """``doc_id, text_hash, item_id, n_windows, item_windows, n_slots, n_changed``: documents that hold a benchmark item.
 
     A copy counts if its slots are consistent and it matches ``least`` windows (13 tokens in a row or more), or six
-    tenths of a shorter item's windows. Of several copies in a document the fullest is reported, of equals the one with
+    tenths of a shorter item's windows. An item of fewer tokens than a window, even of one, counts where all its tokens
+    stand literally in a row. Of several copies in a document the fullest is reported, of equals the one with
     fewest changed slots. Null and empty texts and items hold nothing; repeated rows are one; null ids stay.
     """
     kept = matches(docs, benchmark, window, least).where("consistent")

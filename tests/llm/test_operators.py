@@ -263,6 +263,13 @@ def test_leaks_of_partial_quotations(spark):
     assert leak_pairs(spark, [item], [quoted + " " + other, quoted.replace("12", "13") + " " + other, quoted.replace("12", "13", 1) + " " + other]) == {(0, 0), (1, 0)}
 
 
+def test_leaks_of_short_items_and_many_slots(spark):
+    items = ["Evaluate 12 + 34 - 56 * 78 + 90 / 15 - 21 + 43", "The question is from The Great Book Of Old Tales And Rare Poems By Many Hands", "What is the capital city of France", "Zanzibar", "Is 17 prime"]
+    texts = [f"{text(9)}, so {i}, {text(9)}" for i in items]
+    other = [items[0].replace("34", "35").replace("90", "91"), items[1].replace("Great", "Small").replace("Tales", "Songs"), items[2].replace("France", "Spain"), "zanzibars", items[4].replace("17", "19"), "is 17 a prime"]
+    assert leak_pairs(spark, items, texts + items + other) == {(k, k % 5) for k in range(10)}
+
+
 def brute_repeats(rows):
     seen, out = set(), {}
     for d, x in rows:
