@@ -114,7 +114,12 @@ def parse_records(data: memoryview) -> Iterator[tuple[dict[str, str], memoryview
     """Headers (lower-case names) and block of each record; lengths come from Content-Length alone."""
     at = 0
     while at < len(data):
-        end = bytes(data[at : at + (16 << 10)]).find(b"\r\n\r\n")
+        end, span = -1, 16 << 10
+        while end < 0:  # a header is as long as its url
+            end = bytes(data[at : at + span]).find(b"\r\n\r\n")
+            if at + span >= len(data):
+                break
+            span *= 4
         if end < 0 or bytes(data[at : at + 5]) != b"WARC/":
             raise ValueError(f"no record at byte {at}")
         head = bytes(data[at : at + end]).decode("utf-8").split("\r\n")

@@ -187,6 +187,12 @@ def test_warc(spark):
     assert warc.archive(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_warc_of_long_urls(spark):
+    rows = [(i, f"http://a/{c * 100_000}", f"<p>{i}</p>" * n) for i, (c, n) in enumerate([("x", 3), ("\u00fc", 3), ("y", 20_000), ("z", 20_000)])]
+    out = warc.archive(spark.createDataFrame(rows + [(9, "u", rows[3][2])], "page_id long, url string, html string")).collect()
+    assert {r.page_id: (r.url, r.payload_bytes, r.problem) for r in out if r.page_id != 9} == {i: (u, len(h), None) for i, u, h in rows} and len(out) == 5
+
+
 def test_winnowing(spark, docs, empty):
     prime, base, half = winnow.PRIME, winnow.BASE, winnow.HALF
     h = lambda s: xxhash.xxh64_intdigest(s.encode(), 42) & prime
