@@ -1,14 +1,16 @@
 """Repeated byte strings across documents: every byte that a string of ``length`` bytes covers which starts earlier too.
 
 The dealt method inserts one symbol of each document a round and rewrites the collection's transform and common prefixes
-each time (``columns``). Its rounds are as many as the longest string has bytes, each over all that is stored, so whole
-documents are not one collection (see the README for figures): equal strings are first brought together by what they share,
-and the contexts that share it are a collection of strings of less than 2 * ``length`` bytes.
+each time. Its rounds are as many as the longest string has bytes, each over all that is stored, so whole documents are not
+one collection (see the README for figures): strings that can be equal are first brought together by what they share, their
+anchor, and the contexts of an anchor are a collection of strings of less than 2 * ``length`` bytes, aligned at it
+(``columns``). A context that occurs several times is one string of its collection, with several places.
 
 1. Each window of ``length`` bytes has an anchor, the least of its k-gram hashes (leftmost of equals). Equal windows have
    equal anchors at equal offsets. Neighbouring windows with one anchor are a run; a run's bytes are its context.
-2. Runs are dealt by anchor. Where a whole run was seen earlier, all its bytes go. Where an anchor has several contexts,
-   the first run of each stays open. Runs that a task sees again are settled before the shuffle.
+2. Runs are dealt by anchor. Of a context's places, all but the first go whole. Where an anchor has several contexts,
+   the first place of each stays open; a single context has nothing to be compared with. What a task sees again is
+   taken out before the shuffle.
 3. Open runs of an anchor with over ``COLLECTION`` of them are cut into runs of 8 windows that are dealt by the bytes all
    of these hold, and settled as in 2; what is still so frequent is cut into single windows, which leaves nothing open.
 4. Contexts of open runs are dealt by anchor and put in order column by column; of windows with a common prefix of
@@ -28,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .columns import sorted_suffixes
+from .columns import repeated_windows
 from .common import stored
 
 LENGTH, GRAM = 100, 24
@@ -37,8 +39,9 @@ ANCHOR_BITS = 48
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _TABLE = np.random.default_rng(20240101).integers(0, 2**63, 256, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 PIECE = 1 << 19
-#: Contexts put in order at once, and open runs of an anchor beyond which they are cut. Bounds memory, not the result.
-COLLECTION = 4_000
+#: Contexts put in order at once (whole anchors, so up to ``COLLECTION`` more), and open runs of an anchor beyond which
+#: they are cut. Both bound memory, not the result.
+AT_ONCE, COLLECTION = 16_000, 4_000
 CUTS = (8, 1)
 _PLACE = np.uint64((1 << 20) - 1)
 
@@ -217,63 +220,52 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(np.full(len(at), d, np.int64)), pa.array(at), pa.array(shape), pa.array([raw[i : i + n] for i, n in zip(first.tolist(), size.tolist(), strict=True)], pa.binary())], names=["anchor", "doc", "at", "shape", "bytes"])
 
 
-def _compare(batches: Iterator[pa.RecordBatch], rows_at_once: int = COLLECTION) -> Iterator[pa.RecordBatch]:
+def _compare(batches: Iterator[pa.RecordBatch], rows_at_once: int = AT_ONCE) -> Iterator[pa.RecordBatch]:
     """Sorted by anchor, doc, at: windows whose like an earlier context of the anchor holds become spans.
 
-    Contexts are a collection whose suffixes are put in order column by column; suffixes with a common prefix of
-    ``LENGTH`` follow each other, and all but the earliest go. Of an anchor that goes on in the next rows, the contexts that
-    hold a window first are taken along.
+    The contexts of some whole anchors are a collection, put in order column by column; suffixes with a common prefix of
+    ``LENGTH`` follow each other, and all but the earliest go.
     """
-    before: tuple | None = None
-    known: list[bytes] = []
-    known_anchor = None
 
     def work(t: pa.Table) -> pa.RecordBatch:
-        nonlocal before, known, known_anchor
-        anchor, doc, at = (t.column(i).to_numpy() for i in range(3))
-        own = np.stack((anchor, doc, at), axis=1)  # rows that repeat id and text bring the same context again
-        fresh = np.ones(len(own), bool)
-        fresh[1:] = np.any(own[1:] != own[:-1], axis=1)
-        fresh[:1] = before != tuple(own[0].tolist())
-        before = tuple(own[-1].tolist())
-        anchor, doc, at = anchor[fresh], doc[fresh], at[fresh]
-        raw = [x for x, f in zip(t.column(4).to_pylist(), fresh.tolist(), strict=True) if f]
-        if not len(anchor) or anchor[0] != known_anchor:
-            known = known if not len(anchor) else []
-        held = len(known)
-        raw = known + raw
-        size = np.array([len(x) for x in raw], np.int64)
-        start = np.concatenate(([0], np.cumsum(size)[:-1])).astype(np.int64)
-        string, place, common = sorted_suffixes(np.frombuffer(b"".join(raw), np.uint8), start, size)
-        # Windows by value, then by context: contexts are in order of document and start.
-        window = np.flatnonzero(size[string] - place >= LENGTH)
-        value = np.cumsum(common < LENGTH)[window]
-        string, place = string[window], place[window]
-        order = np.lexsort((string, value))
-        again = np.zeros(len(order), bool)
-        again[1:] = np.diff(value[order]) == 0
-        string, place = string[order], place[order]
-        if len(anchor):
-            first = np.unique(string[~again])
-            known = [raw[i] for i in first.tolist() if (anchor[i - held] if i >= held else known_anchor) == anchor[-1]]
-            known_anchor = anchor[-1]
-        again &= string >= held
-        row, j = string[again] - held, place[again]
-        order = np.lexsort((j, row))
-        row, j = row[order], j[order]
-        cut = np.flatnonzero(np.concatenate((np.ones(min(1, len(row)), bool), (np.diff(j) != 1) | (np.diff(row) != 0))))
-        ends = np.concatenate((cut[1:], [len(row)])).astype(np.int64)[: len(cut)] - 1
-        return pa.RecordBatch.from_arrays([pa.array(doc[row[cut]]), pa.array(at[row[cut]] + j[cut]), pa.array(j[ends] - j[cut] + LENGTH)], names=["doc", "at", "bytes"])
+        t = t.combine_chunks()
+        anchor, doc, at, shape = (t.column(i).to_numpy() for i in range(4))
+        # Rows that repeat id and text bring the same context again.
+        fresh = np.ones(len(anchor), bool)
+        fresh[1:] = (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1]) | (at[1:] != at[:-1])
+        held = t.column(4).chunk(0)
+        start = np.frombuffer(held.buffers()[1], np.int32)[held.offset : held.offset + len(held)].astype(np.int64)
+        data = np.frombuffer(held.buffers()[2], np.uint8)
+        anchor, doc, at, shape, start = (x[fresh] for x in (anchor, doc, at, shape, start))
+        lead, size = shape & 1023, shape >> 10
+        group = np.cumsum(np.concatenate(([False], anchor[1:] != anchor[:-1])))
+        again = repeated_windows(data, start, lead, size, group.astype(np.uint16 if group[-1] < 1 << 16 else np.int64), LENGTH)
+        # Neighbouring windows are one span.
+        edge = np.diff(np.pad(again, ((0, 0), (1, 1))).astype(np.int8), axis=1)
+        row, first = np.nonzero(edge == 1)
+        last = np.nonzero(edge == -1)[1] - 1
+        return pa.RecordBatch.from_arrays([pa.array(doc[row]), pa.array(at[row] + first - (again.shape[1] - 1) + lead[row]), pa.array(last - first + LENGTH)], names=["doc", "at", "bytes"])
 
     waiting: list[pa.RecordBatch] = []
     n = 0
     for b in batches:
-        for i in range(0, b.num_rows, rows_at_once):
-            waiting.append(b.slice(i, rows_at_once))
-            n += waiting[-1].num_rows
-            if n >= rows_at_once:
-                yield work(pa.Table.from_batches(waiting))
-                waiting, n = [], 0
+        if not b.num_rows:
+            continue
+        anchor = b.column(0).to_numpy()
+        while n + b.num_rows > rows_at_once:
+            # The next anchor's first row, where the collection may end.
+            begins = np.flatnonzero(anchor[1:] != anchor[:-1]) + 1
+            if n and anchor[0] != waiting[-1].column(0)[-1].as_py():
+                begins = np.concatenate(([0], begins))
+            begins = begins[begins >= rows_at_once - n]
+            if not len(begins):
+                break
+            waiting.append(b.slice(0, int(begins[0])))
+            yield work(pa.Table.from_batches(waiting))
+            waiting, n = [], 0
+            b, anchor = b.slice(int(begins[0])), anchor[int(begins[0]) :]
+        waiting.append(b)
+        n += b.num_rows
     if waiting:
         yield work(pa.Table.from_batches(waiting))
 

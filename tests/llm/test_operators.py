@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 pytest.importorskip("ledgerstream.llm")
 from ledgerstream.llm import decontam, quality, repeats, secrets, sentencepiece, simhash, tokenbin, warc, winnow, wrappers  # noqa: E402
-from ledgerstream.llm.columns import sorted_suffixes  # noqa: E402
+from ledgerstream.llm.columns import columns, repeated_windows  # noqa: E402
 from ledgerstream.llm.common import connected_components  # noqa: E402
 from ledgerstream.llm.queries import tokenizer_file  # noqa: E402
 
@@ -302,36 +302,44 @@ def test_repeats(spark, docs, empty, monkeypatch):
     assert first[0] == 0 and last[-1] == len(data) - 100 and (first[1:] == last[:-1] + 1).all()
 
 
-def test_sorted_suffixes():
+def test_columns_of_aligned_strings():
     r = np.random.default_rng(4)
+    prefix = lambda a, b: next((k for k, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
     for _ in range(60):
-        strings = [bytes(r.integers(97, 98 + r.integers(1, 4), r.integers(0, 12)).astype(np.uint8)) for _ in range(r.integers(1, 9))]
-        size = np.array([len(s) for s in strings])
-        string, place, common = sorted_suffixes(np.frombuffer(b"".join(strings), np.uint8), np.cumsum(size) - size, size)
-        got = [strings[i][j:] for i, j in zip(string, place, strict=True)]
-        assert got == sorted(s[i:] for s in strings for i in range(len(s) + 1))
-        assert len(set(zip(string.tolist(), place.tolist(), strict=True))) == len(got)
-        prefix = lambda a, b: next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
-        assert common.tolist() == [0, *(prefix(a, b) for a, b in zip(got, got[1:], strict=False))]
-    assert all(len(x) == 0 for x in sorted_suffixes(np.empty(0, np.uint8), np.empty(0, np.int64), np.empty(0, np.int64)))
+        strings = [bytes(r.integers(97, 98 + r.integers(1, 4), r.integers(1, 12)).astype(np.uint8)) for _ in range(r.integers(1, 9))]
+        size = np.array([len(x) for x in strings])
+        lead = np.array([r.integers(0, n) for n in size])
+        group = r.integers(0, 2, len(strings)).astype(np.uint16)
+        args = np.frombuffer(b"".join(strings), np.uint8), np.cumsum(size) - size, lead, size, group
+        for c, order, common in columns(*args, 5):
+            got = [(int(group[i]), strings[i][lead[i] + c :]) for i in order]
+            assert got == sorted(got) and sorted(order.tolist()) == [i for i, n in enumerate(size) if 0 <= lead[i] + c < n]
+            assert common.tolist() == [0, *(min(5, prefix(a[1], b[1])) if a[0] == b[0] else 0 for a, b in zip(got, got[1:], strict=False))]
+        again, far = repeated_windows(*args, 3), int(lead.max())
+        window = lambda i, j: strings[i][lead[i] + j - far :][:3] if lead[i] + j - far >= 0 else b""
+        want = [[len(window(i, j)) == 3 and any(group[h] == group[i] and window(h, j) == window(i, j) for h in range(i)) for j in range(far + 1)] for i in range(len(strings))]
+        assert again.tolist() == want
 
 
 def test_collections_in_parts():
-    """Contexts of one anchor in many collections give the spans that one collection gives."""
-    core = text(40).encode()[:120]
-    contexts = [bytes(rng.choice(b"xyz") for _ in range(i % 7)) + core[i % 5 : 110 + i % 9] for i in range(40)]
-    schema = ["anchor", "doc", "at", "shape", "bytes"]
-    rows = [(5, i, 0, len(c) << 10, c) for i, c in enumerate(contexts) if len(c) >= 100]
-    rows = rows[:9] + [rows[8]] + rows[9:] + [(6, 99, 3, 100 << 10, b"q" * 100)]
-    batch = pa.RecordBatch.from_arrays([pa.array(list(x)) for x in zip(*rows, strict=True)], names=schema)
-    found = [sorted(x for b in repeats._compare(iter([batch]), n) for x in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True)) for n in (1, 3, 1000)]
+    """Contexts of many anchors in small collections give the spans that one collection gives."""
+    cores = [text(40).encode()[:120] for _ in range(7)]
+    rows = []
+    for i in range(60):
+        core, left, right = cores[i % 7], bytes(rng.choice(b"xyz") for _ in range(i % 5)), bytes(rng.choice(b"xyz") for _ in range(i % 3))
+        cut = i % 4
+        rows.append((i % 7, i, 7, (len(left + core[cut:] + right) << 10) | (len(left) + 40 - cut), left + core[cut:] + right))
+    rows.sort()
+    rows = [x for r in rows for x in ([r, r] if r[1] % 9 == 0 else [r])] + [(9, 99, 3, 100 << 10, b"q" * 100)]
+    parts = [pa.RecordBatch.from_arrays([pa.array(list(x)) for x in zip(*rows[i : i + 11], strict=True)], names=["anchor", "doc", "at", "shape", "bytes"]) for i in range(0, len(rows), 11)]
+    found = [sorted(x for b in repeats._compare(iter(parts), n) for x in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True)) for n in (1, 3, 20, 1000)]
     seen, want = set(), set()
     for _, d, at, _, c in dict.fromkeys(rows):
         for i in range(len(c) - 99):
             if c[i : i + 100] in seen:
                 want.add((d, at + i))
             seen.add(c[i : i + 100])
-    assert found[0] == found[1] == found[2] and {(d, i) for d, at, n in found[2] for i in range(at, at + n - 99)} == want
+    assert all(f == found[0] for f in found) and {(d, i) for d, at, n in found[0] for i in range(at, at + n - 99)} == want
 
 
 def test_frequent_anchors_are_cut(spark, monkeypatch):
