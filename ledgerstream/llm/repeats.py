@@ -42,6 +42,8 @@ PIECE = 1 << 19
 #: Contexts put in order at once (whole anchors, so up to ``COLLECTION`` more), and open runs of an anchor beyond which
 #: they are cut. Both bound memory, not the result.
 AT_ONCE, COLLECTION = 16_000, 4_000
+#: Runs to be cut are sent to the texts up to this number (24 bytes each), beyond it the texts are shuffled to them.
+SENT_RUNS = 300_000
 CUTS = (8, 1)
 _PLACE = np.uint64((1 << 20) - 1)
 
@@ -324,11 +326,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     def settle(runs: DataFrame) -> DataFrame:
         return stored(runs.repartition("anchor").sortWithinPartitions("anchor", "context", "doc", "at").mapInArrow(_settle, "doc long, at long, shape long, open boolean, anchor long"), "repeats-runs")
 
-    def with_text(runs: DataFrame) -> DataFrame:
+    def with_text(runs: DataFrame, how: str = "merge") -> DataFrame:
         # A document's own runs: its length bounds the group.
         wanted = runs.groupBy("doc", copy).agg(F.collect_list(F.struct("at", "shape", "anchor")).alias("runs"))
         # The same columns and the same kind of join as at the end, so that both read one shuffle of the texts.
-        return rows.join(wanted.hint("merge"), ["doc", "copy"]).select("doc", "text", "runs", "doc_id")
+        return rows.join(wanted.hint(how), ["doc", "copy"]).select("doc", "text", "runs", "doc_id")
 
     settled = settle(rows.select("doc", "copy", "text").mapInArrow(_scan, "anchor long, context long, doc long, at long, shape long"))
     done, still, few = settled.where("not open"), settled.where("open"), []
@@ -337,7 +339,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         if hot.isEmpty():
             break
         few.append(still.join(hot, "anchor", "left_anti").select(*settled.columns))
-        again = settle(with_text(still.join(hot, "anchor", "left_semi")).mapInArrow(_cut(step), "anchor long, context long, doc long, at long, shape long"))
+        frequent = still.join(hot, "anchor", "left_semi")
+        how = "broadcast" if frequent.count() <= SENT_RUNS else "merge"
+        again = settle(with_text(frequent, how).mapInArrow(_cut(step), "anchor long, context long, doc long, at long, shape long"))
         done, still = done.union(again.where("not open")), again.where("open")
     contexts = with_text(reduce(DataFrame.union, few, still)).mapInArrow(_contexts, "anchor long, doc long, at long, shape long, bytes binary")
     compared = contexts.repartition("anchor").sortWithinPartitions("anchor", "doc", "at").mapInArrow(_compare, "doc long, at long, bytes long")
