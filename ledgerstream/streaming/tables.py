@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
+_scratch: dict[str, list[str]] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -17,18 +20,33 @@ def shared_root(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     app = spark.sparkContext.applicationId
-    return "file://" + _own.setdefault(app, _own.get(app) or tempfile.mkdtemp(prefix="spark-ledgerstream-"))
+    if app not in _own:
+        _own[app] = tempfile.mkdtemp(prefix="spark-ledgerstream-")
+        atexit.register(shutil.rmtree, _own[app], True)
+    return "file://" + _own[app]
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: cuts the lineage and survives lost executors."""
     path = f"{shared_root(df.sparkSession)}/ledgerstream-{uuid.uuid4().hex[:12]}/{name}"
     df.write.parquet(path)
+    _scratch.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+def scratch_made(spark: SparkSession) -> int:
+    """How many scratch tables ``stored`` has made so far, for ``discard_scratch``."""
+    return len(_scratch.get(spark.sparkContext.applicationId, []))
+
+
+def discard_scratch(spark: SparkSession, since: int, until: int | None = None) -> None:
+    """Delete the scratch tables made between two counts, once nothing reads them any more."""
+    made = _scratch.get(spark.sparkContext.applicationId, [])
+    for i, path in enumerate(made[since:until], since):
+        if path:
+            p = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+            made[i] = ""
 
 
 def newest_before(spark: SparkSession, path: str, batch_id: int) -> str | None:
