@@ -1,49 +1,33 @@
-"""Shared helpers: scratch tables, text preparation, connected components."""
+"""Shared helpers: scratch paths, column names, connected components."""
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_own_roots: dict[str, str] = {}
-
-
-def shared_root(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; a temporary folder only where that is unset in local mode."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    app = spark.sparkContext.applicationId
-    if app not in _own_roots:
-        _own_roots[app] = tempfile.mkdtemp(prefix="spark-ledgerstream-")
-        atexit.register(shutil.rmtree, _own_roots[app], True)
-    return "file://" + _own_roots[app]
+from ..streaming.tables import shared_root, stored
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/ledgerstream-{uuid.uuid4().hex[:12]}/{name}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts the lineage and survives lost executors."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or a like name that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def connected_components(edges: DataFrame, name: str = "components", max_rounds: int = 60) -> DataFrame:
-    """Components of undirected ``edges (u long, v long)`` as ``(node, root)``, root the least node reachable.
+    """Components of undirected ``edges (u, v)`` of any type that can be ordered, as ``(node, root)``, root the least node reachable.
 
     Alternating large-star and small-star rounds; each round is written to the shared folder. Nodes without an
     edge to another node are absent. Minima are aggregated map-side before each shuffle and joined back, so a hub

@@ -1,15 +1,19 @@
-"""SimHash fingerprints and exact near-duplicate groups by vantage-point trees over Hamming distance.
-
-Sharding. Cut 64 bits into ``radius + 1`` bands: two fingerprints within ``radius`` bits agree wholly on one band at
-least, so each fingerprint goes to one shard a band and no pair is lost. A shard with more than ``SHARD`` distinct
-fingerprints is cut again by rings of Hamming distance to two vantage points; a fingerprint nearer than ``radius`` to
-a ring's edge goes to both rings, which by the triangle inequality keeps every pair within ``radius`` together.
-Inside a shard a vantage-point tree is joined with itself; branches whose distance intervals lie further apart than
-``radius`` are pruned, and leaves are compared bit by bit, so the pairs are exact. A shard returns a star for each of
-its groups, not all its pairs, so a group of k fingerprints costs k rows.
-
-Equal fingerprints are one row before any of this, so copies cost nothing; a ball of radius 4 holds at most 679,121
-distinct fingerprints, which bounds what no ring can separate.
+"""SimHash near-duplicates: vantage-point trees over Hamming distance in shards that overlap.
+
+``near_duplicates`` groups fingerprints exactly. 64 bits are cut into blocks, more than ``radius`` of them: two fingerprints
+within ``radius`` bits agree wholly on the other blocks, so each goes to one shard for every choice of that many blocks, and
+no pair is lost. Blocks are as many as give shards of about ``SHARD`` fingerprints, and shards of several choices' values are
+put together up to that size. (Rings of distance alone would copy each fingerprint into most shards: distances of unlike
+texts lie within 32 +- 4.) A shard that is still much larger is cut by rings of distance to two vantage points, and a
+fingerprint nearer than ``radius`` to a ring's edge goes to both rings. Equal fingerprints are one row before any of this.
+
+In a shard a tree is built: each node has a vantage point and the median distance to it, near ones inside, far ones
+outside. All fingerprints of the shard are looked up at once; by the triangle inequality a branch is left out where its
+distances and the query's differ by more than the bound. A shard returns a star a group, so k fingerprints cost k rows.
+
+``keep_one`` finds texts of similar shingles, see there. Nodes are structs ``(lone, id, key)``: ``id`` the least doc_id of
+rows with one fingerprint or text, ``lone`` where all of these have null ids, so that null ids come last; ``key`` tells
+apart what shares an id.
 """
 
 from __future__ import annotations
@@ -19,33 +23,43 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, stored
+from .common import connected_components, stored, unused
 
-SHARD, LEAF, RING = 4096, 192, 16
+#: Fingerprints a shard holds, about; leaves of a tree; width of a ring. They change no result.
+SHARD, LEAF, RING = 8192, 64, 16
+NODE = "struct<lone:boolean,id:bigint,key:bigint>"
 
 
-def simhash64(text: str | None, words: int = 4, seed: int = 42) -> int:
-    """Signed 64-bit fingerprint; bit i is set if it is in over half of the shingles' XXH64 values."""
+def shingle_hashes(text: str | None, words: int, seed: int = 42) -> np.ndarray:
+    """XXH64 of all runs of ``words`` words, lower-cased in A-Z; the whole sequence where there are fewer; none without words."""
     tokens = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not tokens:
-        return 0
+        return np.empty(0, np.uint64)
     joined = b" ".join(tokens)
     ends = np.cumsum([len(t) + 1 for t in tokens])
     starts = np.concatenate(([0], ends[:-1]))[: max(1, len(tokens) - words + 1)].tolist()
     ends = (ends[min(words, len(tokens)) - 1 :] - 1).tolist()
     h = xxhash.xxh64_intdigest
+    return np.fromiter((h(joined[a:b], seed) for a, b in zip(starts, ends, strict=True)), np.uint64, len(starts))
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """Signed 64-bit fingerprint; bit i is set if it is in over half of the hashes."""
     total = np.zeros(64, np.int64)
-    for i in range(0, len(starts), 1 << 15):
-        hashes = np.array([h(joined[a:b], seed) for a, b in zip(starts[i : i + (1 << 15)], ends[i : i + (1 << 15)], strict=True)], "<u8")
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    for i in range(0, len(hashes), 1 << 15):
+        bits = np.unpackbits(hashes[i : i + (1 << 15)].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         total += bits.sum(axis=0, dtype=np.int32)
-    packed = np.packbits((2 * total > len(starts)).astype(np.uint8), bitorder="little")
+    packed = np.packbits((2 * total > len(hashes)).astype(np.uint8), bitorder="little")
     return int(packed.view("<i8")[0])
 
 
+def simhash64(text: str | None, words: int = 4, seed: int = 42) -> int:
+    return fingerprint_of(shingle_hashes(text, words, seed))
+
+
 def fingerprints(docs: DataFrame, words: int = 4, seed: int = 42) -> DataFrame:
     """``doc_id, fp`` (signed long) for every row; null or wordless texts have 0."""
 
@@ -56,6 +70,49 @@ def fingerprints(docs: DataFrame, words: int = 4, seed: int = 42) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
 
 
+def _distances(a: np.ndarray, b) -> np.ndarray:
+    return np.bitwise_count(a ^ b).astype(np.int16)
+
+
+class VantageTree:
+    """A tree over unsigned 64-bit fingerprints. A node is (vantage point, greatest distance inside, inside, outside), a leaf
+    an array of rows. ``nodes`` and ``compared`` count inner nodes and the pairs that reached a leaf."""
+
+    def __init__(self, fp: np.ndarray):
+        self.fp, self.nodes, self.compared = fp, 0, 0
+        self.root = self._build(np.arange(len(fp)))
+
+    def _build(self, rows: np.ndarray):
+        if len(rows) <= LEAF:
+            return rows
+        for k in (0, len(rows) // 2, len(rows) - 1):  # where all are at one distance, another vantage point may tell them apart
+            d = _distances(self.fp[rows], self.fp[rows[k]])
+            cut = int(np.partition(d, len(d) // 2)[len(d) // 2])
+            if (d > cut).sum() == 0:
+                cut -= 1
+            inside = d <= cut
+            if 0 < inside.sum() < len(rows):
+                self.nodes += 1
+                return rows[k], cut, self._build(rows[inside]), self._build(rows[~inside])
+        return rows
+
+    def lookup(self, bound: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Each leaf with the rows that may be within their ``bound`` of it; bounds may be lowered on the way."""
+        stack = [(self.root, np.arange(len(self.fp)))]
+        while stack:
+            node, rows = stack.pop()
+            if not len(rows):
+                continue
+            if isinstance(node, np.ndarray):
+                self.compared += len(rows) * len(node)
+                yield rows, node
+                continue
+            vantage, cut, inside, outside = node
+            d, b = _distances(self.fp[rows], self.fp[vantage]), bound[rows]
+            stack.append((outside, rows[d + b > cut]))
+            stack.append((inside, rows[d - b <= cut]))
+
+
 class Groups:
     """Union-find over the rows of a shard, kept flat."""
 
@@ -85,105 +142,132 @@ class Groups:
         self.of = lookup[self.of]
 
 
-def _near(fp: np.ndarray, a: np.ndarray, b: np.ndarray, radius: int, groups: Groups) -> None:
-    for i in range(0, len(a), 1024):
-        for j in range(0, len(b), 1024):
-            x, y = np.nonzero(np.bitwise_count(fp[a[i : i + 1024], None] ^ fp[None, b[j : j + 1024]]) <= radius)
-            if len(x):
-                groups.join(a[i : i + 1024][x], b[j : j + 1024][y])
-
-
-def _within(fp: np.ndarray, rows: np.ndarray, radius: int, groups: Groups) -> None:
-    """All pairs of ``rows`` within ``radius``: both halves of the tree, and what its boundary overlaps."""
-    while len(rows) > LEAF:
-        d = np.bitwise_count(fp[rows] ^ fp[rows[0]]).astype(np.int16)
-        groups.join(rows[d <= radius], np.broadcast_to(rows[0], int((d <= radius).sum())))
-        if (d <= radius // 2).all():  # all within radius of each other, and already joined
-            return
-        mid = int(np.median(d))
-        inner = d <= mid
-        if inner.all():
-            mid -= 1
-            inner = d <= mid
-        if not inner.any() or inner.all():
+def near_groups(fp: np.ndarray, radius: int) -> tuple[np.ndarray, VantageTree]:
+    """For distinct fingerprints: each one's group, as the position of the group's first; and the tree."""
+    fp = np.ascontiguousarray(fp).view(np.uint64)  # numpy counts the bits of a signed number's absolute value
+    groups, tree = Groups(len(fp)), VantageTree(fp)
+    for rows, leaf in tree.lookup(np.full(len(fp), radius, np.int16)):
+        for i in range(0, len(rows), 4096):
+            for j in range(0, len(leaf), 1024):
+                x, y = np.nonzero(np.bitwise_count(fp[rows[i : i + 4096], None] ^ fp[None, leaf[j : j + 1024]]) <= radius)
+                groups.join(rows[i : i + 4096][x], leaf[j : j + 1024][y])
+    return groups.of, tree
+
+
+def nearest_before(fp: np.ndarray, radius: int, most: int = 8) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (row, a row before it within ``radius``): for each row the ``most`` nearest ones, of equals the first."""
+    fp = np.ascontiguousarray(fp).view(np.uint64)
+    tree = VantageTree(fp)
+    # Best so far, as distance above and row below, so that the order is that of one number.
+    best = np.full((len(fp), most), (radius + 1) << 32, np.int64)
+    bound = np.full(len(fp), radius, np.int16)
+    for rows, leaf in tree.lookup(bound):
+        for i in range(0, len(rows), 1024):
+            r = rows[i : i + 1024]
+            for j in range(0, len(leaf), 4096):
+                c = leaf[j : j + 4096]
+                d = _distances(fp[r, None], fp[None, c])
+                d[c[None, :] >= r[:, None]] = 99
+                hit = np.flatnonzero((d <= bound[r, None]).any(axis=1))
+                if len(hit):
+                    both = np.concatenate((best[r[hit]], (d[hit].astype(np.int64) << 32) + c), axis=1)
+                    best[r[hit]] = np.partition(both, most - 1, axis=1)[:, :most]
+                    bound[r[hit]] = np.minimum(best[r[hit]].max(axis=1) >> 32, radius)
+    found = best >> 32 <= radius
+    return np.nonzero(found)[0], best[found] & 0xFFFFFFFF
+
+
+def _by_shard(batches: Iterator[pa.RecordBatch], n_keys: int, most: int = 1 << 17) -> Iterator[pa.Table]:
+    """Rows sorted by their first ``n_keys`` columns, as tables of whole shards, some small ones at a time."""
+    held: list[pa.RecordBatch] = []
+    n = 0
+
+    def starts(t: pa.Table) -> np.ndarray:
+        differ = np.zeros(max(0, t.num_rows - 1), bool)
+        for i in range(n_keys):
+            x = t.column(i).to_numpy()
+            differ |= x[1:] != x[:-1]
+        return np.flatnonzero(differ) + 1
+
+    for b in batches:
+        held.append(b)
+        n += b.num_rows
+        if n >= most:
+            t = pa.Table.from_batches(held)
+            at = starts(t)
+            if not len(at):
+                most = 2 * n  # a shard goes on
+                continue
+            yield t.slice(0, int(at[-1]))
+            held = t.slice(int(at[-1])).to_batches()
+            n = t.num_rows - int(at[-1])
+    if n:
+        yield pa.Table.from_batches(held)
+
+
+def _bounds(t: pa.Table, n_keys: int) -> np.ndarray:
+    """Where shards of two rows or more begin and end."""
+    differ = np.zeros(t.num_rows + 1, bool)
+    differ[[0, -1]] = True
+    for i in range(n_keys):
+        x = t.column(i).to_numpy()
+        differ[1:-1] |= x[1:] != x[:-1]
+    at = np.flatnonzero(differ)
+    return np.stack((at[:-1], at[1:]), axis=1)[np.diff(at) > 1]
+
+
+def block_choices(n: int, radius: int, shard: int) -> list[list[tuple[int, int]]]:
+    """For each shard key, the blocks (first bit, bits) two fingerprints within ``radius`` may agree on: the fewest that give
+    ``n`` distinct fingerprints shards of about ``shard``. One empty choice, all in one shard, where ``n`` is below it."""
+    from itertools import combinations
+
+    if n <= shard:
+        return [[]]
+    for blocks in range(radius + 1, radius + 6):
+        cuts = [64 * i // blocks for i in range(blocks + 1)]
+        agree = blocks - radius
+        if n >> (64 * agree // blocks) <= shard:
             break
-        _across(fp, rows[inner & (d > mid - radius)], rows[~inner & (d <= mid + radius)], radius, groups)
-        if inner.sum() < len(rows) / 2:
-            _within(fp, rows[inner], radius, groups)
-            rows = rows[~inner]
-        else:
-            _within(fp, rows[~inner], radius, groups)
-            rows = rows[inner]
-    _near(fp, rows, rows, radius, groups)
-
-
-def _across(fp: np.ndarray, a: np.ndarray, b: np.ndarray, radius: int, groups: Groups) -> None:
-    """All pairs of ``a`` and ``b`` within ``radius``, both cut by distance to one vantage point."""
-    if len(a) * len(b) <= 16 * LEAF * LEAF:
-        _near(fp, a, b, radius, groups)
-        return
-    v = fp[a[0]]
-    da, db = np.bitwise_count(fp[a] ^ v).astype(np.int16), np.bitwise_count(fp[b] ^ v).astype(np.int16)
-    mid = int(np.median(da))
-    parts = ((da <= mid, db <= mid), (da > mid, db > mid), ((da <= mid) & (da > mid - radius), (db > mid) & (db <= mid + radius)), ((da > mid) & (da <= mid + radius), (db <= mid) & (db > mid - radius)))
-    if max(int(x.sum()) * int(y.sum()) for x, y in parts) > 0.9 * len(a) * len(b):
-        _near(fp, a, b, radius, groups)
-        return
-    for x, y in parts:
-        if x.any() and y.any():
-            _across(fp, a[x], b[y], radius, groups)
-
-
-def near_groups(fp: np.ndarray, radius: int) -> np.ndarray:
-    """For distinct fingerprints: each one's group, as the position of the group's first."""
-    fp = fp.view(np.uint64)  # numpy counts the bits of a signed number's absolute value
-    groups = Groups(len(fp))
-    _within(fp, np.arange(len(fp)), radius, groups)
-    return groups.of
+    return [[(cuts[i], cuts[i + 1] - cuts[i]) for i in chosen] for chosen in combinations(range(blocks), agree)]
 
 
 def links(distinct: DataFrame, radius: int = 4) -> DataFrame:
-    """Stars ``(u, v)`` that connect exactly the fingerprints a chain of steps of ``radius`` bits or fewer connects.
+    """Stars ``(u, v)`` of nodes that connect exactly the fingerprints a chain of steps of ``radius`` bits or fewer connects.
 
-    ``distinct`` has a column ``fp`` of distinct longs.
+    ``distinct`` has distinct longs ``fp`` with their ``node``. Rows without ``u`` report a shard's ``nodes`` and ``compared``.
     """
-    n = radius + 1
-    cuts = [64 * i // n for i in range(n + 1)]
-    band = lambda i: F.shiftrightunsigned("fp", cuts[i]).bitwiseAND(F.lit((1 << (cuts[i + 1] - cuts[i])) - 1)) + (i << 32)
-    keyed = distinct.select("fp", F.explode(F.array(*[band(i) for i in range(n)])).alias("shard"))
-    sizes = keyed.groupBy("shard").agg(F.count("*").alias("n"), F.min("fp").alias("low"), F.max("fp").alias("high")).where(F.col("n") > SHARD).drop("n")
+    n = distinct.count()
+    choices, shards = block_choices(n, radius, SHARD), max(1, -(-n // SHARD))
+    part = lambda lo, bits: F.shiftrightunsigned("fp", lo).bitwiseAND(F.lit((1 << bits) - 1))
+    of = lambda k, blocks: F.pmod(F.xxhash64(F.lit(k), *[part(*b) for b in blocks]), F.lit(shards)) + F.lit(k * shards)
+    keyed = distinct.select("fp", "node", F.explode(F.array(*[of(k, blocks) for k, blocks in enumerate(choices)])).alias("shard"))
+    sizes = keyed.groupBy("shard").agg(F.count("*").alias("n"), F.min("fp").alias("low"), F.max("fp").alias("high")).where(F.col("n") > 4 * SHARD).drop("n")
     rings = lambda v: F.expr(f"sequence(greatest(0, bit_count(fp ^ {v}) - {radius}) div {RING}, (bit_count(fp ^ {v}) + {radius}) div {RING})")
     cut = keyed.join(sizes, "shard", "left").withColumn("r", F.explode(F.when(F.col("low").isNull(), F.array(F.lit(0).cast("long"))).otherwise(F.flatten(F.transform(rings("low"), lambda x: F.transform(rings("high"), lambda y: x * 8 + y))))))
 
-    def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.empty((0, 3), np.int64)
-        for b in batches:
-            rows = np.concatenate((held, np.stack([b.column(i).to_numpy(zero_copy_only=False) for i in range(3)], axis=1)))
-            edges = np.flatnonzero((np.diff(rows[:, 0]) != 0) | (np.diff(rows[:, 1]) != 0)) + 1
-            last = int(edges[-1]) if len(edges) else 0
-            yield from groups_of(rows[:last], edges[:-1])
-            held = rows[last:]
-        yield from groups_of(held, np.empty(0, int))
-
-    def groups_of(rows: np.ndarray, edges: np.ndarray) -> Iterator[pa.RecordBatch]:
-        us, vs = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        bounds = [0, *edges.tolist(), len(rows)]
-        fps = np.ascontiguousarray(rows[:, 2])
-        for lo, hi in zip(bounds, bounds[1:], strict=False):
-            if hi - lo < 2:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _by_shard(batches, 2):
+            fps, us, vs, nodes, compared = t.column(2).to_numpy(), [], [], 0, 0
+            for lo, hi in _bounds(t, 2).tolist():
+                group, tree = near_groups(fps[lo:hi], radius)
+                moved = np.flatnonzero(group != np.arange(hi - lo))
+                us.append(moved + lo)
+                vs.append(group[moved] + lo)
+                nodes, compared = nodes + tree.nodes, compared + tree.compared
+            if not us:
                 continue
-            fp = fps[lo:hi]
-            if hi - lo <= LEAF:
-                near = np.bitwise_count((fp[:, None] ^ fp[None, :]).view(np.uint64)) <= radius
-                if int(near.sum()) == hi - lo:
-                    continue
-            of = near_groups(fp, radius)
-            moved = of != np.arange(hi - lo)
-            us.append(fp[moved])
-            vs.append(fp[of[moved]])
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], names=["u", "v"])
+            node = t.column(3).combine_chunks()
+            u, v = (node.take(pa.array(np.concatenate(x))) for x in (us, vs))
+            n = len(u)
+            yield pa.RecordBatch.from_arrays([u, v, pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], names=["u", "v", "nodes", "compared"])
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, node.type), pa.nulls(1, node.type), pa.array([nodes]), pa.array([compared])], names=["u", "v", "nodes", "compared"])
+
+    placed = cut.select("shard", F.col("r").cast("long").alias("r"), "fp", "node").repartition("shard", "r").sortWithinPartitions("shard", "r", "fp")
+    return stored(placed.mapInArrow(run, f"u {NODE}, v {NODE}, nodes long, compared long"), "simhash-trees")
+
 
-    return cut.select("shard", F.col("r").cast("long").alias("r"), "fp").repartition("shard", "r").sortWithinPartitions("shard", "r", "fp").mapInArrow(shards, "u long, v long")
+def _node(id_col: str, key: Column) -> Column:
+    return F.struct(F.col(id_col).isNull().alias("lone"), F.coalesce(F.col(id_col), F.lit(0).cast("long")).alias("id"), key.alias("key"))
 
 
 def near_duplicates(docs: DataFrame, radius: int = 4, words: int = 4, seed: int = 42) -> DataFrame:
@@ -193,26 +277,117 @@ def near_duplicates(docs: DataFrame, radius: int = 4, words: int = 4, seed: int
     for links, but no component is named after them. Repeated rows stay, each with its own row. An empty table gives none.
     """
     rows = stored(fingerprints(docs, words, seed), "simhash")
-    distinct = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
-    roots = connected_components(links(distinct.select("fp"), radius), "simhash-links")
-    rooted = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    named = rooted.where("root is not null").groupBy("root").agg(F.min("first").alias("component_id"))
+    distinct = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first")).select("fp", _node("first", F.col("fp")).alias("node")), "simhash-distinct")
+    roots = connected_components(links(distinct, radius).where("u is not null"), "simhash-links")
     # Both sides of the last join are plain exchanges, so a fingerprint with a large share of all rows is split.
-    of = stored(rooted.join(named, "root").select("fp", "component_id"), "simhash-named")
-    return rows.join(of, "fp").select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    of = stored(distinct.withColumnRenamed("node", "own").join(roots, F.col("own") == F.col("node"), "left").select("fp", F.coalesce("root", "own").alias("root")), "simhash-named")
+    component = F.when(~F.col("root.lone"), F.col("root.id"))
+    return rows.join(of, "fp").select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), component.alias("component_id"))
+
+
+# -- Near-duplicates by similarity of shingles, for filtering --
+
+#: A text stands in this many shards, each named by two of its least shingles: texts with 0.8 of their shingles in common
+#: miss one with probability 1 - 0.8 ** 2, all six with 0.002. Their fingerprints differ in about 10 bits (0.002 over RADIUS).
+SHARDS, RADIUS = 6, 18
+_ORDERS = np.random.default_rng(7).integers(1, 1 << 63, 2 * SHARDS, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+#: Rows sent to all tasks (about 50 bytes each), beyond which texts are shuffled to them.
+SENT_ROWS = 300_000
+
+
+def shard_names(hashes: np.ndarray) -> list[int]:
+    """Names of a text's shards, by shingles alone; all texts without words share one."""
+    if not len(hashes):
+        return [0]
+    least = np.array([(hashes * a).min() for a in _ORDERS])
+    mixed = (least[0::2] ^ (least[1::2] >> np.uint64(29))) * _ORDERS[:SHARDS] + least[1::2]
+    return mixed.view(np.int64).tolist()
+
+
+def _sketches(docs: DataFrame, words: int) -> DataFrame:
+    """``doc_id, h, fp, shards`` of every row; ``h`` tells texts apart."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fps, names = [], []
+            for t in b.column(2):
+                x = shingle_hashes(t.as_py(), words)
+                fps.append(fingerprint_of(x))
+                names.append(shard_names(x))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps, pa.int64()), pa.array(names, pa.list_(pa.int64()))], names=["doc_id", "h", "fp", "shards"])
+
+    return docs.select(F.col("doc_id").cast("long"), _text_hash().alias("h"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, h long, fp long, shards array<long>")
+
+
+def _text_hash() -> Column:
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
+def _pick(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """``docs`` joined with ``ids (_doc_id, _h, ...)`` by id and text."""
+    of, h = unused(docs, "_doc_id"), unused(docs, "_h")
+    ids = ids.withColumnsRenamed({"_doc_id": of, "_h": h})
+    on = F.col("doc_id").cast("long").eqNullSafe(F.col(of)) & (_text_hash() == F.col(h))
+    return docs.join(F.broadcast(ids) if ids.count() <= SENT_ROWS else ids, on, how)
+
+
+def similar_texts(docs: DataFrame, rows: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = RADIUS) -> DataFrame:
+    """Pairs ``(u, v)`` of nodes of different texts of which the shared shingles are ``similarity`` of all: in each shard, a text
+    and the nearest ones before it, in the order of nodes."""
+    texts = rows.groupBy("h").agg(F.min("doc_id").alias("doc_id"), F.first("fp").alias("fp"), F.first("shards").alias("shards"))
+    keyed = texts.select(F.explode(F.array_distinct("shards")).alias("shard"), _node("doc_id", F.col("h")).alias("node"), "fp")
+    # A large shard is cut into pieces, and each two of them (a piece with itself too) are one shard.
+    pieces = keyed.groupBy("shard").agg(F.ceil(F.count("*") / (2 * SHARD)).alias("n")).where("n > 2")
+    piece = F.pmod(F.xxhash64("node"), "n")
+    cut = F.when(F.col("n").isNull(), F.array(F.lit(0).cast("long"))).otherwise(F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda k: F.least(piece, k) * F.col("n") + F.greatest(piece, k)))
+    keyed = keyed.join(pieces, "shard", "left").select("shard", F.explode(cut).alias("part"), "node", "fp")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _by_shard(batches, 2):
+            fps, us, vs = t.column(3).to_numpy(), [], []
+            for lo, hi in _bounds(t, 2).tolist():
+                u, v = nearest_before(fps[lo:hi], radius)
+                us.append(u + lo)
+                vs.append(v + lo)
+            if us:
+                node = t.column(2).combine_chunks()
+                yield pa.RecordBatch.from_arrays([node.take(pa.array(np.concatenate(x))) for x in (us, vs)], names=["u", "v"])
+
+    pairs = stored(keyed.repartition("shard", "part").sortWithinPartitions("shard", "part", "node").mapInArrow(run, f"u {NODE}, v {NODE}").distinct(), "similar-pairs")
+    wanted = stored(pairs.select("u").union(pairs.select("v")).distinct().select(F.col("u").alias("node"), F.when(~F.col("u.lone"), F.col("u.id")).alias("_doc_id"), F.col("u.key").alias("_h")), "similar-texts")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [np.unique(shingle_hashes(t.as_py(), words)).view(np.int64) for t in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.int64()))], names=["node", "shingles"])
+
+    picked = _pick(docs.select("doc_id", "text"), wanted, "inner").select("node", F.col("text").cast("string")).mapInArrow(sets, f"node {NODE}, shingles array<long>")
+    held = stored(picked.dropDuplicates(["node"]), "similar-shingles")
+    both = pairs.join(held.select(F.col("node").alias("u"), F.col("shingles").alias("a")), "u").join(held.select(F.col("node").alias("v"), F.col("shingles").alias("b")), "v")
+    shared = F.size(F.array_intersect("a", "b"))
+    alike = shared >= similarity * (F.size("a") + F.size("b") - shared)  # two texts without words are alike
+    return both.where(alike).select("u", "v")
 
 
-def keep_one(docs: DataFrame, radius: int = 4, words: int = 4) -> DataFrame:
-    """The rows of ``docs`` whose doc_id names their component; all columns stay, and of rows repeating an id one stays.
+def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """One row of each group of rows of ``docs`` with similar texts, that of the least doc_id; all columns as they are.
 
-    Rows with a null doc_id are kept only where no row of their component has an id, and then one of them.
+    Texts link where shared distinct ``words``-word shingles are ``similarity`` of all their shingles: linked texts are checked on
+    their shingles, candidates come from trees in the shards that least shingles name (tests measure their recall). Equal
+    texts always link, and texts without words, null or not, are equal. Rows that repeat id and text are one; other texts
+    of a repeated id stand for themselves. Null ids come last: one such row stays only where no row of its group has an id.
     """
-    found = near_duplicates(docs, radius, words)
-    keep = found.where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    if docs.where("doc_id is null").isEmpty():
+    rows = stored(_sketches(docs, words), "similar-sketches")
+    roots = connected_components(similar_texts(docs, rows, words, similarity), "similar-links")
+    first = rows.groupBy("h").agg(F.min("doc_id").alias("first")).select("h", _node("first", F.col("h")).alias("own"))
+    root = first.join(roots, F.col("own") == F.col("node"), "left").select("h", F.coalesce("root", "own").alias("root"))
+    mine = rows.select("doc_id", "h").join(root, "h").select(F.col("doc_id").alias("_doc_id"), F.col("h").alias("_h"), (_node("doc_id", F.col("h")) == F.col("root")).alias("stays"))
+    seen = stored(mine.groupBy("_doc_id", "_h", "stays").agg(F.count("*").alias("n")).where("not stays or n > 1"), "similar-others")
+    kept = _pick(docs, seen.where("not stays").select("_doc_id", "_h"), "left_anti")
+    again = seen.where("stays").select("_doc_id", "_h")
+    if again.isEmpty():
         return kept
-    lone = found.where("component_id is null").select("fp").distinct()
-    nulls = docs.where("doc_id is null")
-    texts = fingerprints(nulls.select(F.xxhash64("text").alias("doc_id"), "text"), words).join(lone, "fp").groupBy("fp").agg(F.min("doc_id").alias("h"))
-    return kept.unionByName(nulls.withColumn("h", F.xxhash64("text")).join(texts.select("h"), "h", "left_semi").dropDuplicates(["h"]).drop("h"))
+    # Rows that repeat id and text: one of each.
+    h = unused(docs, "_h")
+    repeated = _pick(docs, again, "left_semi").withColumn(h, _text_hash()).dropDuplicates(["doc_id", h]).drop(h)
+    return _pick(kept, again, "left_anti").unionByName(repeated)

@@ -126,7 +126,6 @@ def test_simhash(spark, docs, empty):
     got = by_id(simhash.near_duplicates(docs))
     assert {d: (r.fingerprint, r.component_id) for d, r in got.items()} == {d: (f"{fp[d]:016x}", want[d]) for d in fp}
     assert simhash.near_duplicates(empty).count() == 0
-    assert {r.doc_id for r in simhash.keep_one(docs).collect()} == set(want.values())
 
 
 def test_vantage_points_find_all(spark, monkeypatch):
@@ -137,12 +136,81 @@ def test_vantage_points_find_all(spark, monkeypatch):
     fp = np.unique(np.concatenate((seeds, near, ball)))
     pairs = [(i, int(j)) for i in range(len(fp)) for j in np.flatnonzero(np.bitwise_count(fp[i + 1 :] ^ fp[i]) <= 4) + i + 1]
     want = components(pairs, range(len(fp)))
-    assert simhash.near_groups(fp, 4).tolist() == [want[i] for i in range(len(fp))]
-    monkeypatch.setattr(simhash, "SHARD", 100)  # so that shards are cut by rings
-    df = spark.createDataFrame([(int(x),) for x in fp.view(np.int64)], "fp long")
-    got = connected_components(simhash.links(df, 4)).groupBy("root").agg(F.count("*").alias("n")).collect()
+    group, tree = simhash.near_groups(fp, 4)
+    assert group.tolist() == [want[i] for i in range(len(fp))] and tree.nodes > 10 and tree.compared < len(fp) ** 2 / 2
+    near = np.bitwise_count(fp[:, None] ^ fp[None, :]).astype(int) + 100 * (np.arange(len(fp))[None, :] >= np.arange(len(fp))[:, None])
+    got = {}
+    for a, b in zip(*(x.tolist() for x in simhash.nearest_before(fp, 18)), strict=True):
+        got.setdefault(a, set()).add(b)
+    assert got == {i: set(c) for i, row in enumerate(near) if (c := [int(j) for j in np.argsort(row, kind="stable")[:8] if row[j] <= 18])}
+    df = spark.createDataFrame([(int(x),) for x in fp.view(np.int64)], "fp long").selectExpr("fp", "struct(false as lone, fp as id, fp as key) as node").repartition(3)
     sizes = sorted(n for n in np.bincount(list(want.values())).tolist() if n > 1)
-    assert sorted(r.n for r in got) == [n - 1 for n in sizes]  # the root itself has no row
+    for shard in (8192, 500, 20, 2):  # one shard; several; shards cut by rings; more blocks
+        monkeypatch.setattr(simhash, "SHARD", shard)
+        got = connected_components(simhash.links(df, 4).where("u is not null")).groupBy("root").agg(F.count("*").alias("n")).collect()
+        assert sorted(r.n for r in got) == [n - 1 for n in sizes]  # the root itself has no row
+
+
+def test_trees_run_on_documents(spark, monkeypatch):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    seen = []
+    links = simhash.links
+    monkeypatch.setattr(simhash, "links", lambda *args: seen.append(links(*args)) or seen[0])
+    assert simhash.near_duplicates(docs).count() == docs.count()
+    n = seen[0].where("u is null").agg(F.sum("nodes"), F.sum("compared")).first()
+    rows = docs.select("text").distinct().count()
+    assert n[0] >= 8 and n[1] < rows**2 / 2
+
+
+def test_block_choices_lose_no_pair():
+    for n, shard in ((10, 100), (1 << 20, 8192), (1 << 30, 8192), (1 << 20, 20)):
+        choices = simhash.block_choices(n, 4, shard)
+        r = np.random.default_rng(3)
+        for _ in range(200):
+            flips = set(r.choice(64, 4, replace=False).tolist())
+            assert any(all(not flips & set(range(lo, lo + bits)) for lo, bits in blocks) for blocks in choices)
+        assert choices == [[]] or n >> sum(bits for _, bits in choices[0]) <= shard
+
+
+def changed_words(x, k):
+    w = x.split()
+    for i in rng.sample(range(len(w)), k):
+        w[i] = rng.choice(WORDS)
+    return " ".join(w)
+
+
+def similar(a, b, k=5):
+    cut = lambda x: {tuple(w[i : i + k]) for w in [(x or "").lower().split()] for i in range(max(1, len(w) - k + 1)) if w}
+    a, b = cut(a), cut(b)
+    return len(a & b) >= 0.8 * len(a | b)
+
+
+def test_keep_one_of_similar_texts(spark, monkeypatch):
+    """Recall of all pairs of similarity 0.8 or more, and no other text goes."""
+    texts = []
+    for i in range(60):
+        x = text(150)
+        texts += [x] + [changed_words(x, k) for k in (1, 2, 3, 4, 6, 30)]
+    texts += ["", None, " \n", "one", "one", "Two words", "two WORDS"]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    pairs = [(a, b) for a, x in rows for b, y in rows if a < b and similar(x, y)]
+    assert len(pairs) > 200
+    want = components(pairs, range(len(rows)))
+    for shard in (8192, 2):
+        monkeypatch.setattr(simhash, "SHARD", shard)
+        kept = {r.doc_id for r in simhash.keep_one(df).collect()}
+        assert set(want.values()) <= kept and len(kept - set(want.values())) <= 0.03 * (len(rows) - len(set(want.values())))
+
+
+def test_keep_one_of_odd_rows(spark):
+    a, b = text(60), text(60)
+    rows = [(1, a), (1, b), (1, a), (None, a), (None, b + " x"), (None, "lone"), (None, "lone"), (2, None), (3, ""), (4, b), (5, text(60))]
+    df = spark.createDataFrame([(d, t, 0, "x") for d, t in rows], SCHEMA + ", _h long, _doc_id string")
+    got = simhash.keep_one(df)
+    assert got.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted([(1, a), (1, b), (None, "lone"), (2, None), (5, rows[-1][1])], key=str)
+    assert simhash.keep_one(df.limit(0)).count() == 0
 
 
 def test_quality(spark, docs, empty):

@@ -4,7 +4,7 @@ import pytest
 
 pytest.importorskip("ledgerstream.llm")
 import corpus_pipeline  # noqa: E402
-from ledgerstream.llm import quality, secrets, sentencepiece, simhash  # noqa: E402
+from ledgerstream.llm import quality, secrets, sentencepiece  # noqa: E402
 from ledgerstream.llm.common import read_table, stored  # noqa: E402
 from ledgerstream.llm.queries import tokenizer_file  # noqa: E402
 
@@ -25,18 +25,17 @@ def test_stages(spark):
     _, before, after = seen[0]
     assert {r.doc_id for r in after} == {r.doc_id for r in before if model.score(quality.feature_matrix([r.text]))[0] >= 0.3}
     _, before, after = seen[1]
-    fp = {r.doc_id: simhash.simhash64(r.text) & (1 << 64) - 1 for r in before}
-    group = {}
-    for d in sorted(fp):
-        group[d] = d
+    cut = {r.doc_id: {tuple(w[i : i + 5]) for w in [r.text.lower().split()] for i in range(max(1, len(w) - 4))} for r in before}
+    group = {d: d for d in sorted(cut)}
+    alike = [(a, b) for a in cut for b in cut if a < b and len(cut[a] & cut[b]) >= 0.8 * len(cut[a] | cut[b])]
     changed = True
     while changed:
         changed = False
-        for a in fp:
-            for b in fp:
-                if (fp[a] ^ fp[b]).bit_count() <= 4 and group[b] < group[a]:
-                    group[a], changed = group[b], True
-    assert {r.doc_id for r in after} == set(group.values())
+        for a, b in alike:
+            low = min(group[a], group[b])
+            changed = changed or group[a] != low or group[b] != low
+            group[a] = group[b] = low
+    assert len(alike) > 10 and {r.doc_id for r in after} == set(group.values())
     _, before, after = seen[2]
     assert {r.doc_id for r in after} == {r.doc_id for r in before if not any(t in (r.text or "") for t in bench)}
     _, before, after = seen[3]
