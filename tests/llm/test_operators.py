@@ -85,10 +85,83 @@ def test_wrappers(spark):
 
 
 def test_wrapper_alignment():
-    a = wrappers.fold(wrappers.Page("<ul><li>x</li><li>y</li></ul><p>t</p>").stream)
-    b = wrappers.fold(wrappers.Page("<ul><li>x</li></ul><h2>n</h2><p>t</p>").stream)
+    tree = lambda x: wrappers.fold(wrappers.Page(x).tree)
+    a, b = tree("<ul><li>x</li><li>y</li></ul><p>t</p>"), tree("<ul><li>x</li></ul><h2>n</h2><p>t</p>")
     assert wrappers.pattern(a) == "<ul>(<li>#</li>)+</ul><p>#</p>"
-    assert wrappers.pattern(wrappers.align(a, b)) == "<ul>(<li>#</li>)+</ul>(<h2>)?#(</h2>)?<p>#</p>"
+    assert wrappers.pattern(wrappers.align(a, b)) == "<ul>(<li>#</li>)+</ul>(<h2>#</h2>)?<p>#</p>"
+    assert wrappers.pattern(wrappers.align(b, a), {"/p"}) == "<ul>(<li>#</li>)+</ul>(<h2>#</h2>)?<p>{#}</p>"
+    assert wrappers.pattern(tree("<h2>a</h2><p>b<p>c<h2>a</h2><p>b<h2>z</h2><p>q<ul><li>1</ul>")) == "(<h2>#</h2>(<p>#</p>)+)+<ul><li>#</li></ul>"
+    long = tree("".join(f"<div class=c{i % 97}><p>x</p></div><h3>y</h3>" for i in range(3000)))
+    assert wrappers.align(long, long[: len(long) // 2] + long) and max(len(x[2]) for x in long) < 400
+
+
+class Brute(__import__("html.parser", fromlist=["HTMLParser"]).HTMLParser):
+    """Texts of the blocks inside of article elements, by the library's parser."""
+
+    def __init__(self, source):
+        super().__init__()
+        self.depth, self.off, self.parts = 0, 0, [""]
+        self.feed(source)
+        self.close()
+        self.text = "\n".join(x for x in (" ".join(x.split()) for x in self.parts) if x)
+
+    def handle_starttag(self, tag, attributes):
+        self.depth += tag == "article"
+        self.off += tag in ("script", "style", "nav", "aside", "footer")
+        self.parts[-1] += " " if tag == "br" else ""
+        if tag in ("article", "p", "h1", "h2", "ul", "li", "div"):
+            self.parts.append("")
+
+    def handle_endtag(self, tag):
+        self.depth -= tag == "article"
+        self.off -= tag in ("script", "style", "nav", "aside", "footer")
+        if tag in ("article", "p", "h1", "h2", "ul", "li", "div"):
+            self.parts.append("")
+
+    def handle_data(self, data):
+        if self.depth and not self.off:
+            self.parts[-1] += data
+
+
+def test_wrappers_of_pages(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url", "html")
+    want = {r.page_id: Brute(r.html or "").text for r in pages.collect()}
+    assert {r.page_id: r.text for r in wrappers.extract(pages).collect()} == want and sum(map(bool, want.values())) > 200
+
+
+def pages_of(spark, rows, more=""):
+    return spark.createDataFrame(rows, "page_id long, url string, html string" + more)
+
+
+def test_wrapper_roles(spark):
+    parts = [(text(40), text(30), text(20)) for _ in range(6)]
+    share, lead = "Send this to a friend or print it", "Words of the editor"
+    rows = [(i, f"http://a.org/{i}", f"<main><h1>T{i}</h1><p>{lead}</p><article><p>{a}</p><p><a href=x>{c}</a></p><div class='tools'>{share}</div></article><article><div class='legal-analysis'>{b}</div></article></main><aside>{c}</aside>") for i, (a, b, c) in enumerate(parts)]
+    rows += [(50, "http://a.org/50", "<body><p>Plain page</p></body>")]
+    # A host without article markup: near-copies of one page make nothing constant, a list of links is a menu.
+    a, b, _ = parts[0]
+    rows += [(100 + i, f"http://b.org/{i}", f"<body><div>Site</div><ul><li><a>One</a><li><a>Two</a></ul><p>{a}</p><p>{b}</p><p>No {i}</p></body>") for i in range(5)]
+    rows += [(110 + i, f"http://b.org/x{i}", f"<body><div>Site</div><ul><li><a>One</a><li><a>Two</a></ul><p>{text(50)}</p></body>") for i in range(3)]
+    got = {r.page_id: (r.text, r.n_chars) for r in wrappers.extract(pages_of(spark, rows)).collect()}
+    for i, (a, b, c) in enumerate(parts):
+        want = f"T{i}\n{lead}\n{a}\n{c}\n{b}"
+        assert got[i] == (want, len(want))
+    assert got[50][0] == "Plain page"
+    a, b, _ = parts[0]
+    assert all(got[100 + i][0] == f"{a}\n{b}\nNo {i}" for i in range(5)) and all(len(got[110 + i][0].split("\n")) == 1 for i in range(3))
+
+
+def test_wrappers_of_odd_rows(spark, monkeypatch):
+    long = "<article>" + "".join(f"<p class=c{i}>{i} {text(3)}</p>" for i in range(4000)) + "</article>"
+    rows = [(1, "http://a.org", long), (None, "http://a.org", "<article>x"), (1, "http://a.org", "<article>y</article>"), (2, None, "<p>z</p>"), (3, "http://a.org", None), (3, "http://a.org", None)]
+    rows += [(10 + i, "http://b.org", f"<div><{t}>{i}</{t}></div>") for i, t in enumerate(["p", "h2", "h3", "pre", "section", "table", "ul", "dl", "center", "figure", "article", "main"])]
+    df = pages_of(spark, [(*r, 0, "x", "y", 0.5) for r in rows], ", salt int, host string, wrapper string, text double")
+    for sent in (4 << 20, 0):
+        monkeypatch.setattr(wrappers, "BROADCAST_BYTES", sent)
+        out = [(r.page_id, r.text) for r in wrappers.extract(df).collect()]
+        assert len(out) == len(rows) and (None, "x") in out and (1, "y") in out and (2, "z") in out and out.count((3, "")) == 2
+        assert {t for d, t in out if d and d >= 10} == {str(i) for i in range(12)}
+        assert max(out, key=lambda x: len(x[1]))[1].count("\n") == 3999
 
 
 def test_sentencepiece(spark, docs, empty):
