@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import stored, unused
 from .winnow import BASE, PRIME, gram_hashes, let
 
 WINDOW, LEAST_WINDOWS, LEAST_LITERALS = 8, 6, 4
@@ -131,16 +132,18 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least:
 
     Hashes find the copies over all documents; tokens are then compared in the documents that have one.
     """
-    from .common import stored
-
     wanted = stored(benchmark_windows(benchmark, window), "benchmark-windows")
     found = stored(candidates(docs, wanted, window, wanted.count() <= BROADCAST_ROWS).where(enough(least)), "leak-candidates")
-    texts = _documents(docs).withColumn("text_hash", F.xxhash64("text")).distinct().withColumnsRenamed({"doc_id": "_d", "text_hash": "_h"})
-    items = _items(benchmark).select("item_id", F.col("tokens").alias("item"))
+    # Texts move only to their own candidates: few are sent to all tasks, beyond that both sides are shuffled.
+    wanted_texts = found.select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h")).distinct()
+    if found.count() <= BROADCAST_ROWS:
+        wanted_texts = F.broadcast(wanted_texts)
+    texts = _documents(docs).join(wanted_texts, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_h")), "left_semi").select(F.col("doc_id").alias("_d"), "text", F.xxhash64("text").alias("_h")).dropDuplicates(["_d", "_h"])
+    items = _items(benchmark).select(F.col("item_id").alias("_item"), F.col("tokens").alias("item"))
     held = found.join(texts, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("text_hash") == F.col("_h"))).select("doc_id", "text_hash", "item_id", "diagonal", "size", "n", template(F.col("text")).alias("tokens"))
     # A candidate's passage, of the item's length, beside the item.
     copy = held.select("doc_id", "text_hash", "item_id", "diagonal", "size", "n", F.expr("slice(tokens, greatest(diagonal, 0) + 1, greatest(0, size + least(diagonal, 0)))").alias("copy"))
-    both = copy.join(items, "item_id").where(F.size("item") == F.col("size")).withColumn("item", F.expr("slice(item, greatest(-diagonal, 0) + 1, size(copy))")).withColumn("copy", F.expr("slice(copy, 1, size(item))"))
+    both = copy.join(items, F.col("item_id").eqNullSafe(F.col("_item"))).where(F.size("item") == F.col("size")).withColumn("item", F.expr("slice(item, greatest(-diagonal, 0) + 1, size(copy))")).withColumn("copy", F.expr("slice(copy, 1, size(item))"))
     compared = both.withColumn("pairs", F.zip_with("item", "copy", lambda i, d: F.struct(i.alias("i"), d.alias("d"), (_literal(i) == _literal(d)).alias("equal"), ((_kind(i) == _kind(d)) | (_literal(i) == _literal(d))).alias("same"))))
     few = lambda ps: F.size(F.filter(ps, lambda p: F.contains(p.i, F.lit(VALUE)))) <= window - LEAST_LITERALS
     equal = lambda ps: F.forall(ps, lambda p: p.equal)
@@ -165,7 +168,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least: in
     A copy counts if its slots are consistent and it matches ``least`` windows (13 tokens in a row or more), or six
     tenths of a shorter item's windows. An item of fewer tokens than a window, even of one, counts where all its tokens
     stand literally in a row. Of several copies in a document the fullest is reported, of equals the one with
-    fewest changed slots. Null and empty texts and items hold nothing; repeated rows are one; null ids stay.
+    fewest changed slots. Null and empty texts and items hold nothing; repeated rows are one; null ids, of documents and of
+    items, stay. Other columns are ignored.
     """
     kept = matches(docs, benchmark, window, least).where("consistent")
     best = F.max_by(F.struct("n_windows", "item_windows", "n_slots", "n_changed"), F.struct(F.col("n_windows"), -F.col("n_changed"), -F.col("diagonal")))
@@ -173,8 +177,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least: in
 
 
 def remove_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least: int = LEAST_WINDOWS) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item, all columns as they are."""
-    from .common import stored
-
-    found = stored(leaks(docs, benchmark, window, least).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct(), "leaks")
-    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left_anti")
+    """The rows of ``docs`` that hold no benchmark item, all columns and repeated rows as they are."""
+    of, h = unused(docs, "_id"), unused(docs, "_hash")
+    found = stored(leaks(docs, benchmark, window, least).select(F.col("doc_id").alias(of), F.col("text_hash").alias(h)).distinct(), "leaks")
+    few = F.broadcast(found) if found.count() <= BROADCAST_ROWS else found
+    return docs.join(few, F.col("doc_id").cast("long").eqNullSafe(F.col(of)) & (F.xxhash64(F.col("text").cast("string")) == F.col(h)), "left_anti")

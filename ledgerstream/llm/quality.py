@@ -4,7 +4,7 @@ Shallow trees are boosted in turn on one feature after another, then on pairs of
 to that feature's (or pair's) lookup table over bins. A text's score is the logistic of an intercept plus one table
 entry a feature and a pair, so scoring is a few vectorised bin additions.
 
-Fitted on at most ``max_rows`` labelled rows (documented sample: those of least ``xxhash64(doc_id)``), so the driver
+Fitted on at most ``max_rows`` labelled ids (documented sample: those of least ``xxhash64(doc_id)``), so the driver
 holds a table of that many rows and ``len(FEATURES)`` columns whatever the corpus; all rows are scored.
 """
 
@@ -149,15 +149,18 @@ def held_out(doc_id="doc_id"):
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        x = feature_matrix(t.as_py() for t in b.column(1))
-        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(list(x), pa.list_(pa.float64()))], names=["y", "x"])
+        x = feature_matrix(t.as_py() for t in b.column(2))
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(list(x), pa.list_(pa.float64()))], names=["doc_id", "y", "x"])
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", max_rows: int = MAX_ROWS, **params) -> AdditiveModel:
-    """Fit on labelled rows that are not held out. Null labels are left out; of several labels of an id the least counts."""
+    """Fit on labelled rows that are not held out. Null labels are left out; of several labels of an id the least
+    counts, and of several texts of an id the one with the least features."""
     rows = labels.where(F.col("doc_id").isNotNull() & F.col(label_col).isNotNull() & ~held_out()).groupBy("doc_id").agg(F.min(label_col).cast("long").alias("y"))
     sample = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)  # at most max_rows pairs of longs: this bounds the broadcast
-    x = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("y", "text").mapInArrow(_features, "y long, x array<double>").toPandas()
+    x = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(sample), "doc_id").select("doc_id", "y", "text").mapInArrow(_features, "doc_id long, y long, x array<double>")
+    # One row a label, in one order, so that sums of floats are the same in every run.
+    x = x.groupBy("doc_id").agg(F.min(F.struct("y", "x")).alias("r")).select("doc_id", "r.*").toPandas().sort_values("doc_id")
     return fit(np.array(x["x"].tolist(), np.float64).reshape(-1, len(FEATURES)), x["y"].to_numpy(np.float64), **params)
 
 

@@ -3,7 +3,8 @@
 A text becomes marked words (white space is the mark, and starts a word). Distinct words are sorted, which lists the
 trie's paths depth-first; consecutive words share their common prefix's forward states and only the rest is computed.
 
-A unigram model's state at a prefix is its best score and last piece (Viterbi). A BPE model's scores are merge ranks,
+A unigram model's state at a prefix is its best score and last piece (Viterbi); of paths of one score, as of the same pieces
+in another order, the one with the longer piece first counts, where the library goes by rounding of the text's sum. A BPE model's scores are merge ranks,
 whose best sum is not what merging gives, so its state at a prefix is the last piece of that prefix's own encoding: a
 piece may follow the encoding of what stands before it if the two pieces, merged alone, stay as they are. That is the
 same forward pass with another transition, and gives exactly the merged result. Characters outside of the vocabulary
@@ -30,6 +31,42 @@ WORDS_KEPT, PAIRS_KEPT = 400_000, 500_000
 UNIGRAM, BPE = 1, 2
 
 
+def _fields(raw: bytes) -> Iterator[tuple[int, int | bytes]]:
+    """Numbers and values of a protocol buffer message's fields."""
+    at = 0
+
+    def number() -> int:
+        nonlocal at
+        value = shift = 0
+        while True:
+            byte = raw[at]
+            at += 1
+            value |= (byte & 127) << shift
+            shift += 7
+            if byte < 128:
+                return value
+
+    while at < len(raw):
+        key = number()
+        if key & 7 == 0:
+            yield key >> 3, number()
+        else:
+            n = {1: 8, 5: 4}.get(key & 7) or number()
+            yield key >> 3, raw[at : at + n]
+            at += n
+
+
+def model_kind(raw: bytes) -> int:
+    """A model file's ``model_type`` (field 3 of its trainer specification, field 2): unigram where it is not stated."""
+    kind = UNIGRAM
+    for field, value in _fields(raw):
+        if field == 2 and isinstance(value, bytes):
+            kind = next((v for f, v in _fields(value) if f == 3), kind)
+    if kind not in (UNIGRAM, BPE):
+        raise ValueError("neither a unigram nor a BPE model")
+    return kind
+
+
 class Model:
     """The pieces and flags of a model file, as the sentencepiece library reads it."""
 
@@ -44,9 +81,8 @@ class Model:
         self.bytes = {int(self.pieces[i][3:5], 16): i for i in range(n) if sp.is_byte(i)}
         self.ids = {p: i for i, p in enumerate(self.pieces) if i not in special and not sp.is_byte(i)}
         self.scores = [sp.get_score(i) for i in range(n)]
-        # Merge ranks are 0, -1, -2, ... in the order of the pieces; a unigram model has log probabilities.
-        ranks = [self.scores[i] for i in self.ids.values() if len(self.pieces[i]) > 1]
-        self.kind = BPE if ranks and all(s == int(s) for s in ranks[:1000]) else UNIGRAM
+        with open(path, "rb") as f:
+            self.kind = model_kind(f.read())
         # Lengths, from the longest, of the pieces of three characters or more by their last three.
         by_end: dict[str, set[int]] = {}
         for p in self.ids:
@@ -227,7 +263,8 @@ def _batches(b: pa.RecordBatch, most: int = 2 << 20) -> Iterator[tuple[int, list
 def encode(docs: DataFrame, model_path: str, digest: bool = False) -> DataFrame:
     """``doc_id, n_pieces, ids_crc32, round_trip`` for every row, and ``ids array<int>`` unless ``digest`` is set.
 
-    Null texts are empty and have no ids. ``round_trip``: the ids decode to the text. ``ids_crc32`` is the unsigned crc32
+    Null texts are empty and have no ids; repeated rows and rows with a null id are encoded each; an empty table gives none;
+    other columns are ignored. ``round_trip``: the ids decode to the text. ``ids_crc32`` is the unsigned crc32
     of the ids as little-endian 32-bit integers. ``model_path`` must exist on every executor.
     """
 
@@ -249,7 +286,7 @@ def encode(docs: DataFrame, model_path: str, digest: bool = False) -> DataFrame:
 
 
 def decode(encoded: DataFrame, model_path: str) -> DataFrame:
-    """``doc_id, text`` of rows with ``doc_id, ids``; null ids give a null text."""
+    """``doc_id, text`` of every row with ``doc_id, ids``; null ids give a null text, no ids the empty one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model(model_path)

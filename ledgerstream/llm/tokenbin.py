@@ -127,8 +127,8 @@ class WordEncoder:
     """Encodes whole texts with a byte-level BPE of the tokenizers library, one pre-token at a time.
 
     Its merges never cross the pre-tokens of its split pattern, so a text's ids are its pre-tokens' ids in order; the
-    library's model encodes each pre-token that is not kept. A tokenizer of another build encodes texts whole. Strings
-    of special tokens are ordinary text.
+    library's model encodes each pre-token that is not kept. Texts that hold the string of an added token, and all texts of
+    a tokenizer of another build, are encoded whole by the library, which gives such strings their own id.
     """
 
     def __init__(self, path: str):
@@ -138,18 +138,19 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         pre = spec.get("pre_tokenizer") or {}
         self.by_word = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and not spec.get("normalizer") and spec["model"]["type"] == "BPE" and all(t.get("special") for t in spec.get("added_tokens", ()))
+        added = [re.escape(t["content"]) for t in spec.get("added_tokens", ())]
+        self.find_added = re.compile("|".join(added)).search if added else lambda text: None
         self.vocab_size = self.tokenizer.get_vocab_size()
         self.kind = "<u2" if self.vocab_size <= 1 << 16 else "<u4"
         self.find_latin, self.find_any = re.compile(LATIN_SPLIT).findall, regex.compile(SPLIT).findall
         self.known = Words(self.tokenizer.model, self.kind)
 
     def __call__(self, text: str) -> np.ndarray:
-        if not self.by_word:
+        if not self.by_word or self.find_added(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
         return np.frombuffer(b"".join(map(self.known.__getitem__, self.find(text))), self.kind)
 

@@ -16,6 +16,7 @@ from collections.abc import Iterator
 from urllib.parse import quote, unquote
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,13 +26,14 @@ LEAST_REVISIT = 100
 
 
 def with_revisits(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
-    """``page_id, url, html, digest, refers_to``: of equal payloads of ``least`` bytes or more, all but the one with the
-    least page_id refer to it. Null html is empty; rows with a null page_id are never referred to nor refer."""
+    """``page_id, url, html, digest, refers_to, first_url``: of equal payloads of ``least`` bytes or more, all but the one with the
+    least page_id refer to it; ``first_url`` is that one's url. Null html is empty; rows with a null page_id are never referred
+    to nor refer. Other columns are ignored."""
     p = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html")).withColumn("digest", F.sha2("html", 256))
-    firsts = p.where(F.octet_length("html") >= least).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("page_id").alias("n")).where("n > 1").drop("n")
+    firsts = p.where(F.octet_length("html") >= least).groupBy("digest").agg(F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url"))).alias("first"), F.count("page_id").alias("n")).where("n > 1").select("digest", F.col("first.page_id").alias("first"), F.col("first.url").alias("first_url"))
     # A payload with a large share of all pages is spread over SALTS joins; the side that is repeated has one narrow row a digest.
     salted = firsts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return p.withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int")).join(salted, ["digest", "salt"], "left").select("page_id", "url", "html", "digest", F.when(F.col("first") != F.col("page_id"), F.col("first")).alias("refers_to"))
+    return p.withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int")).join(salted, ["digest", "salt"], "left").select("page_id", "url", "html", "digest", F.when(F.col("first") != F.col("page_id"), F.col("first")).alias("refers_to"), "first_url")
 
 
 def chunked(payload: bytes, chunk: int = CHUNK) -> bytes:
@@ -55,9 +57,10 @@ def dechunk(body: bytes) -> bytes:
         at = end + 2 + n + 2
 
 
-def record_id(page_id: int | None, row: int | None = None) -> str:
-    """A page's id, or with ``row`` that of one record: repeated pages have records of their own."""
-    return f"<urn:page:{'null' if page_id is None else page_id}{'' if row is None else f':row:{row}'}>"
+def record_id(page_id: int | None, url: str | None, digest: str) -> str:
+    """A record's id, from its page's id, url and payload: only rows that repeat all three share one."""
+    told = xxhash.xxh3_64_hexdigest(f"{'-' if url is None else '=' + url}\n{digest}".encode("utf-8", "surrogatepass"))
+    return f"<urn:page:{'null' if page_id is None else page_id}:{told}>"
 
 
 def _record(headers: list[tuple[str, object]], block: bytes) -> bytes:
@@ -65,15 +68,18 @@ def _record(headers: list[tuple[str, object]], block: bytes) -> bytes:
     return b"WARC/1.1\r\n" + head.encode() + b"\r\n" + block
 
 
-def page_records(page_id: int | None, url: str | None, html: str, digest: str, refers_to: int | None, row: int = 0, segment: int = SEGMENT) -> Iterator[bytes]:
+def page_records(page_id: int | None, url: str | None, html: str, digest: str, refers_to: int | None, first_url: str | None = None, segment: int = SEGMENT) -> Iterator[bytes]:
     """The records of a page, each without its closing separator."""
     payload = html.encode("utf-8", "surrogatepass")
-    rid = record_id(page_id, row)
+    rid = record_id(page_id, url, digest)
     common = [("WARC-Record-ID", rid), ("WARC-Date", "2024-01-01T00:00:00Z"), ("WARC-Payload-Digest", f"sha256:{digest}"), ("X-Payload-Length", len(payload)), ("Content-Type", "application/http;msgtype=response")]
     if url is not None:
-        common.insert(1, ("WARC-Target-URI", quote(url, safe="%/:=&?~#+!$,;'@()*[]")))
+        uri = quote(url, safe="%/:=&?~#+!$,;'@()*[]", errors="surrogatepass")
+        common.insert(1, ("WARC-Target-URI", uri))
+        if uri != url:  # what is no URI as it stands is kept beside it
+            common.insert(2, ("X-Page-Url", quote(url, safe="", errors="surrogatepass")))
     if refers_to is not None:
-        yield _record([("WARC-Type", "revisit"), ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("WARC-Refers-To", record_id(refers_to)), *common], b"HTTP/1.1 200 OK\r\n\r\n")
+        yield _record([("WARC-Type", "revisit"), ("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), ("WARC-Refers-To", record_id(refers_to, first_url, digest)), *common], b"HTTP/1.1 200 OK\r\n\r\n")
         return
     block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n" + chunked(payload)
     if len(block) <= segment:
@@ -101,7 +107,7 @@ def write_warc(pages: DataFrame, path: str, segment: int = SEGMENT) -> None:
                     out, held = [], 0
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
 
-    records = pages.select("page_id", "url", "html", "digest", "refers_to", F.monotonically_increasing_id().alias("row")).mapInArrow(run, "record binary")
+    records = pages.select("page_id", "url", "html", "digest", "refers_to", "first_url").mapInArrow(run, "record binary")
     records.select(F.col("record").cast("string")).write.option("lineSep", SEPARATOR).option("maxRecordsPerFile", RECORDS_PER_FILE).option("compression", "gzip").text(path)
 
 
@@ -138,7 +144,7 @@ def http_payload(block: bytes) -> bytes:
 
 
 def _page_of(rid: str) -> int | None:
-    m = re.fullmatch(r"<urn:page:(-?\d+)(?::row:\d+)?>", rid)
+    m = re.fullmatch(r"<urn:page:(-?\d+)(?::[0-9a-f]+)?>", rid)
     return int(m[1]) if m else None
 
 
@@ -154,7 +160,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
 
     def meta(h: dict[str, str]) -> list:
-        return [h["warc-record-id"], _page_of(h["warc-record-id"]), unquote(h["warc-target-uri"]) if "%" in h.get("warc-target-uri", "") else h.get("warc-target-uri"), h["warc-type"], _page_of(h["warc-refers-to"]) if "warc-refers-to" in h else None, int(h.get("x-payload-length", -1)), h.get("warc-payload-digest", ":").split(":")[1]]
+        return [h["warc-record-id"], _page_of(h["warc-record-id"]), unquote(h["x-page-url"], errors="surrogatepass") if "x-page-url" in h else h.get("warc-target-uri"), h["warc-type"], _page_of(h["warc-refers-to"]) if "warc-refers-to" in h else None, int(h.get("x-payload-length", -1)), h.get("warc-payload-digest", ":").split(":")[1]]
 
     def checked(m: list, payload: bytes | None, problem: str | None = None) -> tuple:
         if payload is not None:
@@ -207,12 +213,15 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
             for origin, m, total, last, ps in zip(*(b.column(i) for i in range(5)), strict=True):
                 m, ps = m.as_py(), ps.as_py()
                 m = [origin.as_py(), _page_of(origin.as_py()), None, "response", None, None, None] if m is None else [m[k] for k in names]
-                block = b"".join(p["block"] for p in ps)
-                if [p["n"] for p in ps] != list(range(1, last.as_py() + 1)) or len(block) != total.as_py():
+                # Rows repeated in all columns have one id, and as many equal records.
+                copies = max(1, sum(p["n"] == 1 for p in ps))
+                block = b"".join(p["block"] for p in ps[::copies])
+                if [p["n"] for p in ps] != [n for n in range(1, last.as_py() + 1) for _ in range(copies)] or len(block) != total.as_py():
                     row = (*m, None, "segments")
                 else:
                     row = checked(m, http_payload(block))
-                yield batch([row], [("payload", pa.binary()), ("problem", pa.string())])
+                for _ in range(copies):
+                    yield batch([row], [("payload", pa.binary()), ("problem", pa.string())])
 
     return done.unionByName(joined.select("origin", "m", "total", "last", "parts").mapInArrow(assemble, META + ", payload binary, problem string"))
 
