@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 MAX_UINT32 = 4294967295
 # Fixed values of the wire contract.
 SCHEMA_VERSION, GAP_REASON, GAP_KIND, DEPOSIT_KIND = "1.1", "rpc_retention", "gap", "token_transfer"
+# Fixed value: the text of a ledger service's error.
 WINDOW_ERROR = r"oldest ledger:?\s*(\d+).*?latest ledger:?\s*(\d+)"
 
 
@@ -33,12 +34,12 @@ def envelope_problem() -> Column:
     """Null for a valid envelope, else the first rule it fails."""
     empty = lambda c: F.coalesce(F.col(c) == "", F.lit(True))
     zero = lambda c: F.coalesce(F.col(c) == 0, F.lit(True))
-    out = F.when(empty("schema_version"), "missing schema_version").when(empty("type"), "missing type").when(empty("network"), "missing network").when(empty("message_id"), "missing message_id").when(zero("ledger_seq"), "ledger_seq must be > 0")
+    out = F.when(empty("schema_version"), "missing schema_version").when(empty("type"), "missing type").when(empty("network"), "missing network").when(empty("message_id"), "missing message_id").when(zero("ledger_seq"), "no ledger_seq")
     fact, state, control = F.col("type").isin("event", "deposit"), F.col("type") == "state", F.col("type") == "control"
     for c in ("contract_id", "raw_xdr", "event_kind", "tx_hash"):
         out = out.when(fact & empty(c), f"missing {c}")
     out = out.when(state & empty("contract_id"), "missing contract_id").when(state & empty("state_change_type"), "missing state_change_type").when(state & (F.col("state_change_type") != "removed") & empty("raw_xdr"), "missing raw_xdr")
-    out = out.when(control & empty("control_kind"), "missing control_kind").when(control & (zero("gap_from_ledger") | zero("gap_to_ledger") | (F.col("gap_from_ledger") > F.col("gap_to_ledger"))), "gap range is not valid")
+    out = out.when(control & empty("control_kind"), "missing control_kind").when(control & (zero("gap_from_ledger") | zero("gap_to_ledger") | (F.col("gap_from_ledger") > F.col("gap_to_ledger"))), "bad gap range")
     return out.when(~(fact | state | control), "unknown type")
 
 
@@ -47,11 +48,11 @@ def command_problem(max_reseed: int = 5000, max_ttl: int = 3600) -> Column:
     kind, n, ttl = F.col("command"), F.coalesce(F.size("contract_ids"), F.lit(0)), F.coalesce(F.col("ttl_seconds"), F.lit(0))
     one = kind.isin("track_escrow", "refresh_escrow", "remove_escrow")
     return (
-        F.when(one & F.coalesce(F.col("contract_id") == "", F.lit(True)), "requires contract_id")
-        .when((kind == "reseed") & (n <= 0), "requires contract_ids")
+        F.when(one & F.coalesce(F.col("contract_id") == "", F.lit(True)), "no contract_id")
+        .when((kind == "reseed") & (n <= 0), "no contract_ids")
         .when((kind == "reseed") & (n > max_reseed), "too many ids")
-        .when((kind == "pause") & (ttl < 0), "ttl must be >= 0")
-        .when((kind == "pause") & (ttl > max_ttl), "ttl exceeds the maximum")
+        .when((kind == "pause") & (ttl < 0), "ttl below zero")
+        .when((kind == "pause") & (ttl > max_ttl), "ttl over an hour")
         .when(~F.coalesce(one | kind.isin("reseed", "pause", "resume", "reconcile"), F.lit(False)), "unknown command")
     )
 
@@ -82,11 +83,13 @@ def sanitize_text(c) -> Column:
 
 
 def url_host(c) -> Column:
-    return F.coalesce(F.try_parse_url(F.col(c), F.lit("HOST")), F.lit("unknown"))
+    """Host and port of a URL; ``unknown`` for what can't be parsed or has none."""
+    return F.coalesce(F.nullif(F.regexp_replace(F.try_parse_url(F.col(c), F.lit("AUTHORITY")), "^.*@", ""), F.lit("")), F.lit("unknown"))
 
 
 def redact_url(c) -> Column:
-    return F.regexp_replace(F.col(c), "(//[^:/@]*):[^@/]*@", "$1:***@")
+    """The URL, its password masked; a password may hold any sign but those that end the authority."""
+    return F.regexp_replace(F.col(c), "(//[^:/?#@]*):[^/?#]*@", "$1:***@")
 
 
 def topic_regex(pattern: str) -> str:
@@ -120,4 +123,6 @@ def topic_regex_column(pattern="pattern") -> Column:
 
 
 def rfc3339(c) -> Column:
-    return F.date_format(F.col(c) if isinstance(c, str) else c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    """A time in UTC to the second, whatever the session's time zone is."""
+    seconds = F.unix_seconds(F.col(c) if isinstance(c, str) else c)
+    return F.concat(F.replace(F.substring((F.expr("timestamp_ntz'1970-01-01 00:00:00'") + F.make_dt_interval(secs=seconds)).cast("string"), 1, 19), F.lit(" "), F.lit("T")), F.lit("Z"))

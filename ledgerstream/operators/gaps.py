@@ -59,10 +59,15 @@ def coverage_gaps(ledgers: DataFrame) -> DataFrame:
     return ledgers.select("ledger_seq").distinct().withColumn("after", after).where("after > ledger_seq + 1").select((F.col("ledger_seq") + 1).alias("from_ledger"), (F.col("after") - 1).alias("to_ledger"))
 
 
-def remaining_gaps(gaps: DataFrame, replayed: DataFrame) -> DataFrame:
-    """What is left of recorded gaps after the ledgers of ``replayed``, as ranges within each gap."""
-    r = replayed.select(F.col("ledger_seq").alias("r")).distinct()
-    inside = gaps.select("from_ledger", "to_ledger").join(r, F.col("r").between(F.col("from_ledger"), F.col("to_ledger")), "left")
+def remaining_gaps(gaps: DataFrame, replayed: DataFrame, bucket: int = 10_000) -> DataFrame:
+    """What is left of recorded gaps after the ledgers of ``replayed``, as ranges within each gap.
+
+    Gaps and ledgers meet by equal buckets of ledger numbers; a gap stands in each bucket it reaches into.
+    """
+    of = lambda c: F.floor(F.col(c) / bucket)
+    r = replayed.select(F.col("ledger_seq").alias("r")).distinct().withColumn("bucket", of("r"))
+    reach = gaps.select("from_ledger", "to_ledger").distinct().withColumn("bucket", F.explode(F.sequence(of("from_ledger"), of("to_ledger"))))
+    inside = reach.join(r, "bucket").where(F.col("r").between(F.col("from_ledger"), F.col("to_ledger")))
     ends = inside.select("from_ledger", "to_ledger", "r").union(gaps.select("from_ledger", "to_ledger", F.col("from_ledger") - 1)).union(gaps.select("from_ledger", "to_ledger", F.col("to_ledger") + 1)).where("r is not null")
     w = Window.partitionBy("from_ledger", "to_ledger").orderBy("r")
     return ends.withColumn("after", F.lead("r").over(w)).where("after > r + 1").select((F.col("r") + 1).alias("from_ledger"), (F.col("after") - 1).alias("to_ledger"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,25 +15,37 @@ def tip_mode(progress: DataFrame, catching_up_s: int = 1200, sweep_s: int = 30)
     return progress.withColumn("age_s", age).withColumn("catching_up", F.col("age_s") > catching_up_s).withColumn("sweep_eligible", F.col("age_s") <= sweep_s)
 
 
-def ledger_progress(ledgers: DataFrame, facts: DataFrame, states: DataFrame) -> DataFrame:
-    """Facts and states of each ledger, 0 for ledgers without."""
-    n = lambda df, name: df.groupBy("ledger_seq").agg(F.count("*").alias(name))
-    return ledgers.select("ledger_seq").join(n(facts, "events"), "ledger_seq", "left").join(n(states, "states"), "ledger_seq", "left").na.fill(0, ["events", "states"])
+def ledger_progress(ledgers: DataFrame, facts: DataFrame, states: DataFrame, intervals: DataFrame, gaps: DataFrame) -> DataFrame:
+    """``events, states`` of each ledger, 0 for ledgers without; ``known_escrows`` tracked at it, ``gaps`` that end before it.
+
+    Everything is summed by ledger first: the window runs over one row a ledger or change.
+    """
+    turns = [intervals.selectExpr("from_ledger as ledger_seq", "1 as tracked"), intervals.where("to_ledger is not null").selectExpr("to_ledger", "-1")]
+    parts = [ledgers.selectExpr("ledger_seq", "1 as here", "0 as events", "0 as states", "0 as tracked", "0 as gaps"), facts.selectExpr("ledger_seq", "0", "1", "0", "0", "0"), states.selectExpr("ledger_seq", "0", "0", "1", "0", "0"), *(t.selectExpr("ledger_seq", "0", "0", "0", "tracked", "0") for t in (turns[0], turns[1].toDF("ledger_seq", "tracked"))), gaps.selectExpr("to_ledger + 1", "0", "0", "0", "0", "1")]
+    summed = reduce(DataFrame.union, parts).groupBy("ledger_seq").agg(F.max("here").alias("here"), *[F.sum(c).cast("long").alias(c) for c in ("events", "states", "tracked", "gaps")])
+    w = Window.orderBy("ledger_seq")
+    return summed.select("ledger_seq", "here", "events", "states", F.sum("tracked").over(w).alias("known_escrows"), F.sum("gaps").over(w).alias("gaps")).where("here = 1").drop("here")
+
 
+def status(progress: DataFrame, counts: DataFrame, now_s: int, stale_s: int = 60, started_s: int | None = None, pauses: DataFrame | None = None) -> DataFrame:
+    """One row: current ledger, its age, totals and readiness. ``counts``: one row of events, states, tracked, gaps, suppressed.
 
-def status(progress: DataFrame, counts: DataFrame, now_s: int, stale_s: int = 60) -> DataFrame:
-    """One row: current ledger, its age, totals and readiness. ``counts``: one row of events, states, tracked, gaps, suppressed."""
-    one = progress.agg(F.max("ledger_seq").alias("current_ledger"), F.max_by(F.unix_seconds("closed_at"), "ledger_seq").alias("closed_s"), F.max(F.unix_seconds("processed_at")).alias("processed_s"))
+    ``started_s`` is when the job began (else its first processed ledger counts); ``pauses`` are ``pause_intervals``.
+    """
+    one = progress.agg(F.max("ledger_seq").alias("current_ledger"), F.max_by(F.unix_seconds("closed_at"), "ledger_seq").alias("closed_s"), F.max(F.unix_seconds("processed_at")).alias("processed_s"), F.min(F.unix_seconds("processed_at")).alias("first_s"))
+    held = pauses.agg(F.coalesce(F.max((F.col("from_s") <= now_s) & (F.col("to_s") > now_s)), F.lit(False)).alias("paused")) if pauses is not None else None
+    one = one.withColumn("paused", F.lit(False)) if held is None else one.crossJoin(held)
+    began = F.lit(started_s) if started_s is not None else F.col("first_s")
     silent = F.lit(now_s) - F.col("processed_s")
     reason = F.when(F.col("processed_s").isNull(), "no ledger processed yet").when(silent > stale_s, F.concat(F.lit("no ledger processed in "), silent, F.lit("s"))).otherwise("")
-    return one.crossJoin(counts).select("current_ledger", (F.lit(now_s) - F.col("closed_s")).alias("ledger_age_seconds"), silent.alias("seconds_since_last_ledger"), F.col("tracked").alias("known_escrows"), F.col("events").alias("events_published_total"), F.col("states").alias("state_changes_published_total"), F.col("gaps").alias("gaps_recorded"), F.col("suppressed").alias("suppressed_removals_total"), (reason == "").alias("ready"), reason.alias("ready_reason"))
+    return one.crossJoin(counts).select("current_ledger", (F.lit(now_s) - F.col("closed_s")).alias("ledger_age_seconds"), silent.alias("seconds_since_last_ledger"), F.col("tracked").alias("known_escrows"), F.col("events").alias("events_published_total"), F.col("states").alias("state_changes_published_total"), F.col("gaps").alias("gaps_recorded"), F.col("suppressed").alias("suppressed_removals_total"), (reason == "").alias("ready"), reason.alias("ready_reason"), "paused", F.greatest(F.lit(0).cast("long"), F.lit(now_s) - began).alias("uptime_seconds"))
 
 
 def metrics_long(status_row: DataFrame, network: str) -> DataFrame:
     # Metric names and kinds.
-    gauges = ["current_ledger", "ledger_age_seconds", "seconds_since_last_ledger", "known_escrows", "gaps_recorded", "ready"]
+    gauges = ["current_ledger", "ledger_age_seconds", "seconds_since_last_ledger", "known_escrows", "gaps_recorded", "ready", "paused", "uptime_seconds"]
     counters = ["events_published_total", "state_changes_published_total", "suppressed_removals_total"]
-    rows = status_row.select(*[F.col(c).cast("int").cast("double") if c == "ready" else F.col(c).cast("double") for c in gauges + counters]).toDF(*gauges, *counters)
+    rows = status_row.select(*[F.col(c).cast("int").cast("double") if c in ("ready", "paused") else F.col(c).cast("double") for c in gauges + counters]).toDF(*gauges, *counters)
     long = rows.unpivot([], gauges + counters, "metric", "value")
     return long.select("metric", F.when(F.col("metric").isin(*counters), "counter").otherwise("gauge").alias("kind"), F.lit(network).alias("network"), "value")
 

@@ -11,11 +11,13 @@ MOST_BINDINGS = 10_000
 
 
 def _matches(keys: DataFrame, bindings: DataFrame) -> DataFrame:
-    """Distinct keys beside the queues that get them. Keys are few (types and kinds), so patterns are tried once a key."""
-    rules = bindings.select("queue", topic_regex_column().alias("_regex")).limit(MOST_BINDINGS + 1)
-    if rules.count() > MOST_BINDINGS:
-        raise ValueError(f"more than {MOST_BINDINGS} bindings")
-    return keys.select("topic_key").distinct().join(F.broadcast(rules), F.expr("topic_key rlike _regex")).select("topic_key", "queue").distinct()
+    """Distinct keys beside the queues that get them. Keys are few (types and kinds), so patterns are tried once a key.
+
+    Bindings are sent to the keys where they are few, else they stay where they are and Spark picks the side.
+    """
+    rules = bindings.select("queue", topic_regex_column().alias("_regex")).distinct()
+    few = rules.limit(MOST_BINDINGS + 1).count() <= MOST_BINDINGS
+    return keys.select("topic_key").distinct().join(F.broadcast(rules) if few else rules, F.expr("topic_key rlike _regex")).select("topic_key", "queue").distinct()
 
 
 def route(messages: DataFrame, bindings: DataFrame) -> DataFrame:

@@ -98,10 +98,10 @@ def pass_anchor(passes: DataFrame) -> DataFrame:
 def deferred_flush(active: DataFrame, ledgers: DataFrame) -> DataFrame:
     """Each active id once at the next ledger at the tip (``ledgers (ledger_seq, at_tip)``), where there is one.
 
-    The window runs over one row a ledger; ids are joined to it.
+    The window is a running minimum over one row a ledger, from the last to the first; ids are joined to it.
     """
-    w = Window.orderBy("ledger_seq").rowsBetween(0, Window.unboundedFollowing)
-    flush = ledgers.select("ledger_seq", F.first(F.when(F.col("at_tip"), F.col("ledger_seq")), True).over(w).alias("flush_ledger")).where("flush_ledger is not null")
+    w = Window.orderBy(F.desc("ledger_seq")).rowsBetween(Window.unboundedPreceding, 0)
+    flush = ledgers.select("ledger_seq", F.min(F.when(F.col("at_tip"), F.col("ledger_seq"))).over(w).alias("flush_ledger")).where("flush_ledger is not null")
     return active.join(flush, "ledger_seq").select("contract_id", "flush_ledger").distinct()
 
 

@@ -31,9 +31,12 @@ def discover(changes: DataFrame, approved: DataFrame) -> DataFrame:
 
 
 def command_ops(commands: DataFrame) -> DataFrame:
-    """Tracking commands as operations; they take effect at the ledger after the one they were drained at."""
+    """Tracking commands as operations; they take effect at the ledger after the one they were drained at. A reseed's ids
+    are seeds from that ledger on, so tombstones hold against them."""
     op = F.when(F.col("command") == "track_escrow", "track").when(F.col("command") == "remove_escrow", "remove")
-    return commands.select("contract_id", op.alias("op"), F.col("after_ledger").alias("ledger_seq"), F.col("cmd_seq").alias("log_seq")).where("op is not null")
+    one = commands.select("contract_id", op.alias("op"), F.col("after_ledger").alias("ledger_seq"), F.col("cmd_seq").alias("log_seq")).where("op is not null")
+    many = commands.where("command = 'reseed'").select(F.explode("contract_ids").alias("contract_id"), F.lit("seed").alias("op"), (F.col("after_ledger") + 1).alias("ledger_seq"), F.col("cmd_seq").alias("log_seq"))
+    return one.unionByName(many.where("contract_id <> ''"))
 
 
 def watchlist_fold(ops: DataFrame) -> DataFrame:

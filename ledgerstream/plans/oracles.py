@@ -26,14 +26,15 @@ VIEWS = {
     "suppressed": "select coalesce(cast(sum(missing) filter (requested >= 10 and 2 * missing > requested) as bigint), 0) as suppressed from guard",
     "keys": "select concat(tx_hash, ':', event_index) as message_id, concat('stellar.testnet.escrow.', type, '.', event_kind) as topic_key, * from facts",
     "errs": "select event_id as cmd_seq, case when k < 20 then 'track_escrow' when k < 40 then 'reseed' when k < 60 then 'pause' when k < 80 then 'resume' else 'dance' end as command, case when k % 2 = 0 then uid else '' end as contract_id, k % 3 = 0 as has_ids, (k - 45) * 300 as ttl from ev where event_type = 'error'",
-    "stat": f"select l.*, {NOW_S} - closed_s as age, {NOW_S} - p as silent, (select count(*) from tracked) as tracked, (select count(*) from facts) as events, (select count(*) from states) as n_states, (select count(*) from gaps) as n_gaps, (select suppressed from suppressed) as suppressed from (select max(ledger_seq) as current_ledger, arg_max(closed_s, ledger_seq) as closed_s, max(processed_s) as p from led) l",
+    "pauses": "select cmd_seq, from_s, least(from_s + ttl, after) as to_s from (select *, lead(from_s) over (order by from_s, cmd_seq) as after from (select event_id as cmd_seq, k, ts_s as from_s, least(case when coalesce(trunc(value), 0) <= 0 then 600 else cast(trunc(value) as bigint) end, 3600) as ttl from ev where event_type = 'error' and k in (3, 4))) where k = 3",
+    "stat": f"select (select coalesce(bool_or(from_s <= {NOW_S} and to_s > {NOW_S}), false) from pauses) as paused, l.*, {NOW_S} - closed_s as age, {NOW_S} - p as silent, (select count(*) from tracked) as tracked, (select count(*) from facts) as events, (select count(*) from states) as n_states, (select count(*) from gaps) as n_gaps, (select suppressed from suppressed) as suppressed from (select max(ledger_seq) as current_ledger, arg_max(closed_s, ledger_seq) as closed_s, max(processed_s) as p from led) l",
     "tip": "select ledger_seq, processed_s - closed_s <= 1200 as at_tip from led",
 }
 
 STATE_ID = "concat(contract_id, ':', ledger_seq)"
 GAP_ID = "concat('gap:testnet:', from_ledger, ':', to_ledger)"
 WIRE = f"""concat('{{"schema_version":"1.1","type":"', type, '","network":"testnet","contract_id":"', contract_id, '","ledger_seq":', ledger_seq, ',"ledger_closed_at":"', strftime(make_timestamp(closed_at * 1000000), '%Y-%m-%dT%H:%M:%SZ'), '","tx_hash":"', tx_hash, '","tx_index":', tx_index, ',"event_kind":"', event_kind, case when event_index = 0 then '"' else concat('","event_index":', event_index) end, ',"raw_xdr":"', raw_xdr, '","message_id":"', message_id, '","published_at":"2024-01-30T00:00:00Z"}}')"""
-GAUGES = {"current_ledger": "current_ledger", "ledger_age_seconds": "age", "seconds_since_last_ledger": "silent", "known_escrows": "tracked", "gaps_recorded": "n_gaps", "ready": "case when silent > 60 then 0 else 1 end"}
+GAUGES = {"current_ledger": "current_ledger", "ledger_age_seconds": "age", "seconds_since_last_ledger": "silent", "known_escrows": "tracked", "gaps_recorded": "n_gaps", "ready": "case when silent > 60 then 0 else 1 end", "paused": "case when paused then 1 else 0 end", "uptime_seconds": "3600"}
 COUNTERS = {"events_published_total": "events", "state_changes_published_total": "n_states", "suppressed_removals_total": "suppressed"}
 
 STATEMENTS = {
@@ -60,7 +61,7 @@ STATEMENTS = {
     "wire_json": f"select message_id, {WIRE} as value from keys",
     "validate_envelope": "select message_id, case when n % 11 = 0 then 'unknown type' when n % 5 = 0 then 'missing raw_xdr' when n % 7 = 0 then 'missing event_kind' end as reason from (select *, tx_index + ledger_seq as n from keys)",
     "filter_unchanged": "select contract_id, state_change_type, last_modified_ledger from states where state_change_type = 'removed' or last_modified_ledger >= 6000",
-    "validate_command": "select cmd_seq, command, case when command = 'track_escrow' and contract_id = '' then 'requires contract_id' when command = 'reseed' and not has_ids then 'requires contract_ids' when command = 'pause' and ttl < 0 then 'ttl must be >= 0' when command = 'pause' and ttl > 3600 then 'ttl exceeds the maximum' when command = 'dance' then 'unknown command' end as reject_reason from errs",
+    "validate_command": "select cmd_seq, command, case when command = 'track_escrow' and contract_id = '' then 'no contract_id' when command = 'reseed' and not has_ids then 'no contract_ids' when command = 'pause' and ttl < 0 then 'ttl below zero' when command = 'pause' and ttl > 3600 then 'ttl over an hour' when command = 'dance' then 'unknown command' end as reject_reason from errs",
     "pause_ttl": "select cmd_seq, least(case when ttl <= 0 then 600 else ttl end, 3600) as ttl from errs",
     "classify_fetch_errors": "select event_id, case when k < 30 then 'beyond_tip' when k < 60 then 'below_retention' else 'none' end as class from ev where event_type = 'error'",
     "approved_hashes": "select distinct repeat(md5(cast(k % 4 as varchar)), 2) as wasm_hash from ev where k >= 20",
@@ -78,8 +79,9 @@ STATEMENTS = {
     "guarded_states": "with r as (select distinct user_id % 7 as batch_id, uid as contract_id from ev), c as (select r.*, p.last_modified_ledger from r left join (select * from picked where cast(contract_id as bigint) % 7 >= 3) p using (contract_id)), g as (select batch_id, count(*) >= 10 and 2 * count(*) filter (last_modified_ledger is null) > count(*) as bad from c group by batch_id) select batch_id, contract_id, case when last_modified_ledger is null then 'removed' else 'updated' end as state_change_type, coalesce(last_modified_ledger, 0) as last_modified_ledger from c join g using (batch_id) where last_modified_ledger is not null or not bad",
     "refresh_targets": "with a as (select distinct event_id as cmd_seq, case when k < 10 then 'track' when k < 20 then 'refresh' else 'reseed' end as command, unnest(case when k < 20 then [uid] else [uid, cast(k as varchar)] end) as contract_id from ev where event_type = 'error' and k < 30) select cmd_seq, contract_id from a left join wnow using (contract_id) where command = 'track' or status = 'tracked' or (command = 'reseed' and coalesce(status <> 'tombstoned', true))",
     "active_entities": "select distinct ledger_seq, contract_id from facts",
-    "ledger_progress": "select led.ledger_seq, (select count(*) from facts f where f.ledger_seq = led.ledger_seq) as events, (select count(*) from states s where s.ledger_seq = led.ledger_seq) as states from led",
-    "status": "select current_ledger, age as ledger_age_seconds, silent as seconds_since_last_ledger, tracked as known_escrows, events as events_published_total, n_states as state_changes_published_total, n_gaps as gaps_recorded, suppressed as suppressed_removals_total, not silent > 60 as ready, case when silent > 60 then concat('no ledger processed in ', silent, 's') else '' end as ready_reason from stat",
+    "ledger_progress": "select led.ledger_seq, (select count(*) from facts f where f.ledger_seq = led.ledger_seq) as events, (select count(*) from states s where s.ledger_seq = led.ledger_seq) as states, (select count(*) from iv where from_ledger <= led.ledger_seq and (to_ledger is null or to_ledger > led.ledger_seq)) as known_escrows, (select count(*) from gaps g where g.to_ledger < led.ledger_seq) as gaps from led",
+    "sanitize_text": "select event_id, concat(event_type, '?A') as text from ev",
+    "status": "select current_ledger, age as ledger_age_seconds, silent as seconds_since_last_ledger, tracked as known_escrows, events as events_published_total, n_states as state_changes_published_total, n_gaps as gaps_recorded, suppressed as suppressed_removals_total, not silent > 60 as ready, case when silent > 60 then concat('no ledger processed in ', silent, 's') else '' end as ready_reason, paused, cast(3600 as bigint) as uptime_seconds from stat",
     "removal_guard": "select batch_id, requested, missing, requested >= 10 and 2 * missing > requested as is_implausible from guard",
     "suppressed_total": "select suppressed from suppressed",
     "fetch_quantiles": "with o as (select ts_s, value / 100 as d from ev where event_type <> 'error'), w as (select (ts_s // 60 + i) * 60 as end_s, d from o, range(1, 11) r(i)) select end_s, round(quantile_cont(d, 0.5), 6) as p50, round(quantile_cont(d, 0.9), 6) as p90, round(quantile_cont(d, 0.99), 6) as p99, count(*) as n from w group by end_s",
@@ -98,7 +100,7 @@ STATEMENTS = {
     "sweep_batches": "select contract_id, (rn - 1) // 20 as batch_id, (rn - 1) // 20 = (n - 1) // 20 as completes_pass from (select contract_id, row_number() over (order by contract_id) as rn, count(*) over () as n from tracked)",
     "pass_anchor": "select pass_no, start_ledger, lag(start_ledger, 1, 0) over (partition by g order by pass_no) as modified_since from (select ledger_seq // 50 as pass_no, ledger_seq as start_ledger, sum(case when ledger_seq % 400 = 0 then 1 else 0 end) over (order by ledger_seq) as g from led where ledger_seq % 50 = 0)",
     "stall_windows": "select from_s, to_s, to_s - from_s as silent_s from (select processed_s as from_s, lead(processed_s) over (order by processed_s) as to_s from led) where to_s - from_s > 1800",
-    "pause_intervals": "select cmd_seq, from_s, least(from_s + ttl, after) as to_s from (select *, lead(from_s) over (order by from_s, cmd_seq) as after from (select event_id as cmd_seq, k, ts_s as from_s, least(case when coalesce(trunc(value), 0) <= 0 then 600 else cast(trunc(value) as bigint) end, 3600) as ttl from ev where event_type = 'error' and k in (3, 4))) where k = 3",
+    "pause_intervals": "select cmd_seq, from_s, to_s from pauses",
     "ordered_history": "select ledger_seq, tx_index, event_index, contract_id from facts order by ledger_seq, tx_index, event_index",
     "sorted_states": "select contract_id, state_change_type from states order by contract_id",
     "next_batch": "select contract_id, rn from (select contract_id, row_number() over (order by contract_id) as rn from tracked) where rn > 10 order by rn limit 25",

@@ -332,12 +332,12 @@ def active_entities(t):
 
 @query
 def ledger_progress(t):
-    return ops.ledger_progress(t.ledgers, facts(t), states(t))
+    return ops.ledger_progress(t.ledgers, facts(t), states(t), intervals(t), gap_rows(t))
 
 
 def status_row(t):
     counts = facts(t).agg(F.count("*").alias("events")).crossJoin(states(t).agg(F.count("*").alias("states"))).crossJoin(tracked_now(t).agg(F.count("*").alias("tracked"))).crossJoin(gap_rows(t).agg(F.count("*").alias("gaps"))).crossJoin(state.suppressed_total(state.removal_guard(missing_rows(t))))
-    return ops.status(t.progress, counts, NOW_S)
+    return ops.status(t.progress, counts, NOW_S, started_s=NOW_S - 3600, pauses=control.pause_intervals(t.commands))
 
 
 @query

@@ -19,8 +19,10 @@ class Tables:
     @cached_property
     def ev(self) -> DataFrame:
         e = self.spark.read.parquet(f"{self.sf_dir}/events.parquet")
-        bucket = F.expr(f"unix_seconds(cast(ts as timestamp)) div {BUCKET_S}")
-        return e.select("event_id", F.col("ts").cast("timestamp").alias("ts"), F.col("user_id").cast("string").alias("uid"), "user_id", "event_type", "value", (bucket - FIRST + 1).alias("ledger_seq"), F.timestamp_seconds((bucket + 1) * BUCKET_S).alias("closed_at"), F.get_json_object("props", "$.k").cast("bigint").alias("k"))
+        # The table's times are UTC without a zone, and stay so in any session time zone.
+        micros = F.expr("timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', ts)")
+        bucket = F.expr(f"timestampdiff(SECOND, timestamp_ntz'1970-01-01 00:00:00', ts) div {BUCKET_S}")
+        return e.select("event_id", F.timestamp_micros(micros).alias("ts"), F.col("user_id").cast("string").alias("uid"), "user_id", "event_type", "value", (bucket - FIRST + 1).alias("ledger_seq"), F.timestamp_seconds((bucket + 1) * BUCKET_S).alias("closed_at"), F.get_json_object("props", "$.k").cast("bigint").alias("k"))
 
     @cached_property
     def raw_events(self) -> DataFrame:

@@ -38,9 +38,16 @@ def read_seed_list(spark: SparkSession, path: str) -> DataFrame:
     return seed_list(spark.read.text(path)) if path else spark.createDataFrame([], "contract_id string")
 
 
-def load_state(spark: SparkSession, path: str, network: str) -> DataFrame:
-    """One row of saved state; older layouts have empty fields, another network's state or a corrupt file raises."""
-    s = spark.read.schema(STATE).option("mode", "FAILFAST").option("multiLine", True).json(path)
+def load_state(spark: SparkSession, path: str, network: str, watchlist_path: str | None = None) -> DataFrame:
+    """One row of saved state; older layouts have empty fields, another network's state or a corrupt file raises.
+
+    In the split layout the lists and gaps are a record of their own at ``watchlist_path``, which then counts alone.
+    """
+    read = lambda p: spark.read.schema(STATE).option("mode", "FAILFAST").option("multiLine", True).json(p)
+    s = read(path)
+    if watchlist_path is not None:
+        lists = read(watchlist_path).select("escrow_contracts", "removed_contracts", "gaps")
+        s = s.select("network", "last_ledger").crossJoin(F.broadcast(lists))  # one row each
     checked = F.when(F.col("network") == network, F.col("network")).otherwise(F.raise_error(F.lit("the state is of another network")))
     empty = lambda c: F.coalesce(F.col(c), F.array()).alias(c)
     return s.select(checked.alias("network"), "last_ledger", empty("escrow_contracts"), empty("removed_contracts"), F.coalesce("gaps", F.array().cast(s.schema["gaps"].dataType)).alias("gaps"))
