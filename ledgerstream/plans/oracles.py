@@ -109,6 +109,10 @@ STATEMENTS = {
     "watchlist_minus": "select distinct contract_id from entries where contract_id not in (select contract_id from wnow where status = 'tombstoned')",
     "replay_merge": f"select message_id, ledger_seq, cast(case when ledger_seq >= 3000 then {NOW_S} else {NOW_S} + 60 end as bigint) as published_at from keys where ledger_seq >= 2000",
     "gap_republish": f"select {GAP_ID} as message_id, to_ledger + 1 as ledger_seq, cast({NOW_S} as bigint) as published_at from gaps",
+    "run_backfill": "select message_id, type, contract_id, ledger_seq from keys where ledger_seq between 2000 and 5000",
+    "run_replay": "with w as (select contract_id from (select *, row_number() over (partition by contract_id order by effective desc, late desc, log_seq desc) as r from fold where effective <= 4000) where r = 1 and status = 'tracked') select concat(tx_hash, ':', event_index) as message_id, case when emitter in (select contract_id from w) then 'event' else 'deposit' end as type, case when emitter in (select contract_id from w) then emitter else recipient end as contract_id, ledger_seq from raw where ledger_seq between 100 and 8000 and (emitter in (select contract_id from w) or recipient in (select contract_id from w)) and (select min(ledger_seq) <= 100 and max(ledger_seq) >= 8000 from led)",
+    "gap_detect": f"select start as from_ledger, oldest - 1 as to_ledger, 'rpc_retention' as reason, cast({NOW_S} as bigint) as detected_at from (select ledger_seq as start, case when ledger_seq % 11 = 0 then 9000 else 2000 end as oldest, 7000 as latest from led) where oldest <= latest and start <= latest + 60 and start < oldest",
+    "tip_states": "with f as (select distinct contract_id, flush_ledger from facts join (select a.ledger_seq, min(b.ledger_seq) as flush_ledger from tip a join tip b on b.ledger_seq >= a.ledger_seq and b.at_tip group by a.ledger_seq) using (ledger_seq) where contract_id in (select contract_id from tracked)), j as (select f.*, c.state_change_type, c.last_modified_ledger from f left join changes c using (contract_id)), g as (select flush_ledger, count(*) >= 10 and 2 * count(*) filter (state_change_type is null) > count(*) as bad from j group by flush_ledger) select flush_ledger as ledger_seq, contract_id, coalesce(state_change_type, 'removed') as state_change_type, coalesce(last_modified_ledger, 0) as last_modified_ledger from j join g using (flush_ledger) where state_change_type is not null or not bad",
     "coverage_gaps": "select from_ledger, to_ledger from gaps",
     "remaining_gaps": "with g as (select ledger_seq as f, ledger_seq + 49 as t from led where ledger_seq % 100 = 0), m as (select f, n from g, lateral (select unnest(range(f, t + 1)) as n) where n not in (select ledger_seq from led)), i as (select f, n, n - row_number() over (partition by f order by n) as grp from m) select min(n) as from_ledger, max(n) as to_ledger from i group by f, grp",
     "chain_continuity": "select ledger_seq, lower(prev_hash) = '0' as continues from led where ledger_seq = (select min(ledger_seq) + 1 from led)",

@@ -11,6 +11,7 @@ from .. import functions as fn
 from ..operators import control, detect, envelope, gaps, ops, routing, state, watchlist
 from ..sources import readers
 from ..sources.adapter import Tables
+from ..streaming import live
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 NOW_S = 1706572800  # 2024-01-30
@@ -498,6 +499,30 @@ def gap_republish(t):
     return flat(envelope.history_view(g.unionByName(g.withColumn("published_at", F.timestamp_seconds(F.lit(NOW_S + 60))))))
 
 
+# -- runs: the batch forms of the streaming operators --
+@query
+def run_backfill(t):
+    return flat(live.run_backfill(t.raw_events, ops_log(t), 2000, 5000, "testnet", stamp())).select("message_id", "type", "contract_id", "ledger_seq")
+
+
+@query
+def run_replay(t):
+    return flat(live.run_replay(t.raw_events, t.ledgers, readers.replay_watchlist(ops_log(t), 4000), 100, 8000, "testnet", stamp())).select("message_id", "type", "contract_id", "ledger_seq")
+
+
+@query
+def gap_detect(t):
+    return flat(gaps.as_gaps(gaps.clamp_start(clamp_requests(t)), stamp()))
+
+
+@query
+def tip_states(t):
+    """States a run publishes at ledgers at the tip: of contracts active since the tip ledger before, guarded."""
+    flushed = state.deferred_flush(detect.active_entities(facts(t)), tip_ledgers(t)).join(tracked_now(t), "contract_id", "left_semi")
+    wanted = flushed.select(F.col("flush_ledger").alias("batch_id"), "contract_id")
+    return state.guarded_states(wanted, changes(t)).select(F.col("batch_id").alias("ledger_seq"), "contract_id", "state_change_type", "last_modified_ledger")
+
+
 @query
 def coverage_gaps(t):
     return gaps.coverage_gaps(t.ledgers)

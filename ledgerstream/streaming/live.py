@@ -2,26 +2,37 @@
 
 A landed file holds whole ledgers, so a transaction is never split over micro-batches. Order inside a batch comes from
 ledger numbers, not arrival. Everything of a batch is written to folders named after it and overwritten by a retry; the
-stream's checkpoint moves after that, so a crash between write and commit repeats the batch with the same result.
+stream's checkpoint moves after that, so a crash between write and commit repeats the batch with the same result. What a
+batch depends on besides its rows, the clock and the end of the command log, is written down first and read by a retry.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import detect, envelope, gaps, watchlist
-from .tables import newest_before
+from ..functions import command_problem
+from ..operators import control, detect, envelope, gaps, state, watchlist
+from .tables import newest_before, written
 
 OPS = "contract_id string, op string, ledger_seq long, log_seq long"
+GAPS = "from_ledger long, to_ledger long, reason string, detected_at timestamp"
+CURSOR = "ledger_seq long, ledger_hash string, position long, pass_start long, modified_since long"
 
 
 @dataclass
 class LiveJob:
-    """``landed``: raw events with nested instance changes (``instances``), as files of whole ledgers."""
+    """``landed``: rows with ``kind``: ``event`` (raw events), ``instance`` (instance changes) and, where continuity is to
+    be checked or states are published, ``ledger`` (ledger_seq, closed_at, ledger_hash, prev_hash); files hold whole ledgers.
+
+    ``entries`` returns the snapshot of state entries as it stands; without it no states are published. States of active,
+    tracked contracts wait until a ledger is at most ``catching_up_s`` old, then come once; at a last ledger at most
+    ``sweep_s`` old the next ``sweep_size`` contracts of the rotation are read as well.
+    """
 
     spark: SparkSession
     out: str
@@ -30,31 +41,135 @@ class LiveJob:
     commands: Callable[[], DataFrame] | None = None  # the command log as it stands when a batch starts
     published_at: str = "1970-01-01 00:00:00"
     sinks: Iterable[tuple[Callable[[DataFrame, int], None], bool]] = ()
-
-    def ops_before(self, batch_id: int) -> DataFrame:
-        at = newest_before(self.spark, f"{self.out}/watchlist", batch_id)
-        return self.spark.read.schema(OPS).parquet(at) if at else self.spark.createDataFrame([], OPS)
+    entries: Callable[[], DataFrame] | None = None
+    now_s: Callable[[], int] = lambda: int(time.time())
+    hold: Callable[[float], None] = time.sleep  # waits while an operator's pause is on
+    catching_up_s: int = 1200
+    sweep_s: int = 30
+    sweep_size: int = 200
+
+    def newest(self, name: str, batch_id: int, schema: str) -> DataFrame:
+        at = newest_before(self.spark, f"{self.out}/{name}", batch_id)
+        return self.spark.read.schema(schema).parquet(at) if at else self.spark.createDataFrame([], schema)
+
+    def stamp(self):
+        return F.lit(self.published_at).cast("timestamp")
+
+    # -- before the stream --
+
+    def record_gap(self, ledgers: DataFrame, start: int, slack: int = 60) -> int:
+        """Clamp ``start`` to what the source (``ledgers``) has; a range that is skipped is recorded, and every recorded gap
+        published again, before anything is processed. Returns the ledger to start at."""
+        clamped = gaps.clamp_start(gaps.window_of(ledgers).select(F.lit(start).cast("long").alias("start"), "oldest", "latest"), slack)
+        row = clamped.first()
+        if row["outcome"] in ("beyond_tip", "inverted") or row["oldest"] is None:
+            raise ValueError(f"ledger {start} can't be served: {row['outcome']}")
+        gaps.as_gaps(clamped, F.timestamp_seconds(F.lit(self.now_s()))).write.mode("append").parquet(f"{self.out}/gaps")
+        found = envelope.gap_envelope(self.gaps().dropDuplicates(["from_ledger", "to_ledger"]), self.network, self.stamp())
+        fan_out(found, -1, self.sinks)
+        return row["resolved"]
+
+    def gaps(self) -> DataFrame:
+        return self.spark.read.schema(GAPS).parquet(f"{self.out}/gaps")
+
+    # -- a batch --
+
+    def plan(self, batch_id: int) -> tuple[int, int, int]:
+        """The clock, and the command log's part (after one number, up to another) of a batch: written once, read by a retry."""
+        path = f"{self.out}/plan/v={batch_id}"
+        schema = "now_s long, first long, last long"
+        if not written(self.spark, path):
+            first = (self.newest("plan", batch_id, schema).first() or (0, 0, -1))[2]
+            last = first
+            if self.commands:
+                while True:
+                    log = self.commands()
+                    now = self.now_s()
+                    until = control.pause_intervals(log.where(command_problem().isNull())).where((F.col("from_s") <= now) & (F.col("to_s") > now)).agg(F.max("to_s")).first()[0]
+                    if until is None:
+                        break
+                    self.hold(min(5.0, until - now))
+                last = max(first, log.agg(F.max("cmd_seq")).first()[0] or first)
+            self.spark.createDataFrame([(self.now_s(), first, last)], schema).coalesce(1).write.mode("overwrite").parquet(path)
+        return tuple(self.spark.read.schema(schema).parquet(path).first())
 
     def batch(self, df: DataFrame, batch_id: int) -> None:
-        before = self.ops_before(batch_id)
+        now_s, first, last = self.plan(batch_id)
+        self.check_continuity(df, batch_id)
+        before = self.newest("watchlist", batch_id, OPS)
         changes = df.where("kind = 'instance'").select("ledger_seq", "contract_id", "entry_type", "key_type", "post_present", "executable_type", "wasm_hash", "log_seq")
         found = watchlist.discover(changes, self.approved).select("contract_id", F.lit("discover").alias("op"), "ledger_seq", "log_seq")
         now = before.unionByName(found)
+        asked = None
         if self.commands:
-            now = now.unionByName(watchlist.command_ops(self.commands()))
+            checked = control.validate_command(self.commands().where((F.col("cmd_seq") > first) & (F.col("cmd_seq") <= last)))
+            checked.where("reject_reason is not null").select("cmd_seq", "command", "reject_reason").write.mode("overwrite").parquet(f"{self.out}/rejected_commands/batch_id={batch_id}")
+            asked = checked.where("reject_reason is null")
+            now = now.unionByName(watchlist.command_ops(asked))
         now = now.distinct().persist()
-        intervals = watchlist.watchlist_intervals(watchlist.watchlist_fold(now))
-        raw = df.where("kind = 'event'")
-        facts = detect.detect(raw, intervals)
-        good, bad = envelope.split_valid(envelope.event_envelope(facts, self.network, F.lit(self.published_at).cast("timestamp")))
+        fold = watchlist.watchlist_fold(now)
+        facts = detect.detect(df.where("kind = 'event'"), watchlist.watchlist_intervals(fold))
+        good, bad = envelope.split_valid(envelope.event_envelope(facts, self.network, self.stamp()))
         good.write.mode("overwrite").parquet(f"{self.out}/facts/batch_id={batch_id}")
         bad.write.mode("overwrite").parquet(f"{self.out}/rejected/batch_id={batch_id}")
         fan_out(self.spark.read.parquet(f"{self.out}/facts/batch_id={batch_id}"), batch_id, self.sinks)
+        if self.entries:
+            self.publish_states(df, batch_id, now_s, watchlist.watchlist_now(fold), asked)
         # The watchlist before the cursor (the checkpoint), and only where it changed.
         if not now.exceptAll(before).isEmpty():
             now.write.mode("overwrite").parquet(f"{self.out}/watchlist/v={batch_id}")
         now.unpersist()
 
+    def check_continuity(self, df: DataFrame, batch_id: int) -> None:
+        """The first ledger must continue the last one processed, where both hashes are known."""
+        cursor = self.newest("cursor", batch_id, CURSOR).first()
+        if cursor is None or "prev_hash" not in df.columns:
+            return
+        found = gaps.chain_continuity(df.where("kind = 'ledger'"), cursor["ledger_seq"], cursor["ledger_hash"]).first()
+        if found is not None and not found["continues"]:
+            raise ValueError(f"ledger {found['ledger_seq']} does not continue ledger {cursor['ledger_seq']}")
+
+    def publish_states(self, df: DataFrame, batch_id: int, now_s: int, status: DataFrame, asked: DataFrame | None) -> None:
+        ledgers = df.where("kind = 'ledger'").select("ledger_seq", "closed_at", "ledger_hash").dropDuplicates(["ledger_seq"]).persist()
+        bounds = ledgers.agg(F.min("ledger_seq"), F.max("ledger_seq"), F.max_by("closed_at", "ledger_seq"), F.max_by("ledger_hash", "ledger_seq"), F.max_by(F.unix_seconds("closed_at"), "ledger_seq")).first()
+        if bounds[0] is None:
+            ledgers.unpersist()
+            return
+        at_tip = ledgers.select("ledger_seq", (now_s - F.unix_seconds("closed_at") <= self.catching_up_s).alias("at_tip"))
+        active = detect.active_entities(self.spark.read.parquet(f"{self.out}/facts/batch_id={batch_id}")).unionByName(self.newest("pending", batch_id, "contract_id string").select(F.lit(bounds[0]).cast("long").alias("ledger_seq"), "contract_id"))
+        flushed = state.deferred_flush(active, at_tip)
+        # Held until a later batch reaches the tip: active after this batch's last ledger at the tip.
+        last_tip = at_tip.where("at_tip").agg(F.coalesce(F.max("ledger_seq"), F.lit(-1)).alias("last_tip"))
+        active.crossJoin(F.broadcast(last_tip)).where("ledger_seq > last_tip").select("contract_id").distinct().write.mode("overwrite").parquet(f"{self.out}/pending/v={batch_id}")
+        tracked = status.where("status = 'tracked'").select("contract_id").persist()
+        always = F.lit(0).cast("long")
+        wanted = flushed.select(F.col("flush_ledger").alias("batch_id"), "contract_id", F.col("flush_ledger").alias("ledger_seq"), always.alias("since")).join(tracked, "contract_id", "left_semi")
+        if asked is not None:  # commands' ids are read at the last processed ledger
+            targets = control.refresh_targets(asked, status)
+            wanted = wanted.unionByName(targets.select((-F.col("cmd_seq") - 1).alias("batch_id"), "contract_id", F.lit(bounds[1]).cast("long").alias("ledger_seq"), always.alias("since")))
+        cursor = self.newest("cursor", batch_id, CURSOR).first()
+        position, pass_start, since = (cursor["position"], cursor["pass_start"], cursor["modified_since"]) if cursor else (0, 0, 0)
+        if asked is not None and not asked.where("command = 'reconcile'").isEmpty():
+            position = pass_start = since = 0
+        if now_s - bounds[4] <= self.sweep_s:
+            if position == 0:
+                since, pass_start = pass_start, bounds[1]
+            swept = state.next_batch(tracked, position, self.sweep_size)
+            wanted = wanted.unionByName(swept.select(F.lit(-(1 << 62)).cast("long").alias("batch_id"), "contract_id", F.lit(bounds[1]).cast("long").alias("ledger_seq"), F.lit(since).cast("long").alias("since")))
+            position = position + self.sweep_size if position + self.sweep_size < tracked.count() else 0
+        changes = state.updates(state.known_entries(self.entries(), tracked))
+        found = state.guarded_states(wanted, changes).join(wanted.select("batch_id", "contract_id", "ledger_seq", "since").distinct(), ["batch_id", "contract_id"])
+        found = state.filter_unchanged(found, F.col("since")).join(ledgers.select("ledger_seq", "closed_at"), "ledger_seq")
+        # A contract that several reasons ask for at a ledger is published once.
+        once = found.select("contract_id", "state_change_type", "ledger_seq", "closed_at", "raw_xdr", "last_modified_ledger").dropDuplicates(["contract_id", "ledger_seq"])
+        good, bad = envelope.split_valid(envelope.state_envelope(once, self.network, self.stamp()))
+        good.write.mode("overwrite").parquet(f"{self.out}/states/batch_id={batch_id}")
+        bad.write.mode("overwrite").parquet(f"{self.out}/rejected_states/batch_id={batch_id}")
+        fan_out(self.spark.read.parquet(f"{self.out}/states/batch_id={batch_id}"), batch_id, self.sinks)
+        self.spark.createDataFrame([(bounds[1], bounds[3], position, pass_start, since)], CURSOR).coalesce(1).write.mode("overwrite").parquet(f"{self.out}/cursor/v={batch_id}")
+        ledgers.unpersist()
+        tracked.unpersist()
+
     def start(self, landed: DataFrame, checkpoint: str, available_now: bool = True):
         trigger = {"availableNow": True} if available_now else {"processingTime": "5 seconds"}
         return landed.writeStream.foreachBatch(self.batch).option("checkpointLocation", checkpoint).trigger(**trigger).start()
@@ -62,6 +177,9 @@ class LiveJob:
     def facts(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.out}/facts")
 
+    def states(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.out}/states")
+
 
 def fan_out(df: DataFrame, batch_id: int, sinks: Iterable[tuple[Callable[[DataFrame, int], None], bool]]) -> list[str]:
     """Give a batch to each sink; a required one's failure fails the batch, an optional one's is returned."""

@@ -49,6 +49,12 @@ def discard_scratch(spark: SparkSession, since: int, until: int | None = None) -
             made[i] = ""
 
 
+def written(spark: SparkSession, path: str) -> bool:
+    """Whether a folder has been written to its end."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def newest_before(spark: SparkSession, path: str, batch_id: int) -> str | None:
     """The folder of the greatest ``v=N`` below ``batch_id``; a retried batch so reads what it read before."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
