@@ -318,7 +318,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept`` for every row of ``docs (doc_id, text)``.
 
     Null texts are empty. Rows that repeat an id and text are one document and get the same result; other texts of a
-    repeated id follow each other in order of their SHA-256. Texts shorter than a window lose nothing.
+    repeated id follow each other in order of their SHA-256. Null ids come last, as the id 2^63 - 1, with its texts where a row
+    has it. Texts shorter than a window lose nothing; other columns are ignored; an empty table gives none.
     """
     rows = _with_copies(docs)
     copy = F.shiftright("at", 40).alias("copy")

@@ -3,8 +3,8 @@
 A text's words are hashed; hashes of k-grams of words come from those of half their length by a polynomial modulo a
 prime, H(2m, i) = H(m, i) * B^m + H(m, i + m). From each window of w neighbouring k-grams the least hash is taken, of
 equal ones the rightmost, with its position. Any passage of w + k - 1 words that two texts share gives them a common
-fingerprint; no passage shorter than k words does. A word is up to 16 letters, marks and digits in a row, or one Han
-character, so that texts without spaces have words too.
+fingerprint; no passage shorter than k words does. A word is up to 16 letters, marks and digits in a row, or one letter
+of a script that is written without spaces, so that such texts have words too, wherever a passage starts.
 
 A hash and its position are one long: the hash (below 2^31) above, 2^32 - 1 - position below, so that the least long is
 the least hash, of equal ones the rightmost.
@@ -20,7 +20,9 @@ from pyspark.sql import functions as F
 from .common import stored
 
 K, W = 4, 4
-TOKENS = r"\p{IsHan}|[\p{L}\p{M}\p{N}]{1,16}"
+# Scripts written without spaces.
+UNSPACED = "".join(rf"\p{{Is{s}}}" for s in "Han Hiragana Katakana Thai Lao Khmer Myanmar".split())
+TOKENS = rf"[{UNSPACED}&&[\p{{L}}\p{{M}}\p{{N}}]]|[\p{{L}}\p{{M}}\p{{N}}&&[^{UNSPACED}]]{{1,16}}"
 PRIME, BASE, HALF = (1 << 31) - 1, 1_000_003, 1 << 32
 
 
@@ -108,7 +110,7 @@ def _in_ranges(docs: DataFrame, rows_per_part: int) -> DataFrame:
     return numbered.join(F.broadcast(second), "coarse").withColumn("part", F.when(F.col("doc_id").isNull(), F.col("coarse") * 1000).otherwise(part)).drop("coarse", "cuts")
 
 
-def with_next(docs: DataFrame, rows_per_part: int = 5_000) -> DataFrame:
+def with_next(docs: DataFrame, rows_per_part: int = 1_000) -> DataFrame:
     """``docs (doc_id, text)`` with ``next``, the text of the following row by descending (doc_id, text); after the last, the first.
 
     Each range of ids is one window, and a copy of the next range's first row stands at a range's end.

@@ -472,7 +472,7 @@ def test_winnowing(spark, docs, empty):
 
         if not x:
             return []
-        w = [h(t) for t in regex.findall(winnow.TOKENS.replace("IsHan", "Han"), x)]
+        w = [h(t) for t in regex.findall("(?V1)" + winnow.TOKENS.replace("{Is", "{"), x)]
         if len(w) < winnow.K:
             return [(h(x), 0)]
         g = w
@@ -493,10 +493,14 @@ def test_winnowing(spark, docs, empty):
         y = order[(i + 1) % len(order)][1]
         k = len(x) // 3
         assert got[d].edited == x[: len(x) - k] + y[:k] and got[d].n_chars == len(x)
-        if len(x) < 5000:
-            assert [(p // half, half - 1 - p % half) for p in got[d].prints] == brute(x)
-        a, b = {v for v, _ in brute(x)} if len(x) < 5000 else {p // half for p in got[d].prints}, {p // half for p in got[d].edited_prints}
-        assert got[d].near_edited == pytest.approx(len(a & b) / len(a | b) if a | b else 1.0)
+        places = lambda prints: [(p // half, half - 1 - p % half) for p in prints]
+        assert places(got[d].prints) == brute(x) and places(got[d].edited_prints) == brute(got[d].edited)
+        like = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
+        own, changed, following = ({v for v, _ in brute(z)} for z in (x, got[d].edited, y))
+        assert got[d].near_edited == pytest.approx(like(own, changed)) and got[d].near_next == pytest.approx(like(own, following))
+    passage = "\u56fd\u5883\u306e\u9577\u3044\u30c8\u30f3\u30cd\u30eb\u3092\u629c\u3051\u308b\u3068\u96ea\u56fd\u3067\u3042\u3063\u305f"
+    a, b = ({v for v, _ in brute(x)} for x in (passage, "x" * 5 + "\u3042" + passage))
+    assert a & b  # shared text is found wherever it starts
     assert winnow.fingerprints_and_edits(empty).count() == 0
     many = spark.createDataFrame([(i, f"t{i}") for i in range(300)] + [(None, "n"), (7, "z")], SCHEMA)
     nxt = {(r.doc_id, r.text): r.next for r in winnow.with_next(many, 40).collect()}
