@@ -80,7 +80,7 @@ def scan(docs: DataFrame, owner_col: str = "source", whole: bool = False) -> Dat
         kind = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int64()), ("finish", pa.int64()), ("value", pa.string())]))
         for b in batches:
             counts, shas, found = ([], [], []), [], []
-            for t in b.column(2):
+            for t in b.column(2).field("text") if whole else b.column(2):
                 text = t.as_py() or ""
                 base = base_spans(text)
                 of = Counter(k for _, k, _, _ in base)
@@ -88,12 +88,12 @@ def scan(docs: DataFrame, owner_col: str = "source", whole: bool = False) -> Dat
                     counts[k].append(of[k])
                 shas.append(hashlib.sha256(join_spans(base).encode()).hexdigest())
                 found.append([{"start": s, "kind": k, "finish": e, "value": hashlib.sha256(v.encode("utf-8", "surrogatepass")).hexdigest()} for s, k, e, v in sorted(base + more_spans(text, base))])
-            more = [b.column(3)] if whole else []
+            more = [b.column(2)] if whole else []
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(c, pa.int64()) for c in counts), pa.array(shas), pa.array(found, kind), *more], names=["doc_id", "owner", "n_assign", "n_access", "n_hex", "base_sha256", "found", *["doc"][: len(more)]])
 
     owner = F.col(owner_col).cast("string") if owner_col in docs.columns else F.col("doc_id").cast("string")
     schema = "doc_id long, owner string, n_assign long, n_access long, n_hex long, base_sha256 string, found array<struct<start:long,kind:long,finish:long,value:string>>"
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(owner, F.lit("")).alias("owner"), F.col("text").cast("string").alias("text"), *([F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")] if whole else []))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(owner, F.lit("")).alias("owner"), F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc") if whole else F.col("text").cast("string").alias("text"))
     out = rows.mapInArrow(run, schema + (f", doc {docs.schema.simpleString()}" if whole else ""))
     return stored(out.withColumn("row", F.monotonically_increasing_id()), "secrets-scan")
 

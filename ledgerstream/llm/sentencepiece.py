@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 #: Words (twice) and pairs of pieces a worker keeps. It changes no result.
-WORDS_KEPT, PAIRS_KEPT = 400_000, 500_000
+WORDS_KEPT, PAIRS_KEPT = 100_000, 200_000
 UNIGRAM, BPE = 1, 2
 
 

@@ -358,11 +358,14 @@ def similar_texts(docs: DataFrame, rows: DataFrame, words: int = 5, similarity:
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [np.unique(shingle_hashes(t.as_py(), words)).view(np.int64) for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.int64()))], names=["node", "shingles"])
-
-    picked = _pick(docs.select("doc_id", "text"), wanted, "inner").select("node", F.col("text").cast("string")).mapInArrow(sets, f"node {NODE}, shingles array<long>")
-    held = stored(picked.dropDuplicates(["node"]), "similar-shingles")
+            # 32 bits tell the shingles of two texts apart.
+            found = [np.unique(shingle_hashes(t.as_py(), words).astype(np.uint32)).view(np.int32) for t in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.int32()))], names=["node", "shingles"])
+
+    picked = _pick(docs.select("doc_id", "text"), wanted, "inner").select("node", F.col("text").cast("string")).mapInArrow(sets, f"node {NODE}, shingles array<int>")
+    # Only where rows repeat id and text a node has several.
+    repeated = not rows.groupBy("doc_id", "h").count().where("count > 1").isEmpty()
+    held = stored(picked.dropDuplicates(["node"]) if repeated else picked, "similar-shingles")
     both = pairs.join(held.select(F.col("node").alias("u"), F.col("shingles").alias("a")), "u").join(held.select(F.col("node").alias("v"), F.col("shingles").alias("b")), "v")
     shared = F.size(F.array_intersect("a", "b"))
     alike = shared >= similarity * (F.size("a") + F.size("b") - shared)  # two texts without words are alike
@@ -373,7 +376,7 @@ def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFr
     """One row of each group of rows of ``docs`` with similar texts, that of the least doc_id; all columns as they are.
 
     Texts link where shared distinct ``words``-word shingles are ``similarity`` of all their shingles: linked texts are checked on
-    their shingles, candidates come from trees in the shards that least shingles name (tests measure their recall). Equal
+    32-bit hashes of their shingles, candidates come from trees in the shards that least shingles name (tests measure their recall). Equal
     texts always link, and texts without words, null or not, are equal. Rows that repeat id and text are one; other texts
     of a repeated id stand for themselves. Null ids come last: one such row stays only where no row of its group has an id.
     """
