@@ -23,6 +23,8 @@ K, W = 4, 4
 # Scripts written without spaces.
 UNSPACED = "".join(rf"\p{{Is{s}}}" for s in "Han Hiragana Katakana Thai Lao Khmer Myanmar".split())
 TOKENS = rf"[{UNSPACED}&&[\p{{L}}\p{{M}}\p{{N}}]]|[\p{{L}}\p{{M}}\p{{N}}&&[^{UNSPACED}]]{{1,16}}"
+#: All letters of these scripts come after U+0E00; texts without such signs take a shorter pattern to the same words.
+LATER, SPACED = r"[\x{0E00}-\x{10FFFF}]", r"[\p{L}\p{M}\p{N}]{1,16}"
 PRIME, BASE, HALF = (1 << 31) - 1, 1_000_003, 1 << 32
 
 
@@ -68,7 +70,8 @@ def fingerprint(text: Column, k: int = K, w: int = W) -> Column:
     small = lambda c: F.xxhash64(c).bitwiseAND(F.lit(PRIME))
     packed = lambda g: F.transform(g, lambda x, i: x * F.lit(HALF) + (F.lit(HALF - 1) - i))
     short = F.array(small(text) * F.lit(HALF) + F.lit(HALF - 1))
-    of = let(F.regexp_extract_all(text, F.lit(TOKENS), F.lit(0)), lambda t: F.when(F.size(t) < k, short).otherwise(F.array_distinct(window_minima(packed(gram_hashes(F.transform(t, small), k)), w))))
+    tokens = F.when(text.rlike(LATER), F.regexp_extract_all(text, F.lit(TOKENS), F.lit(0))).otherwise(F.regexp_extract_all(text, F.lit(SPACED), F.lit(0)))
+    of = let(tokens, lambda t: F.when(F.size(t) < k, short).otherwise(F.array_distinct(window_minima(packed(gram_hashes(F.transform(t, small), k)), w))))
     return F.when(F.coalesce(F.length(text), F.lit(0)) == 0, F.array().cast("array<bigint>")).otherwise(of)
 
 
