@@ -11,6 +11,8 @@ these are joined by their literal tokens in the same pass, so their verbatim cop
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,11 +36,15 @@ def template(text: Column) -> Column:
     """
     of = lambda kind, group: f" {kind}{VALUE}${group} "
     units = "|".join(sorted(set(UNITS.split()), key=lambda u: (-len(u), u)))
-    clean = F.regexp_replace(text, f"[{NUMBER}{NAME}{UNIT}{NUMBER.upper()}{NAME.upper()}{UNIT.upper()}{VALUE}]", " ")
-    named = F.regexp_replace(clean, r"(?<=[\p{L}\p{N},;)] )(\p{Lu}\p{Ll}+)(?![\p{L}\p{N}])", of(NAME, 1).strip())
-    with_units = F.regexp_replace(named, rf"(?i)(?<![\p{{L}}\p{{Nd}}])(\p{{Nd}}+)\s?({units})(?![\p{{L}}\p{{N}}])", of(NUMBER, 1) + of(UNIT, 2))
-    numbered = F.regexp_replace(with_units, rf"(?<![{VALUE}\p{{Nd}}])(\p{{Nd}}+)", of(NUMBER, 1))
-    marked = F.when(clean.rlike(r"\p{Nd}"), numbered).otherwise(named)
+    signs = [NUMBER, NAME, UNIT, NUMBER.upper(), NAME.upper(), UNIT.upper(), VALUE]
+    # Few texts hold such signs, and to look for them costs less than to replace none.
+    held = reduce(Column.__or__, [F.contains(text, F.lit(x)) for x in signs])
+    clean = F.when(held, F.regexp_replace(text, f"[{''.join(signs)}]", " ")).otherwise(text)
+    # Each pattern looks at the sign ahead first: at most places that fails, before anything is looked at behind.
+    named = F.regexp_replace(clean, r"(?=\p{Lu})(?<=[\p{L}\p{N},;)] )(\p{Lu}\p{Ll}+)(?![\p{L}\p{N}])", of(NAME, 1).strip())
+    with_units = F.regexp_replace(named, rf"(?i)(?=\p{{Nd}})(?<![\p{{L}}\p{{Nd}}])(\p{{Nd}}+)\s?({units})(?![\p{{L}}\p{{N}}])", of(NUMBER, 1) + of(UNIT, 2))
+    numbered = F.regexp_replace(with_units, rf"(?=\p{{Nd}})(?<![{VALUE}\p{{Nd}}])(\p{{Nd}}+)", of(NUMBER, 1))
+    marked = F.when(text.rlike(r"\p{Nd}"), numbered).otherwise(named)
     # Only the first and the last token can be empty.
     cut = lambda t: F.slice(t, F.when(t[0] == "", 2).otherwise(1), F.greatest(F.lit(0), F.size(t) - F.when(t[0] == "", 1).otherwise(0) - F.when((F.size(t) > 1) & (F.element_at(t, -1) == ""), 1).otherwise(0)))
     return let(F.split(F.lower(marked), SEPARATORS), cut)
