@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, quality, repeats, secrets, sentencepiece, simhash, tokenbin, warc, winnow, wrappers
+from . import alignment, decontam, quality, ranked, repeats, secrets, sentencepiece, simhash, tokenbin, vectors, warc, winnow, wrappers
 from .common import read_table
 
 
@@ -63,8 +63,20 @@ def op10_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(read_table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(read_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+
+
+def op13_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_token_files, op2_html_wrappers, op3_sentencepiece, op4_simhash_groups, op5_quality_scores, op6_secret_spans, op7_warc_roundtrip, op8_winnowing, op9_benchmark_leaks, op10_repeated_bytes)
+    found = (op1_token_files, op2_html_wrappers, op3_sentencepiece, op4_simhash_groups, op5_quality_scores, op6_secret_spans, op7_warc_roundtrip, op8_winnowing, op9_benchmark_leaks, op10_repeated_bytes, op11_ranked_search, op12_token_alignment, op13_near_vectors)
     return {f.__name__: f for f in found}
 
 
@@ -77,4 +89,20 @@ def oracle_sql() -> dict[str, str]:
                    case when first is not null and first <> p.page_id then 'revisit' else 'response' end as record_type,
                    case when first <> p.page_id then first end as refers_to, cast(null as varchar) as problem
             from p left join f using (digest)""",
+        "op11_ranked_search": r"""
+            with t as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as terms from documents),
+            c as (select count(*) filter (where len(terms) > 0) as n_docs, cast(sum(len(terms)) as bigint) as length from t),
+            p as (select doc_id, n, term, count(*) as tf from (select doc_id, len(terms) as n, unnest(terms) as term from t) group by all),
+            w as (select term, cast(floor(1000 * ln((2 * n_docs + 2)::double / (2 * count(*) + 1))) as bigint) as w from p, c group by term, n_docs),
+            i as (select distinct item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term from benchmark),
+            s as (select item_id, doc_id, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // length)))) as bigint) as score from i join p using (term) join w using (term), c group by item_id, doc_id),
+            r as (select *, cast(row_number() over (partition by item_id order by score desc, doc_id) as integer) as rank from s where score > 0)
+            select item_id, rank, doc_id, score from r where rank <= 10""",
+        "op13_near_vectors": """
+            with recursive v as (select vec_id, cast(embedding as double[]) as e from embeddings),
+            l as (select a.vec_id as u, b.vec_id as v from v a join v b on a.vec_id <> b.vec_id and list_cosine_similarity(a.e, b.e) >= 0.9),
+            r(u, v) as (select u, v from l union select r.u, l.v from r join l on r.v = l.u),
+            n as (select u, count(*) as n from l group by u), m as (select u, min(v) as low from r group by u)
+            select vec_id, coalesce(n.n, 0) as n_links, least(vec_id, coalesce(low, vec_id)) as component_id, least(vec_id, coalesce(low, vec_id)) = vec_id as kept
+            from embeddings left join n on n.u = vec_id left join m on m.u = vec_id""",
     }
