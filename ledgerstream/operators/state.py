@@ -57,13 +57,22 @@ def filter_unchanged(states: DataFrame, since: int | Column = 0) -> DataFrame:
     return states.where((F.col("state_change_type") == "removed") | (s == 0) | (F.col("last_modified_ledger") >= s))
 
 
-def guarded_states(requested: DataFrame, changes: DataFrame, since: int = 0) -> DataFrame:
-    """States of batches of requested ids (``batch_id, contract_id``): updates, and removals of plausible batches."""
+def judged(requested: DataFrame, changes: DataFrame) -> DataFrame:
+    """Requested ids (``batch_id, contract_id``) with their changes, and whether their batch's missing ones are implausible."""
     rows = requested.select("batch_id", "contract_id").distinct().join(changes, "contract_id", "left")
     guard = removal_guard(rows.select("batch_id", "contract_id", F.col("state_change_type").isNull().alias("is_missing")))
-    all_rows = rows.join(guard.select("batch_id", "is_implausible"), "batch_id").where("state_change_type is not null or not is_implausible").drop("is_implausible")
-    filled = all_rows.withColumn("last_modified_ledger", F.coalesce("last_modified_ledger", F.lit(0))).withColumn("raw_xdr", F.coalesce("raw_xdr", F.lit(""))).withColumn("state_change_type", F.coalesce("state_change_type", F.lit("removed")))
-    return filter_unchanged(filled, since)
+    return rows.join(guard.select("batch_id", "is_implausible"), "batch_id")
+
+
+def plausible_states(rows: DataFrame) -> DataFrame:
+    """States of ``judged`` rows: updates, and removals of plausible batches."""
+    kept = rows.where("state_change_type is not null or not is_implausible").drop("is_implausible")
+    return kept.withColumn("last_modified_ledger", F.coalesce("last_modified_ledger", F.lit(0))).withColumn("raw_xdr", F.coalesce("raw_xdr", F.lit(""))).withColumn("state_change_type", F.coalesce("state_change_type", F.lit("removed")))
+
+
+def guarded_states(requested: DataFrame, changes: DataFrame, since: int = 0) -> DataFrame:
+    """States of batches of requested ids (``batch_id, contract_id``): updates, and removals of plausible batches."""
+    return filter_unchanged(plausible_states(judged(requested, changes)), since)
 
 
 def numbered(ids: DataFrame, c: str = "contract_id") -> DataFrame:
@@ -85,9 +94,28 @@ def sweep_batches(ids: DataFrame, size: int) -> DataFrame:
 
 
 def next_batch(ids: DataFrame, position: int, size: int) -> DataFrame:
+    """The batch behind a place in the rotation. It numbers all ids; a running job goes by ``rotate``."""
     return numbered(ids).where(F.col("rn") > position).orderBy("rn").limit(max(1, size))
 
 
+def next_ids(ids: DataFrame, after: str | None, size: int) -> DataFrame:
+    """The next ``size`` ids of the rotation in sort order, those behind ``after`` (None: from the first); one at least where there is any.
+
+    A top-k over a filter: every task keeps ``size`` ids, nothing is numbered, and files sorted by id are skipped below ``after``.
+    """
+    behind = ids if after is None else ids.where(F.col("contract_id") > after)
+    return behind.select("contract_id").distinct().orderBy("contract_id").limit(max(1, size))
+
+
+def rotate(ids: DataFrame, after: str | None, size: int) -> tuple[list[str], str | None]:
+    """The rotation's next batch, and where the one after it goes on: None where this one completes the pass."""
+    found = [r[0] for r in next_ids(ids, after, max(1, size) + 1).collect()]
+    if not found and after is not None:  # what was behind has gone meanwhile: the next pass begins
+        found = [r[0] for r in next_ids(ids, None, max(1, size) + 1).collect()]
+    batch = found[: max(1, size)]
+    return batch, batch[-1] if len(found) > len(batch) else None
+
+
 def pass_anchor(passes: DataFrame) -> DataFrame:
     """``modified_since`` of each pass (``pass_no, start_ledger, is_reset``): the previous pass's start, 0 after a reset."""
     w = Window.orderBy("pass_no")

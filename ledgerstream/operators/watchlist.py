@@ -54,6 +54,22 @@ def watchlist_fold(ops: DataFrame) -> DataFrame:
     return keyed.withColumn("status", status)
 
 
+def compact_ops(ops: DataFrame, upto: int) -> DataFrame:
+    """The operations that decide what is tracked after ledger ``upto``: of those in effect by then, each contract's last that tracks or
+    removes whatever was before, and its first discovery or seed; all later ones."""
+    command, strong = F.col("op").isin("track", "remove"), F.col("op").isin("track", "remove", "seed_removed")
+    effective = F.when(command, F.col("ledger_seq") + 1).otherwise(F.col("ledger_seq"))
+    place, row = F.struct(effective, F.when(command, 0).otherwise(1), F.col("log_seq")), F.struct("op", "ledger_seq", "log_seq")
+    past = ops.where(effective <= upto).groupBy("contract_id").agg(F.max_by(F.when(strong, row), F.when(strong, place)).alias("a"), F.min_by(F.when(~strong, row), F.when(~strong, place)).alias("b"))
+    kept = past.select("contract_id", F.explode(F.array_compact(F.array("a", "b"))).alias("o")).select("contract_id", "o.*")
+    return kept.unionByName(ops.where(effective > upto).select("contract_id", "op", "ledger_seq", "log_seq"))
+
+
+def new_discoveries(found: DataFrame, ops: DataFrame) -> DataFrame:
+    """Discoveries that change something: a contract that ``ops`` discovers or seeds already stays as it is, tracked or not."""
+    return found.join(ops.where(F.col("op").isin("discover", "seed")).select("contract_id").distinct(), "contract_id", "left_anti")
+
+
 def watchlist_now(fold: DataFrame) -> DataFrame:
     """The last status of each contract."""
     return fold.groupBy("contract_id").agg(F.max_by("status", F.struct("effective", "late", "log_seq")).alias("status"))

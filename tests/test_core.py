@@ -138,9 +138,20 @@ def test_stream_state_and_history(spark, tmp_path):
     df = spark.createDataFrame(rows, "contract_id string, state_change_type string, ledger_seq long, published_at string").withColumn("published_at", F.to_timestamp("published_at"))
     for i in range(3):
         df.limit(i + 1).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-    live.stream_state(spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
-    last = spark.read.parquet(str(tmp_path / "out" / "v=2"))
-    assert {(r.contract_id, r.ledger_seq, r.state_change_type) for r in last.collect()} == {("C1", 7, "removed"), ("C2", 6, "updated")}
+    run = lambda: live.stream_state(spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    run()
+    view = lambda: {(r.contract_id, r.ledger_seq, r.state_change_type) for r in live.state_now(spark, str(tmp_path / "out")).collect()}
+    assert view() == {("C1", 7, "removed"), ("C2", 6, "updated")}
+    # Each of the three files repeats what came before: a row a change, none a repeat.
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 3
+    # After a restart from the checkpoint older rows change nothing, newer ones do.
+    late = [("C1", "updated", 6, "2024-01-01 00:03:00"), ("C2", "updated", 9, "2024-01-01 00:04:00"), ("C3", "updated", 1, None)]
+    spark.createDataFrame(late, "contract_id string, state_change_type string, ledger_seq long, published_at string").withColumn("published_at", F.coalesce(F.to_timestamp("published_at"), F.lit("2024-01-01").cast("timestamp"))).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    run()
+    assert view() == {("C1", 7, "removed"), ("C2", 9, "updated"), ("C3", 1, "updated")}
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 5
+    want = state.state_view(spark.read.parquet(str(tmp_path / "in")))
+    assert {tuple(r) for r in live.state_now(spark, str(tmp_path / "out")).select(*want.columns).collect()} == {tuple(r) for r in want.collect()}
 
 
 LANDED = "kind string, ledger_seq long, closed_at timestamp, ledger_hash string, prev_hash string, tx_hash string, tx_index long, op_index long, op_event_pos long, emitter string, topics array<struct<type:string,value:string>>, raw_xdr string, contract_id string, entry_type string, key_type string, post_present boolean, executable_type string, wasm_hash string, log_seq long"
@@ -195,7 +206,8 @@ def test_states_wait_for_the_tip(spark, tmp_path):
     assert got == want and job.states().count() == len(want)
     assert {(r.cmd_seq, r.reject_reason) for r in spark.read.parquet(str(tmp_path / "out" / "rejected_commands")).collect()} == {(2, "no contract_id")}
     assert {r.contract_id for r in job.facts().collect()} == {"A", "B", "C"}
-    assert spark.read.parquet(str(tmp_path / "out" / "pending" / "v=1")).collect() != [] and spark.read.parquet(str(tmp_path / "out" / "pending" / "v=2")).collect() == []
+    assert job.log.newest().tables["pending"] == {"snapshot": None, "deltas": []}
+    assert {r.contract_id for r in job.log.read(job.log.newest(), "watchlist").collect()} == {"A", "B", "C", "D"}
 
 
 def test_resume_must_continue_the_chain(spark, tmp_path):
@@ -328,3 +340,65 @@ def test_many_bindings(spark, monkeypatch):
     b = spark.createDataFrame([("q1", "a.*"), ("q2", "#.c"), ("q2", "a.c")], "queue string, pattern string")
     monkeypatch.setattr(routing, "MOST_BINDINGS", 2)
     assert {(r.message_id, r.queue) for r in routing.route(m, b).collect()} == {("m1", "q1"), ("m2", "q1"), ("m2", "q2")}
+
+
+def test_a_fork_is_seen_without_entries(spark, tmp_path):
+    small_chain(spark, str(tmp_path / "in"), {2: "A"}, broken=3)
+    with pytest.raises(Exception, match="ledger 3 does not continue ledger 2"):
+        run_small(spark, tmp_path, small_job(spark, tmp_path, entries=None))
+
+
+def test_a_running_job_leaves_no_scratch_and_tells_its_status(spark, tmp_path):
+    import os
+
+    from ledgerstream.operators import ops
+    from ledgerstream.streaming import tables
+
+    small_chain(spark, str(tmp_path / "in"), {1: "A", 4: "B", 6: "C"})
+    root = tables.shared_root(spark).removeprefix("file://")
+    before = set(os.listdir(root))
+    job = small_job(spark, tmp_path)
+    run_small(spark, tmp_path, job)
+    assert set(os.listdir(root)) == before
+    got = {r.metric: r.value for r in job.metrics(6020).collect()}
+    counts = spark.createDataFrame([(job.facts().count(), job.states().count(), 4, 0, 0)], "events long, states long, tracked long, gaps long, suppressed long")
+    progress = spark.createDataFrame([(6, 6000, 6010)], "ledger_seq long, c long, p long").select("ledger_seq", F.timestamp_seconds("c").alias("closed_at"), F.timestamp_seconds("p").alias("processed_at"))
+    want = {r.metric: r.value for r in ops.metrics_long(ops.status(progress, counts, 6020), "testnet").collect()}
+    assert got == want and len(got) == 11 and got["events_published_total"] == 3 and got["state_changes_published_total"] == 7
+
+
+def test_a_job_resumes_from_a_saved_state(spark, tmp_path):
+    (tmp_path / "s.json").write_text('{"network": "testnet", "last_ledger": 2, "escrow_contracts": ["E"], "removed_contracts": ["A"]}')
+    saved = readers.load_state(spark, str(tmp_path / "s.json"), "testnet")
+    small_chain(spark, str(tmp_path / "in"), {3: "AE", 5: "BE"})
+    job = small_job(spark, tmp_path, entries=None, initial=readers.state_ops(saved), initial_cursor=(2, "other"))
+    job.commands = None
+    with pytest.raises(Exception, match="ledger 3 does not continue ledger 2"):
+        job.start(spark.readStream.schema(LANDED).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in")).where("ledger_seq > 2"), str(tmp_path / "cp")).awaitTermination()
+    job.initial_cursor = (2, "h2")
+    job.start(spark.readStream.schema(LANDED).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in")).where("ledger_seq > 2 or kind = 'instance'"), str(tmp_path / "cp2")).awaitTermination()
+    # A is tombstoned by the saved state, E seeded by it, B discovered.
+    assert {(r.contract_id, r.ledger_seq) for r in job.facts().collect()} == {("E", 3), ("B", 5), ("E", 5)}
+
+
+def test_a_retry_publishes_the_states_that_were_written(spark, tmp_path):
+    small_chain(spark, str(tmp_path / "in"), {6: "A"})
+    broken, reads, seen = {"left": 1}, [], []
+
+    def sink(df, batch_id):
+        seen.extend((batch_id, r.message_id, r.raw_xdr) for r in df.where("type = 'state'").collect())
+        if batch_id == 2 and broken["left"] and df.where("type = 'state'").count():
+            broken["left"] = 0
+            raise RuntimeError("between write and commit")
+
+    def entries():  # another snapshot each time
+        reads.append(1)
+        return spark.createDataFrame([(c, 1, "vec/persistent", True, 3, f"s{c}{len(reads)}") for c in "ABC"], "contract_id string, pos long, key_kind string, is_data boolean, last_modified_ledger long, raw_xdr string")
+
+    job = small_job(spark, tmp_path, sinks=[(sink, True)], entries=entries)
+    with pytest.raises(Exception, match="between write and commit"):
+        run_small(spark, tmp_path, job)
+    run_small(spark, tmp_path, job)
+    last = [x[1:] for x in seen if x[0] == 2]
+    assert len(last) == 2 * len(set(last)) and job.states().count() == len({x[1:] for x in seen})
+    assert {r.metric: r.value for r in job.metrics(6010).collect()}["state_changes_published_total"] == job.states().count()
