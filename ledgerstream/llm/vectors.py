@@ -26,9 +26,11 @@ from .common import connected_components, stored
 from .simhash import NODE, Groups, _bounds, _by_shard, _node
 
 #: Vectors a pivot, and pivots at most (a sample, which the driver and all tasks hold); vectors of a piece. They change no result.
-CELL, PIVOTS, PIECE = 8192, 1024, 4096
-#: Rounding: what is nearer than this to a bound is decided anew, in one fixed order of additions.
-SLACK, MORE = 1e-9, 1e-10
+CELL, PIVOTS, PIECE = 16384, 1024, 16384
+#: Rounding: what is nearer than SLACK to a bound is decided anew, in one fixed order of additions. COARSE is that of single precision,
+#: in which a block's distances are first computed.
+SLACK, MORE, COARSE = 1e-9, 1e-10, 2e-5
+ROWS, COLUMNS = 1024, 4096
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -72,36 +74,28 @@ class Near:
     def limits(self, wide: int) -> list[float]:
         return [self.budget * (b - a) / wide + MORE for a, b in cuts(wide, self.blocks)]
 
-    def tile(self, x: np.ndarray, y: np.ndarray, raw_x: np.ndarray, raw_y: np.ndarray, block: int, same: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Rows of each with a pair, and the matrix of linked pairs among these; ``same``: only pairs (i, j) with i < j count."""
-        places, limits = cuts(x.shape[1], self.blocks), self.limits(x.shape[1])
+    def sides(self, x: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
+        """Two matrices in single precision: the product of the first and the second, turned, is a block's squared distances."""
+        x = x[:, slice(*cuts(x.shape[1], self.blocks)[block])].astype(np.float32)
+        square, one = (x * x).sum(axis=1, keepdims=True), np.ones((len(x), 1), np.float32)
+        return np.hstack((-2 * x, square, one)), np.hstack((x, one, square))
 
-        def apart(x: np.ndarray, y: np.ndarray, k: int) -> np.ndarray:
-            x, y = x[:, slice(*places[k])], y[:, slice(*places[k])]
-            return (x * x).sum(axis=1)[:, None] + (y * y).sum(axis=1)[None, :] - 2 * (x @ y.T)
-
-        near = apart(x, y, block) <= limits[block] + SLACK
-        if same:
-            near &= np.tri(*near.shape, -1, dtype=bool).T
-        rows, cols = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
-        ok = near[np.ix_(rows, cols)]
-        if not ok.size:
-            return rows, cols, ok
-        x, y, raw_x, raw_y = x[rows], y[cols], raw_x[rows], raw_y[cols]
+    def tile(self, x: np.ndarray, y: np.ndarray, raw_x: np.ndarray, raw_y: np.ndarray, block: int) -> np.ndarray:
+        """The matrix of pairs that are linked and that no earlier block finds."""
+        places, limits = cuts(x.shape[1], self.blocks), self.limits(x.shape[1])
         cos = x @ y.T
-        ok &= cos >= self.cosine - SLACK
-        unsure = np.abs(cos - self.cosine) <= SLACK
+        ok, unsure = cos >= self.cosine - SLACK, np.abs(cos - self.cosine) <= SLACK
         for k in range(block + 1):
-            d = apart(x, y, k) - limits[k]
+            a, b = x[:, slice(*places[k])], y[:, slice(*places[k])]
+            d = (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None, :] - 2 * (a @ b.T) - limits[k]
             unsure |= np.abs(d) <= SLACK
-            if k < block:
-                ok &= d > -SLACK
+            ok &= d > -SLACK if k < block else d <= SLACK
         i, j = np.nonzero(ok & unsure)
         for at in range(0, len(i), 10_000):
             p, q = i[at : at + 10_000], j[at : at + 10_000]
             within = np.array([self.in_order(x[p], y[q], a, b) <= limit for (a, b), limit in zip(places[: block + 1], limits, strict=False)])
             ok[p, q] = (within.argmax(axis=0) == block) & within[block] & self.linked(raw_x[p], raw_y[q])
-        return rows, cols, ok
+        return ok
 
     @staticmethod
     def in_order(x: np.ndarray, y: np.ndarray, a: int, b: int) -> np.ndarray:
@@ -121,16 +115,22 @@ class Near:
     def shard(self, raw: np.ndarray, weight: np.ndarray, left: np.ndarray, right: np.ndarray | None, block: int) -> tuple[np.ndarray, np.ndarray]:
         """Of a task's vectors: each one's weight of linked ones, and its group's place. ``right`` None: ``left`` with itself."""
         x, count, groups = rotate(unit(raw)), np.zeros(len(raw), np.int64), Groups(len(raw))
-        for i in range(0, len(left), 512):
-            a = left[i : i + 512]
-            start = i if right is None else 0
-            other = left if right is None else right
-            for j in range(start, len(other), 512 if right is None else 2048):
-                b = other[j : j + (512 if right is None else 2048)]
-                rows, cols, ok = self.tile(x[a], x[b], raw[a], raw[b], block, right is None and j == i)
+        first, second = self.sides(x, block)
+        other, limit = left if right is None else right, np.float32(self.limits(x.shape[1])[block] + COARSE)
+        for i in range(0, len(left), ROWS):
+            for j in range(i if right is None else 0, len(other), COLUMNS):
+                a, b = left[i : i + ROWS], other[j : j + COLUMNS]
+                near = first[a] @ second[b].T <= limit
+                if right is None and j < i + ROWS:  # of a set with itself each pair once
+                    near &= np.arange(j, j + len(b))[None, :] > np.arange(i, i + len(a))[:, None]
+                rows = np.flatnonzero(near.any(axis=1))
+                cols = np.flatnonzero(near[rows].any(axis=0))
+                r, c = a[rows], b[cols]
+                ok = near[np.ix_(rows, cols)]
+                if len(rows):
+                    ok &= self.tile(x[r], x[c], raw[r], raw[c], block)
                 if not ok.any():
                     continue
-                r, c = a[rows], b[cols]
                 count[r] += ok @ weight[c]
                 count[c] += weight[r] @ ok
                 # Most of a dense group is joined by each one's first partner; what still differs then is little.
