@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import GAP_REASON
+from .ordered import Ordered
 
 
 def window_of(ledgers: DataFrame) -> DataFrame:
@@ -54,9 +55,9 @@ def chain_continuity(ledgers: DataFrame, cursor_ledger: int, cursor_hash: str |
 
 
 def coverage_gaps(ledgers: DataFrame) -> DataFrame:
-    """Missing ranges between stored ledgers, over one row a ledger."""
-    after = F.lead("ledger_seq").over(Window.orderBy("ledger_seq"))
-    return ledgers.select("ledger_seq").distinct().withColumn("after", after).where("after > ledger_seq + 1").select((F.col("ledger_seq") + 1).alias("from_ledger"), (F.col("after") - 1).alias("to_ledger"))
+    """Missing ranges between stored ledgers, over ranges of ledgers."""
+    rows = Ordered(ledgers.select("ledger_seq").distinct(), "ledger_seq").neighbour("after", "ledger_seq", behind=True)
+    return rows.where("after.ledger_seq > ledger_seq + 1").select((F.col("ledger_seq") + 1).alias("from_ledger"), (F.col("after.ledger_seq") - 1).alias("to_ledger"))
 
 
 def remaining_gaps(gaps: DataFrame, replayed: DataFrame, bucket: int = 10_000) -> DataFrame:

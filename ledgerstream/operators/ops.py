@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import window_error_class
+from .ordered import Ordered
 
 
 def tip_mode(progress: DataFrame, catching_up_s: int = 1200, sweep_s: int = 30) -> DataFrame:
@@ -18,13 +19,13 @@ def tip_mode(progress: DataFrame, catching_up_s: int = 1200, sweep_s: int = 30)
 def ledger_progress(ledgers: DataFrame, facts: DataFrame, states: DataFrame, intervals: DataFrame, gaps: DataFrame) -> DataFrame:
     """``events, states`` of each ledger, 0 for ledgers without; ``known_escrows`` tracked at it, ``gaps`` that end before it.
 
-    Everything is summed by ledger first: the window runs over one row a ledger or change.
+    Everything is summed by ledger first: the running sums go over one row a ledger or change, in ranges of ledgers.
     """
     turns = [intervals.selectExpr("from_ledger as ledger_seq", "1 as tracked"), intervals.where("to_ledger is not null").selectExpr("to_ledger", "-1")]
     parts = [ledgers.selectExpr("ledger_seq", "1 as here", "0 as events", "0 as states", "0 as tracked", "0 as gaps"), facts.selectExpr("ledger_seq", "0", "1", "0", "0", "0"), states.selectExpr("ledger_seq", "0", "0", "1", "0", "0"), *(t.selectExpr("ledger_seq", "0", "0", "0", "tracked", "0") for t in (turns[0], turns[1].toDF("ledger_seq", "tracked"))), gaps.selectExpr("to_ledger + 1", "0", "0", "0", "0", "1")]
     summed = reduce(DataFrame.union, parts).groupBy("ledger_seq").agg(F.max("here").alias("here"), *[F.sum(c).cast("long").alias(c) for c in ("events", "states", "tracked", "gaps")])
-    w = Window.orderBy("ledger_seq")
-    return summed.select("ledger_seq", "here", "events", "states", F.sum("tracked").over(w).alias("known_escrows"), F.sum("gaps").over(w).alias("gaps")).where("here = 1").drop("here")
+    running = Ordered(summed, "ledger_seq").running(known_escrows=F.col("tracked"), gaps_so_far=F.col("gaps"))
+    return running.where("here = 1").select("ledger_seq", "events", "states", "known_escrows", F.col("gaps_so_far").alias("gaps"))
 
 
 def status(progress: DataFrame, counts: DataFrame, now_s: int, stale_s: int = 60, started_s: int | None = None, pauses: DataFrame | None = None) -> DataFrame:
@@ -51,8 +52,9 @@ def metrics_long(status_row: DataFrame, network: str) -> DataFrame:
 
 
 def stall_windows(progress: DataFrame, threshold_s: int = 60) -> DataFrame:
-    """Periods without a processed ledger, over one row a ledger."""
-    rows = progress.select(F.unix_seconds("processed_at").alias("from_s")).withColumn("to_s", F.lead("from_s").over(Window.orderBy("from_s")))
+    """Periods without a processed ledger, over ranges of their times."""
+    rows = Ordered(progress.select(F.unix_seconds("processed_at").alias("from_s")), "from_s").neighbour("after", "from_s", behind=True)
+    rows = rows.select("from_s", F.col("after.from_s").alias("to_s"))
     return rows.where(F.col("to_s") - F.col("from_s") > threshold_s).select("from_s", "to_s", (F.col("to_s") - F.col("from_s")).alias("silent_s"))
 
 

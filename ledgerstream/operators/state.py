@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ordered import Ordered
+
 KEYS = ("vec/persistent", "symbol/persistent", "vec/temporary", "instance/persistent")
 
 
@@ -76,14 +78,8 @@ def guarded_states(requested: DataFrame, changes: DataFrame, since: int = 0) ->
 
 
 def numbered(ids: DataFrame, c: str = "contract_id") -> DataFrame:
-    """``ids`` with ``rn``, the place from 1 in sort order, without one task for all: ranges are counted, then numbered."""
-    from ..streaming.tables import stored
-
-    # A row's range must not change between the two passes, so it is stored.
-    parts = stored(ids.select(c).distinct().repartitionByRange(c).withColumn("part", F.spark_partition_id()), "numbered")
-    counts = parts.groupBy("part").agg(F.count("*").alias("n"))
-    before = counts.select("part", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
-    return parts.join(F.broadcast(before), "part").select(c, (F.col("before") + F.row_number().over(Window.partitionBy("part").orderBy(c))).alias("rn"))
+    """``ids`` with ``rn``, the place from 1 in sort order, by ranges of ids."""
+    return Ordered(ids.select(c).distinct(), c).running(rn=F.lit(1))
 
 
 def sweep_batches(ids: DataFrame, size: int) -> DataFrame:
@@ -117,20 +113,18 @@ def rotate(ids: DataFrame, after: str | None, size: int) -> tuple[list[str], str
 
 
 def pass_anchor(passes: DataFrame) -> DataFrame:
-    """``modified_since`` of each pass (``pass_no, start_ledger, is_reset``): the previous pass's start, 0 after a reset."""
-    w = Window.orderBy("pass_no")
-    grouped = passes.withColumn("g", F.sum(F.col("is_reset").cast("int")).over(w))
-    return grouped.select("pass_no", "start_ledger", F.lag("start_ledger", 1, 0).over(Window.partitionBy("g").orderBy("pass_no")).alias("modified_since"))
+    """``modified_since`` of each pass (``pass_no, start_ledger, is_reset``): the previous pass's start, 0 at the first and after a reset."""
+    rows = Ordered(passes, "pass_no").neighbour("before", "start_ledger", behind=False)
+    return rows.select("pass_no", "start_ledger", F.when(F.col("is_reset") | F.col("before").isNull(), 0).otherwise(F.col("before.start_ledger")).cast("long").alias("modified_since"))
 
 
 def deferred_flush(active: DataFrame, ledgers: DataFrame) -> DataFrame:
     """Each active id once at the next ledger at the tip (``ledgers (ledger_seq, at_tip)``), where there is one.
 
-    The window is a running minimum over one row a ledger, from the last to the first; ids are joined to it.
+    Ledgers look for theirs in ranges, and ids are joined to them.
     """
-    w = Window.orderBy(F.desc("ledger_seq")).rowsBetween(Window.unboundedPreceding, 0)
-    flush = ledgers.select("ledger_seq", F.min(F.when(F.col("at_tip"), F.col("ledger_seq"))).over(w).alias("flush_ledger")).where("flush_ledger is not null")
-    return active.join(flush, "ledger_seq").select("contract_id", "flush_ledger").distinct()
+    flush = Ordered(ledgers.select("ledger_seq", "at_tip"), "ledger_seq").nearest("flush_ledger", F.when(F.col("at_tip"), F.col("ledger_seq")))
+    return active.join(flush.where("flush_ledger is not null").select("ledger_seq", "flush_ledger"), "ledger_seq").select("contract_id", "flush_ledger").distinct()
 
 
 def pending_union(held: DataFrame, active: DataFrame) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordered import Ordered
+
 
 def approved_hashes(df: DataFrame, c: str = "wasm_hash") -> DataFrame:
     """Trimmed, lower-cased distinct hashes; blanks are skipped, malformed ones left to ``rejected_hashes``."""
@@ -85,17 +87,10 @@ def watchlist_intervals(fold: DataFrame) -> DataFrame:
 
 
 def watchlist_size(intervals: DataFrame) -> DataFrame:
-    """Tracked contracts from each ledger on at which their number changes. One row a change: small beside events."""
+    """Tracked contracts from each ledger on at which their number changes."""
     turns = intervals.select(F.col("from_ledger").alias("ledger_seq"), F.lit(1).alias("d")).union(intervals.where("to_ledger is not null").select("to_ledger", F.lit(-1)))
-    return turns.groupBy("ledger_seq").agg(F.sum("d").alias("d")).select("ledger_seq", F.sum("d").over(Window.orderBy("ledger_seq")).alias("tracked"))
+    return Ordered(turns.groupBy("ledger_seq").agg(F.sum("d").alias("d")), "ledger_seq").running(tracked=F.col("d")).select("ledger_seq", "tracked")
 
 
 def watchlist_minus(seeds: DataFrame, tombstones: DataFrame) -> DataFrame:
     return seeds.select("contract_id").distinct().join(tombstones, "contract_id", "left_anti")
-
-
-def tracked_at(df: DataFrame, intervals: DataFrame, id_col: str, ledger_col: str = "ledger_seq", flag: str = "is_tracked") -> DataFrame:
-    """``df`` with a flag: the id is tracked at the row's ledger. Intervals of an id don't overlap, so no row is doubled."""
-    iv = intervals.select(F.col("contract_id").alias("_c"), F.col("from_ledger").alias("_f"), F.col("to_ledger").alias("_t"))
-    on = (F.col(id_col) == F.col("_c")) & (F.col(ledger_col) >= F.col("_f")) & (F.col("_t").isNull() | (F.col(ledger_col) < F.col("_t")))
-    return df.join(iv, on, "left").withColumn(flag, F.col("_c").isNotNull()).drop("_c", "_f", "_t")

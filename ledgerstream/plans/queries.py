@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import functions as fn
-from ..operators import control, detect, envelope, gaps, ops, routing, state, watchlist
+from ..operators import asof, control, detect, envelope, gaps, ops, routing, state, watchlist
 from ..sources import readers
 from ..sources.adapter import Tables
 from ..streaming import live
@@ -43,12 +43,17 @@ def intervals(t: Tables) -> DataFrame:
     return watchlist.watchlist_intervals(fold(t))
 
 
+def held_intervals(t: Tables) -> DataFrame:
+    """``intervals``, stored: several steps of a query read them."""
+    return t.kept("intervals", lambda: intervals(t))
+
+
 def facts(t: Tables) -> DataFrame:
-    return detect.detect(t.raw_events, intervals(t))
+    return detect.detect(t.raw_events, held_intervals(t))
 
 
 def tracked_now(t: Tables) -> DataFrame:
-    return watchlist.watchlist_now(fold(t)).where("status = 'tracked'").select("contract_id")
+    return t.kept("tracked", lambda: watchlist.watchlist_now(fold(t)).where("status = 'tracked'").select("contract_id"))
 
 
 def envelopes(t: Tables) -> DataFrame:
@@ -274,17 +279,17 @@ def discover(t):
 
 @query
 def asof_watchlist(t):
-    return watchlist.tracked_at(t.raw_events, intervals(t), "emitter").select("raw_xdr", "is_tracked")
+    return asof.tracked_at(t.raw_events, held_intervals(t), "emitter").select("raw_xdr", "is_tracked")
 
 
 @query
 def detect_events(t):
-    return detect.detect_events(t.raw_events, intervals(t)).select("emitter", "tx_hash", "event_index", "ledger_seq")
+    return detect.detect_events(t.raw_events, held_intervals(t)).select("emitter", "tx_hash", "event_index", "ledger_seq")
 
 
 @query
 def detect_deposits(t):
-    return detect.detect_deposits(t.raw_events, intervals(t)).select("contract_id", "tx_hash", "event_index", "ledger_seq")
+    return detect.detect_deposits(t.raw_events, held_intervals(t)).select("contract_id", "tx_hash", "event_index", "ledger_seq")
 
 
 @query
@@ -333,7 +338,7 @@ def active_entities(t):
 
 @query
 def ledger_progress(t):
-    return ops.ledger_progress(t.ledgers, facts(t), states(t), intervals(t), gap_rows(t))
+    return ops.ledger_progress(t.ledgers, facts(t), states(t), held_intervals(t), gap_rows(t))
 
 
 def status_row(t):

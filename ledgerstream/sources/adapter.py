@@ -7,6 +7,8 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..streaming.tables import stored
+
 BUCKET_S, FIRST = 300, 5680224
 
 
@@ -14,7 +16,13 @@ class Tables:
     """Every table is derived lazily from ``events``."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+        self.spark, self.sf_dir, self._kept = spark, sf_dir, {}
+
+    def kept(self, name: str, make) -> DataFrame:
+        """``make()``, stored the first time it is asked for."""
+        if name not in self._kept:
+            self._kept[name] = stored(make(), name)
+        return self._kept[name]
 
     @cached_property
     def ev(self) -> DataFrame:

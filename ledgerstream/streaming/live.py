@@ -24,6 +24,7 @@ from pyspark.sql.streaming import StatefulProcessor
 from ..functions import command_problem
 from ..operators import control, detect, envelope, gaps, ops, state, watchlist
 from .statelog import Head, StateLog, Table, opened, sealed
+from .tables import scratch
 
 OPS = "contract_id string, op string, ledger_seq long, log_seq long"
 GAPS = "from_ledger long, to_ledger long, reason string, detected_at timestamp"
@@ -106,6 +107,10 @@ class LiveJob:
         return {"now_s": self.now_s(), "first": first, "last": last, "token": uuid.uuid4().hex}
 
     def batch(self, df: DataFrame, batch_id: int) -> None:
+        with scratch(self.spark):
+            self.process(df, batch_id)
+
+    def process(self, df: DataFrame, batch_id: int) -> None:
         head = self.log.before(batch_id)
         plan = self.log.plan(batch_id, lambda: self.begin(head))
         if head.version < 0 and self.initial_cursor:
@@ -133,7 +138,9 @@ class LiveJob:
             new = new.distinct().persist()
             held.append(new)
             fold = watchlist.watchlist_fold(before.unionByName(new))
-            facts = detect.detect(df.where("kind = 'event'"), watchlist.watchlist_intervals(fold))
+            intervals = watchlist.watchlist_intervals(fold).persist()
+            held.append(intervals)
+            facts = detect.detect(df.where("kind = 'event'"), intervals)
             events = self.publish("facts", "rejected", envelope.event_envelope(facts, self.network, self.stamp()), batch_id)
             values = {**cursor, "commands_upto": plan["last"], "now_s": plan["now_s"], "events_published": head.values.get("events_published", 0) + events}
             added, reset = ({} if new.isEmpty() else {"watchlist": new}), frozenset()

@@ -1,4 +1,4 @@
-"""Versioned tables in folders that all executors share."""
+"""Scratch tables in folders that all executors share."""
 
 from __future__ import annotations
 
@@ -6,11 +6,16 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
 _scratch: dict[str, list[str]] = {}
+#: What ``stored`` makes inside of a ``scratch`` block; each thread has its own.
+_inside: ContextVar[list[str] | None] = ContextVar("inside", default=None)
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -30,10 +35,30 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage and survives lost executors."""
     path = f"{shared_root(df.sparkSession)}/ledgerstream-{uuid.uuid4().hex[:12]}/{name}"
     df.write.parquet(path)
-    _scratch.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
+    if (made := _inside.get()) is None:
+        made = _scratch.setdefault(df.sparkSession.sparkContext.applicationId, [])
+    made.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """A block whose ``stored`` tables are deleted at its end, with nothing of other callers: nothing may read them afterwards."""
+    made: list[str] = []
+    token = _inside.set(made)
+    try:
+        yield
+    finally:
+        _inside.reset(token)
+        for path in made:
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def scratch_made(spark: SparkSession) -> int:
     """How many scratch tables ``stored`` has made so far, for ``discard_scratch``."""
     return len(_scratch.get(spark.sparkContext.applicationId, []))
@@ -44,23 +69,5 @@ def discard_scratch(spark: SparkSession, since: int, until: int | None = None) -
     made = _scratch.get(spark.sparkContext.applicationId, [])
     for i, path in enumerate(made[since:until], since):
         if path:
-            p = spark._jvm.org.apache.hadoop.fs.Path(path).getParent()
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+            _delete(spark, path)
             made[i] = ""
-
-
-def written(spark: SparkSession, path: str) -> bool:
-    """Whether a folder has been written to its end."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
-def newest_before(spark: SparkSession, path: str, batch_id: int) -> str | None:
-    """The folder of the greatest ``v=N`` below ``batch_id``; a retried batch so reads what it read before."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return None
-    names = [s.getPath().getName() for s in fs.listStatus(p)]
-    versions = [int(n[2:]) for n in names if n.startswith("v=") and int(n[2:]) < batch_id and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))]
-    return f"{path}/v={max(versions)}" if versions else None
