@@ -24,6 +24,8 @@ from .common import stored
 
 #: Characters of items searched for in one go (their terms are sent to all tasks); strata each item visits first. They change no result.
 ITEM_CHARS, FIRST = 4_000_000, 3
+#: Visits (pairs of a stratum and an item, 4 bytes each) sent to all tasks, beyond which the index is shuffled to them.
+SENT_VISITS = 2_000_000
 #: A-Z in lower case, other letters' and digits' bytes as they are, everything else in ASCII a space.
 TERM_BYTES = bytes(b if chr(b).isalnum() or b > 127 else 32 for b in range(256)).lower()
 
@@ -143,7 +145,7 @@ def stratum_bounds(index: DataFrame, query: Query) -> DataFrame:
     return index.select("m", "terms", "tfs").mapInArrow(run, "m long, item int, bound long").groupBy("m", "item").agg(F.max("bound").alias("bound"))
 
 
-def visit(index: DataFrame, visits: DataFrame, query: Query, least: dict[int, int], k: int) -> DataFrame:
+def visit(index: DataFrame, visits: DataFrame, query: Query, least: dict[int, int], k: int, sent: bool) -> DataFrame:
     """``item, doc_id, score`` of the ``k`` best of each task for each item, of documents in the strata of ``visits (m, item)`` that score
     ``least`` or more."""
 
@@ -170,7 +172,7 @@ def visit(index: DataFrame, visits: DataFrame, query: Query, least: dict[int, in
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in ((0, pa.int32()), (1, pa.int64()), (2, pa.int64()))], names=["item", "doc_id", "score"])
 
     by_stratum = visits.groupBy("m").agg(F.collect_list("item").alias("items"))
-    return index.join(by_stratum, "m").select("m", "doc_id", "items", "terms", "tfs").mapInArrow(run, "item int, doc_id long, score long")
+    return index.join(F.broadcast(by_stratum) if sent else by_stratum, "m").select("m", "doc_id", "items", "terms", "tfs").mapInArrow(run, "item int, doc_id long, score long")
 
 
 def _best(found: DataFrame, k: int) -> DataFrame:
@@ -192,11 +194,12 @@ def _search(docs: DataFrame, items: list[tuple[int | None, str | None]], k: int)
     bounds = stored(stratum_bounds(index, query), "stratum-bounds")
     order = Window.partitionBy("item").orderBy(F.desc("bound"), "m")
     ranked = stored(bounds.withColumn("place", F.row_number().over(order)), "visits")
-    seen = stored(visit(index, ranked.where(F.col("place") <= FIRST), query, {}, k), "first-visits")
+    sent = ranked.count() <= SENT_VISITS
+    seen = stored(visit(index, ranked.where(F.col("place") <= FIRST), query, {}, k, sent), "first-visits")
     least = {r["item"]: r.score for r in _best(seen, k).where(F.col("rank") == k).select("item", "score").collect()}
     reached = docs.sparkSession.createDataFrame([*least.items()] or [(-1, 0)], "item int, least long")
     more = ranked.where(F.col("place") > FIRST).join(F.broadcast(reached), "item", "left").where("least is null or bound >= least")
-    found = _best(seen.unionByName(visit(index, more, query, least, k)), k)
+    found = _best(seen.unionByName(visit(index, more, query, least, k, sent)), k)
     named = docs.sparkSession.createDataFrame([*enumerate(query.ids)], "item int, item_id long")
     return found.join(F.broadcast(named), "item").select("item_id", "rank", "doc_id", "score")
 
