@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,6 +46,35 @@ def coalesce_sources(ledgers: DataFrame, network: str, mode: str = "best") -> Da
     return own.groupBy("ledger_seq").agg(F.min_by(F.struct(*cols), "priority").alias("l")).select("ledger_seq", "l.*")
 
 
+def source_windows(ledgers: DataFrame, network: str) -> DataFrame:
+    """``priority, oldest, latest`` of each source of the network."""
+    return ledgers.where(F.col("network") == network).groupBy("priority").agg(F.min("ledger_seq").alias("oldest"), F.max("ledger_seq").alias("latest"))
+
+
+def source_cover(windows: DataFrame, first: int | None = None, last: int | None = None) -> DataFrame:
+    """``from_ledger, to_ledger, priority``: disjoint ranges of ledgers, each with the best source whose window (``priority, oldest, latest``) holds all of it.
+
+    Known before any ledger is read. A sweep over the windows' ends: between two neighbouring ends the same sources serve; ranges of one
+    source that touch are one. Inverted windows and nulls serve nothing. A row a source: a range per end at most, in one small sort.
+    """
+    ok = windows.where("oldest <= latest").select("priority", F.greatest("oldest", F.lit(first)).alias("oldest"), F.least("latest", F.lit(last)).alias("latest")).where("oldest <= latest")
+    ends = ok.select(F.col("oldest").alias("at")).union(ok.select(F.col("latest") + 1)).distinct()
+    parts = Ordered(ends, "at").neighbour("behind", "at", behind=True).where("behind is not null").select(F.col("at").alias("from_ledger"), (F.col("behind.at") - 1).alias("to_ledger"))
+    served = parts.join(ok, (F.col("oldest") <= F.col("from_ledger")) & (F.col("latest") >= F.col("to_ledger"))).groupBy("from_ledger", "to_ledger").agg(F.min("priority").alias("priority"))
+    # A range goes on while the next one begins behind it with the same source.
+    marked = Ordered(served, "from_ledger").neighbour("before", "to_ledger", "priority", behind=False)
+    begins = F.col("before").isNull() | (F.col("before.priority") != F.col("priority")) | (F.col("before.to_ledger") + 1 != F.col("from_ledger"))
+    numbered = Ordered(marked.withColumn("begins", begins.cast("int")), "from_ledger").running(run=F.col("begins"))
+    return numbered.groupBy("run").agg(F.min("from_ledger").alias("from_ledger"), F.max("to_ledger").alias("to_ledger"), F.min("priority").alias("priority")).drop("run")
+
+
+def read_cover(cover: DataFrame, read: Callable[[int, int, int], DataFrame]) -> DataFrame | None:
+    """The union of ``read(priority, first, last)`` over a cover's ranges: each ledger is read from one source, and no source
+    beyond its ranges. The driver holds the ranges, at most two a source; None where there are none."""
+    found = [read(r["priority"], r["from_ledger"], r["to_ledger"]) for r in cover.orderBy("from_ledger").collect()]
+    return reduce(DataFrame.unionByName, found) if found else None
+
+
 def continuity_breaks(ledgers: DataFrame) -> DataFrame:
     """Ledgers whose prev_hash isn't the hash of the ledger before, where that one is stored. A join by number: no global window."""
     before = ledgers.select((F.col("ledger_seq") + 1).alias("ledger_seq"), F.col("ledger_hash").alias("expected"))

@@ -58,9 +58,34 @@ def stall_windows(progress: DataFrame, threshold_s: int = 60) -> DataFrame:
     return rows.where(F.col("to_s") - F.col("from_s") > threshold_s).select("from_s", "to_s", (F.col("to_s") - F.col("from_s")).alias("silent_s"))
 
 
+QUANTILES = (0.5, 0.9, 0.99)
+
+
 def fetch_quantiles(log: DataFrame, width: str = "10 minutes", slide: str = "1 minute", exact: bool = True) -> DataFrame:
-    f = F.percentile if exact else F.percentile_approx
-    return log.where("ok").groupBy(F.window("ts", width, slide).alias("w")).agg(*[f("duration_s", F.lit(q)).alias(f"p{round(q * 100)}") for q in (0.5, 0.9, 0.99)], F.count("*").alias("n")).select(F.unix_seconds("w.end").alias("end_s"), "p50", "p90", "p99", "n")
+    """Quantiles of successful fetches' durations over sliding windows, by their end.
+
+    ``exact`` takes each row into all of its windows and keeps their values; else ``fetch_panes`` are merged. ``width`` is then a multiple of ``slide``.
+    """
+    if not exact:
+        return quantiles_of_panes(fetch_panes(log, slide), width, slide)
+    return log.where("ok").groupBy(F.window("ts", width, slide).alias("w")).agg(*[F.percentile("duration_s", F.lit(q)).alias(f"p{round(q * 100)}") for q in QUANTILES], F.count("*").alias("n")).select(F.unix_seconds("w.end").alias("end_s"), "p50", "p90", "p99", "n")
+
+
+def fetch_panes(log: DataFrame, slide: str = "1 minute", k: int = 400) -> DataFrame:
+    """``pane_s`` (a pane's start), ``sketch, n``: one mergeable quantile sketch of durations a pane, made map-side.
+
+    A row goes into one pane, and a pane is a few KB however many rows it has. Ranks that a sketch of ``k`` gives are off by less than 1 %
+    in all likelihood; null durations aren't counted. Panes of several parts of a log can be united and stored."""
+    pane = F.unix_seconds(F.window("ts", slide)["start"])
+    return log.where("ok and duration_s is not null").groupBy(pane.alias("pane_s")).agg(F.kll_sketch_agg_double("duration_s", k).alias("sketch"), F.count("*").alias("n"))
+
+
+def quantiles_of_panes(panes: DataFrame, width: str = "10 minutes", slide: str = "1 minute", k: int = 400) -> DataFrame:
+    """``fetch_quantiles`` of windows of panes: only sketches are taken into several windows."""
+    seconds = lambda x: F.expr(f"unix_seconds(timestamp_seconds(0) + interval {x})")
+    ends = F.sequence(F.col("pane_s") + seconds(slide), F.col("pane_s") + seconds(width), seconds(slide))
+    merged = panes.select(F.explode(ends).alias("end_s"), "sketch", "n").groupBy("end_s").agg(F.kll_merge_agg_double("sketch", k).alias("s"), F.sum("n").alias("n"))
+    return merged.select("end_s", *[F.kll_sketch_get_quantile_double("s", F.lit(q)).alias(f"p{round(q * 100)}") for q in QUANTILES], "n")
 
 
 def classify_fetch_errors(log: DataFrame) -> DataFrame:

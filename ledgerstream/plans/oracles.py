@@ -37,12 +37,16 @@ WIRE = f"""concat('{{"schema_version":"1.1","type":"', type, '","network":"testn
 GAUGES = {"current_ledger": "current_ledger", "ledger_age_seconds": "age", "seconds_since_last_ledger": "silent", "known_escrows": "tracked", "gaps_recorded": "n_gaps", "ready": "case when silent > 60 then 0 else 1 end", "paused": "case when paused then 1 else 0 end", "uptime_seconds": "3600"}
 COUNTERS = {"events_published_total": "events", "state_changes_published_total": "n_states", "suppressed_removals_total": "suppressed"}
 
+SOURCE_WINDOWS = "w as (select 0 as priority, min(ledger_seq) as oldest, max(ledger_seq) as latest from led where ledger_seq >= 4000 union all select 1, min(ledger_seq), max(ledger_seq) from led where ledger_seq % 2 = 0)"
+
 STATEMENTS = {
     "scan_range": "select ledger_seq, ledger_hash from led where ledger_seq between 1000 and 2000",
     "resolve_start": "select cursor, start, coalesce(cursor + 1, nullif(start, 0), (select max(ledger_seq) from led)) as resolved from (select case when ledger_seq % 3 = 0 then ledger_seq end as cursor, case when ledger_seq % 2 = 0 then ledger_seq else 0 end as start from led)",
     "clamp_start": "select start, oldest, latest, outcome, case when outcome = 'clamped' then oldest when outcome = 'ok' then start end as resolved, case when outcome = 'clamped' then start end as gap_from, case when outcome = 'clamped' then oldest - 1 end as gap_to, case when outcome = 'clamped' then 'rpc_retention' end as reason from (select *, case when oldest > latest then 'inverted' when start > latest + 60 then 'beyond_tip' when start < oldest then 'clamped' else 'ok' end as outcome from (select ledger_seq as start, cast(case when ledger_seq % 11 = 0 then 9000 else 2000 end as bigint) as oldest, cast(7000 as bigint) as latest from led))",
     "require_full_range": "select ledger_seq from led where ledger_seq between 100 and 8000 and (select min(ledger_seq) <= 100 and max(ledger_seq) >= 8000 from led)",
     "coalesce_sources": "select ledger_seq, cast(case when ledger_seq >= 4000 then 0 else 1 end as bigint) as priority, ledger_hash from led where ledger_seq >= 4000 or ledger_seq % 2 = 0",
+    "source_cover": f"with {SOURCE_WINDOWS}, e as (select oldest as edge from w union select latest + 1 from w), p as (select edge as a, lead(edge) over (order by edge) - 1 as b from e), s as (select a, b, min(priority) as priority from p join w on oldest <= a and latest >= b group by a, b), m as (select *, case when lag(priority) over (order by a) = priority and lag(b) over (order by a) + 1 = a then 0 else 1 end as begins from s), n as (select *, sum(begins) over (order by a) as run from m) select min(a) as from_ledger, max(b) as to_ledger, cast(min(priority) as bigint) as priority from n group by run",
+    "covered_ledgers": f"with {SOURCE_WINDOWS} select ledger_seq, cast(priority as bigint) as priority, ledger_hash from (select ledger_seq, ledger_hash, min(priority) as priority from led join w on ledger_seq between oldest and latest group by ledger_seq, ledger_hash) where ledger_seq between 2000 and 8000 and (priority = 0 or ledger_seq % 2 = 0)",
     "read_seed_list": "select uid as contract_id from ev where k >= 40",
     "load_state": "select uid as contract_id, case when bool_or(k < 3) then 'tombstoned' else 'tracked' end as status from ev group by uid",
     "replay_watchlist": "select contract_id, status from (select *, row_number() over (partition by contract_id order by effective desc, late desc, log_seq desc) as r from fold where effective <= 4000) where r = 1",
@@ -85,6 +89,8 @@ STATEMENTS = {
     "removal_guard": "select batch_id, requested, missing, requested >= 10 and 2 * missing > requested as is_implausible from guard",
     "suppressed_total": "select suppressed from suppressed",
     "fetch_quantiles": "with o as (select ts_s, value / 100 as d from ev where event_type <> 'error'), w as (select (ts_s // 60 + i) * 60 as end_s, d from o, range(1, 11) r(i)) select end_s, round(quantile_cont(d, 0.5), 6) as p50, round(quantile_cont(d, 0.9), 6) as p90, round(quantile_cont(d, 0.99), 6) as p99, count(*) as n from w group by end_s",
+    "fetch_quantile_panes": "with o as (select ts_s from ev where event_type <> 'error'), w as (select (ts_s // 60 + i) * 60 as end_s from o, range(1, 11) r(i)) select end_s, count(*) as n, true as near from w group by end_s",
+    "rotation_batch": "select contract_id from tracked where contract_id > '120' order by contract_id limit 25",
     "watchlist_size": "select ledger_seq, cast(sum(d) over (order by ledger_seq) as bigint) as tracked from (select ledger_seq, sum(d) as d from (select from_ledger as ledger_seq, 1 as d from iv union all select to_ledger, -1 from iv where to_ledger is not null) group by ledger_seq)",
     "event_kind_counts": "select type, event_kind, count(*) as n from facts group by type, event_kind",
     "metrics_long": " union all ".join(f"select '{m}' as metric, '{kind}' as kind, 'testnet' as network, cast({x} as double) as value from stat" for kind, names in (("gauge", GAUGES), ("counter", COUNTERS)) for m, x in names.items()),

@@ -122,6 +122,20 @@ def coalesce_sources(t):
     return gaps.coalesce_sources(t.sources, "testnet").select("ledger_seq", "priority", "ledger_hash")
 
 
+@query
+def source_cover(t):
+    return gaps.source_cover(gaps.source_windows(t.sources, "testnet"))
+
+
+@query
+def covered_ledgers(t):
+    """Ledgers by the cover of the sources' windows, which is known before they are read."""
+    cover = gaps.source_cover(gaps.source_windows(t.sources, "testnet"), 2000, 8000)
+    read = lambda priority, first, last: readers.scan_range(t.sources.where((F.col("priority") == priority) & (F.col("network") == "testnet")), first, last)
+    found = gaps.read_cover(cover, read)
+    return (t.sources.limit(0) if found is None else found).select("ledger_seq", "priority", "ledger_hash")
+
+
 @query
 def read_seed_list(t):
     lines = t.ev.select(F.when(F.col("k") < 30, F.concat(F.lit("# "), "uid")).when(F.col("k") < 40, F.lit("  ")).otherwise(F.concat(F.lit(" "), "uid", F.lit(" "))).alias("value"))
@@ -367,6 +381,25 @@ def fetch_quantiles(t):
     return q.select("end_s", *[F.round(c, 6).alias(c) for c in ("p50", "p90", "p99")], "n")
 
 
+@query
+def fetch_quantile_panes(t):
+    """Sketched quantiles of each window, as whether their ranks are within 3 % of what they stand for."""
+    found = ops.fetch_quantiles(t.fetch_log, exact=False)
+    rows = t.fetch_log.where("ok").select(F.explode(F.sequence(F.lit(1), F.lit(10))).alias("i"), (F.unix_seconds("ts") - F.unix_seconds("ts") % 60).alias("m"), "duration_s").select((F.col("m") + 60 * F.col("i")).alias("end_s"), "duration_s")
+    of = {q: f"p{round(q * 100)}" for q in ops.QUANTILES}
+    # A value's rank is anything from what is below it to what is at most it.
+    ranks = [f(F.col("duration_s") < F.col(p)).alias(f"{p}_below") for p in of.values() for f in (F.count_if,)] + [F.count_if(F.col("duration_s") <= F.col(p)).alias(f"{p}_upto") for p in of.values()]
+    held = found.join(rows, "end_s").groupBy("end_s", "n").agg(F.count("*").alias("rows"), *ranks)
+    near = [(F.col(f"{p}_below") <= (q + 0.03) * F.col("n") + 1) & (F.col(f"{p}_upto") >= (q - 0.03) * F.col("n") - 1) for q, p in of.items()]
+    return held.select("end_s", "n", (near[0] & near[1] & near[2] & (F.col("rows") == F.col("n"))).alias("near"))
+
+
+@query
+def rotation_batch(t):
+    """The rotation's next 25 ids behind an id."""
+    return state.next_ids(tracked_now(t), "120", 25)
+
+
 @query
 def watchlist_size(t):
     return watchlist.watchlist_size(intervals(t))

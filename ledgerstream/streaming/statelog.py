@@ -91,8 +91,9 @@ def opened(text: str | None) -> dict | None:
 
 
 class StateLog:
-    def __init__(self, spark: SparkSession, path: str, tables: dict[str, Table], every: int = 32):
+    def __init__(self, spark: SparkSession, path: str, tables: dict[str, Table], every: int = 32, options: dict | None = None):
         self.spark, self.path, self.tables, self.every, self.files = spark, path, tables, every, Files(spark)
+        self.options = options or {}  # of the files' writer
 
     def _slots(self, kind: str) -> list[dict]:
         return [x for i in (0, 1) if (x := opened(self.files.read(f"{self.path}/{kind}/{i}"))) is not None]
@@ -146,4 +147,4 @@ class StateLog:
         return new
 
     def _write(self, rows: DataFrame, folder: str) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.path}/{folder}")
+        rows.write.mode("overwrite").options(**self.options).parquet(f"{self.path}/{folder}")

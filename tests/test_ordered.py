@@ -103,3 +103,44 @@ def test_the_plan_of_detection(spark, monkeypatch):
     plan = detect.detect(raw, intervals)._jdf.queryExecution().optimizedPlan().toString()
     # The events themselves, with their payload, are dealt once: by transaction.
     assert plan.count("RepartitionByExpression") == 1
+
+
+def test_quantiles_of_panes(spark):
+    from collections import defaultdict
+
+    rows = [(60 * rng.randint(0, 14) + rng.random() * 59, rng.random() < 0.9, rng.choice([rng.expovariate(1), 5.0, None])) for _ in range(30_000)]
+    log = spark.createDataFrame(rows, "s double, ok boolean, duration_s double").withColumn("ts", F.timestamp_seconds("s"))
+    panes = ops.fetch_panes(log)
+    assert panes.count() == 15 and panes.agg(F.max(F.length("sketch"))).first()[0] < 20_000
+    # Panes of two parts of the log are one row each more, and merge to the same.
+    both = ops.fetch_panes(log.where("s < 300")).unionByName(ops.fetch_panes(log.where("s >= 300")))
+    of = defaultdict(list)
+    for s, ok, d in rows:
+        if ok and d is not None:
+            for i in range(1, 11):
+                of[int(s) // 60 * 60 + 60 * i].append(d)
+    for found in (ops.quantiles_of_panes(panes), ops.quantiles_of_panes(both)):
+        got = found.collect()
+        assert {r.end_s: r.n for r in got} == {e: len(v) for e, v in of.items()}
+        for r in got:
+            for q in ops.QUANTILES:
+                x, v = r[f"p{round(q * 100)}"], of[r.end_s]
+                assert sum(d < x for d in v) <= (q + 0.02) * len(v) + 1 and sum(d <= x for d in v) >= (q - 0.02) * len(v) - 1
+
+
+def test_source_cover_against_each_ledger(spark):
+    r = random.Random(2)
+    for _ in range(4):
+        windows = [(p, *sorted((r.randint(0, 60), r.randint(0, 60)))) for p in range(6)] + [(9, 50, 40), (7, None, 3)]
+        cover = gaps.source_cover(spark.createDataFrame(windows, "priority long, oldest long, latest long"), 5, 55).collect()
+        got = {n: c.priority for c in cover for n in range(c.from_ledger, c.to_ledger + 1)}
+        assert sum(c.to_ledger - c.from_ledger + 1 for c in cover) == len(got)
+        assert got == {n: min(p for p, a, b in windows if a is not None and a <= n <= b) for n in range(5, 56) if any(a is not None and a <= n <= b for _, a, b in windows)}
+        # Neighbouring ranges of one source are one.
+        c = sorted(cover, key=lambda c: c.from_ledger)
+        assert all(x.priority != y.priority or x.to_ledger + 1 != y.from_ledger for x, y in zip(c, c[1:], strict=False))
+    asked = []
+    read = lambda p, a, b: asked.append((p, a, b)) or spark.range(a, b + 1).selectExpr("id as ledger_seq", f"{p} as priority")
+    windows = spark.createDataFrame([(0, 10, 20), (1, 1, 30)], "priority long, oldest long, latest long")
+    assert gaps.read_cover(gaps.source_cover(windows), read).count() == 30 and asked == [(1, 1, 9), (0, 10, 20), (1, 21, 30)]
+    assert gaps.read_cover(gaps.source_cover(windows.limit(0)), read) is None

@@ -95,3 +95,41 @@ def test_rotation_by_key(spark, size):
     assert state.rotate(more, "C1", 2) == (["C11", "C2"], "C2")
     plan = state.next_ids(ids, "C1", 2)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan and "Window" not in plan
+
+
+def test_insert_once_beyond_any_watermark(spark, tmp_path, monkeypatch):
+    from ledgerstream.streaming import insert_once
+
+    schema = "message_id string, published_at timestamp, body string"
+    parts = [[("a", 1, "x"), ("b", 1, "x"), ("a", 0, "first")], [("c", 2, "x"), (None, 2, "n"), (None, 2, "n")], [("b", 9_000_000, "late"), ("d", 9_000_000, "x")], [("a", 1, "x"), ("c", 3, "late"), ("e", 9, "x")]]
+    for rows in parts:
+        spark.createDataFrame(rows, "message_id string, s long, body string").select("message_id", F.timestamp_seconds("s").alias("published_at"), "body").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    broken = {"left": 1}
+
+    def then(df, n):
+        if n == 2 and broken["left"]:
+            broken["left"] = 0
+            raise RuntimeError("between write and commit")
+
+    run = lambda: insert_once.insert_once(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "cp"), 4, then).awaitTermination()
+    with pytest.raises(Exception, match="between write and commit"):
+        run()
+    monkeypatch.setattr(insert_once, "PUSHED", 1)  # the rest by joins
+    run()
+    got = sorted((r.message_id or "", r.body) for r in spark.read.parquet(str(tmp_path / "out" / "messages")).collect())
+    assert got == [("", "n"), ("", "n"), ("a", "first"), ("b", "x"), ("c", "x"), ("d", "x"), ("e", "x")]
+
+
+def test_a_late_repeat_probes_few_buckets(spark, tmp_path):
+    from ledgerstream.streaming.insert_once import InsertOnce
+
+    once = InsertOnce(spark, str(tmp_path), buckets=8, every=2)
+    ids = lambda a, b: spark.range(a, b).selectExpr("cast(id as string) as message_id", "timestamp_seconds(id) as published_at")
+    for n in range(3):
+        once.keep(once.new_of(ids(100 * n, 100 * n + 150), n).persist(), n)
+    late = ids(7, 8)
+    assert once.new_of(late, 3).count() == 0 and len(once.touched(late)) == 1
+    plan = once.seen(late, once.log.newest())._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == 1 and "EqualTo(message_id,7)" in plan
+    total = sum(once.log.read(once.log.newest(), once.name(b)).distinct().count() for b in range(8))
+    assert total == 350
