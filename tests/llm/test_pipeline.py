@@ -45,3 +45,41 @@ def test_stages(spark):
     _, before, after = seen[4]
     texts = {r.doc_id: r.text for r in before}
     assert all(r.ids == m.library.encode(texts[r.doc_id]) and r.round_trip for r in after)
+
+
+@pytest.fixture
+def odd_tables(spark, tmp_path):
+    """The smallest tables with nulls, repeated rows and ids, and columns that stages use inside."""
+    from pyspark.sql import functions as F
+
+    docs = read_table(spark, SF, "documents").limit(80)
+    one = docs.orderBy("doc_id").limit(1)
+    odd = [docs, one, one.withColumn("text", F.lit("another text under a repeated id, long enough to have some words in it")), one.withColumn("doc_id", F.lit(None).cast("long"))]
+    odd += [one.withColumn("doc_id", F.lit(1_000_001).cast("long")).withColumn("text", F.lit(x).cast("string")) for x in (None, "", " \n ")] + [one.withColumn("doc_id", F.lit(1_000_009).cast("long")).withColumn("source", F.lit(None).cast("string")).withColumn("lang", F.lit(None).cast("string"))]
+    rows = odd[0]
+    for x in odd[1:]:
+        rows = rows.unionByName(x)
+    rows = rows.withColumn("h", F.lit(1)).withColumn("row", F.lit("r")).withColumn("fp", F.lit("f")).withColumn("spans", F.lit(2))
+    rows.write.parquet(str(tmp_path / "documents.parquet"))
+    rows.limit(0).write.parquet(str(tmp_path / "none" / "documents.parquet"))
+    for name in ("labels", "benchmark"):
+        for to in (tmp_path, tmp_path / "none"):
+            read_table(spark, SF, name).write.parquet(str(to / f"{name}.parquet"))
+    return str(tmp_path)
+
+
+def test_run_is_the_chain_of_stages(spark, odd_tables):
+    docs = read_table(spark, odd_tables, "documents")
+    columns = docs.columns
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stored(stage(spark, docs, odd_tables), "t")
+        if name != corpus_pipeline.STAGES[-1][0]:
+            assert docs.columns == columns, name
+    row = lambda r: (r.doc_id is None, r.doc_id, r.n_pieces, r.ids_crc32, r.round_trip, r.ids)
+    want = sorted(map(row, docs.collect()), key=repr)
+    got = sorted(map(row, corpus_pipeline.run(spark, odd_tables).collect()), key=repr)
+    assert got == want and 20 < len(got) < 90
+
+
+def test_run_on_an_empty_table(spark, odd_tables):
+    assert corpus_pipeline.run(spark, f"{odd_tables}/none").count() == 0
