@@ -82,8 +82,8 @@ def continuity_breaks(ledgers: DataFrame) -> DataFrame:
 
 
 def chain_continuity(ledgers: DataFrame, cursor_ledger: int, cursor_hash: str | None) -> DataFrame:
-    """The first ledger after a cursor and whether it continues it; none if it isn't there or the hash is unknown."""
-    return ledgers.where((F.col("ledger_seq") == cursor_ledger + 1) & F.lit(bool(cursor_hash))).select("ledger_seq", (F.lower("prev_hash") == (cursor_hash or "").lower()).alias("continues"))
+    """The first ledger after a cursor and whether it continues it; none if it isn't there or a hash is unknown."""
+    return ledgers.where((F.col("ledger_seq") == cursor_ledger + 1) & F.lit(bool(cursor_hash)) & F.col("prev_hash").isNotNull()).select("ledger_seq", (F.lower("prev_hash") == (cursor_hash or "").lower()).alias("continues"))
 
 
 def coverage_gaps(ledgers: DataFrame) -> DataFrame:
