@@ -11,6 +11,7 @@ stretches between neighbouring ends of either side, and a group closes where bot
 from __future__ import annotations
 
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,7 +23,7 @@ from .common import stored
 from .tokenbin import WordEncoder, byte_characters
 
 #: Windows a worker keeps, twice; longer ones than KEPT_IDS aren't kept. They change no result.
-WINDOWS_KEPT, KEPT_IDS = 100_000, 64
+WINDOWS_KEPT, KEPT_IDS = 200_000, 64
 #: Distinct pairs of ids sent to all tasks (about 100 bytes each in a hash table), beyond which both sides are shuffled.
 SENT_PAIRS = 1_000_000
 #: Bits of the second tokenizer's ids in a pair's code.
@@ -30,10 +31,12 @@ SHIFT = 32
 
 
 class Tokens:
-    """Ids of whole texts by one tokenizer, strings of special tokens taken as plain text, and what each id stands for."""
+    """Ids of whole texts by one tokenizer, strings of special tokens taken as plain text, and what each id stands for.
 
-    def __init__(self, encode, table: list[bytes]):
-        self.encode, self.bytes = encode, table
+    ``exact``: the tokens give back every text, so this needs no proof text by text."""
+
+    def __init__(self, encode, table: list[bytes], exact: bool = False):
+        self.encode, self.bytes, self.exact, self.text = encode, table, exact, [str(i) for i in range(len(table))]
         self.length = [len(x) for x in table]
         self.lengths = np.array(self.length, np.int64)
         self.spaced = np.array([x[:1] == b" " for x in table], bool)
@@ -47,7 +50,8 @@ def byte_level(path: str) -> Tokens:
     of = {c: i for i, c in enumerate(byte_characters())}
     names = [words.tokenizer.id_to_token(i) or "" for i in range(words.vocab_size)]
     table = [bytes(of[c] for c in x) if all(c in of for c in x) else x.encode() for x in names]
-    return Tokens(lambda text: words(" " + text).astype("<i4"), table)
+    # With a token for each byte, and its split keeping all characters, merging never loses any.
+    return Tokens(lambda text: words(" " + text).astype("<i4"), table, words.by_word and {bytes([i]) for i in range(256)} <= set(table))
 
 
 def pieces(path: str) -> Tokens:
@@ -59,49 +63,54 @@ def pieces(path: str) -> Tokens:
     return Tokens(lambda text: np.array(sp.encode(text), "<i4"), [piece(i) for i in range(sp.get_piece_size())])
 
 
-def sweep(a: list[int], b: list[int], a_len: list[int], b_len: list[int]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """Of two runs of tokens over the same bytes: linked places ``(i, j)``, and the ends ``(i, j)`` of groups, exclusive."""
-    links, ends = [], []
-    i = j = 0
-    end_a, end_b = a_len[a[0]], b_len[b[0]]
-    while True:
-        links.append((i, j))
-        if end_a == end_b:
-            i, j = i + 1, j + 1
-            ends.append((i, j))
-            if i == len(a):
-                return links, ends
-            end_a, end_b = end_a + a_len[a[i]], end_b + b_len[b[j]]
-        elif end_a < end_b:
-            i += 1
-            end_a += a_len[a[i]]
-        else:
-            j += 1
-            end_b += b_len[b[j]]
+#: Ids of the second tokenizer in a window's key, so that it is clear where the first one's end.
+SECOND = 1 << 30
 
 
 class Windows(dict):
-    """Alignments by the two runs of ids (as bytes): text of the groups, number of groups, codes of the links."""
+    """Alignments of windows by their key, the ids of one side and those of the other as 32-bit numbers: text of the groups, codes of the
+    links."""
 
     def __init__(self, a: Tokens, b: Tokens):
         self.a, self.b, self.old = a, b, {}
 
-    def __missing__(self, key: tuple[bytes, bytes]) -> tuple[str, int, bytes]:
-        found = self.old.get(key) or self.align(*(np.frombuffer(x, "<i4").tolist() for x in key))
-        if len(key[0]) + len(key[1]) <= 4 * KEPT_IDS:
+    def __missing__(self, key: bytes) -> tuple[str, bytes]:
+        found = self.old.get(key) or self.align(key)
+        if len(key) <= 4 * KEPT_IDS:
             if len(self) >= WINDOWS_KEPT:
                 self.old = dict(self)
                 self.clear()
             self[key] = found
         return found
 
-    def align(self, a: list[int], b: list[int]) -> tuple[str, int, bytes]:
-        links, ends = sweep(a, b, self.a.length, self.b.length)
-        groups, i, j = [], 0, 0
-        for x, y in ends:
-            groups.append(",".join(map(str, a[i:x])) + "|" + ",".join(map(str, b[j:y])))
-            i, j = x, y
-        return ";".join(groups), len(ends), np.array([(a[i] << SHIFT) + b[j] for i, j in links], "<i8").tobytes()
+    def align(self, key: bytes) -> tuple[str, bytes]:
+        """One sweep over both runs of tokens, which cover the same bytes."""
+        a = memoryview(key).cast("i").tolist()
+        n = sum([x < SECOND for x in a])
+        b = [x - SECOND for x in a[n:]]
+        a_len, b_len, a_text, b_text = self.a.length, self.b.length, self.a.text, self.b.text
+        groups, codes, i, j, x, y = [], [], 0, 0, a[0], b[0]
+        end_a, end_b, first, second = a_len[x], b_len[y], a_text[x], b_text[y]
+        while True:
+            codes.append((x << SHIFT) + y)
+            if end_a < end_b:
+                i += 1
+                x = a[i]
+                end_a += a_len[x]
+                first += "," + a_text[x]
+            elif end_b < end_a:
+                j += 1
+                y = b[j]
+                end_b += b_len[y]
+                second += "," + b_text[y]
+            else:
+                groups.append(first + "|" + second)
+                i += 1
+                if i == n:
+                    return ";".join(groups), array("q", codes).tobytes()
+                j += 1
+                x, y = a[i], b[j]
+                end_a, end_b, first, second = end_a + a_len[x], end_b + b_len[y], a_text[x], b_text[y]
 
 
 class Aligner:
@@ -115,18 +124,18 @@ class Aligner:
             return none
         whole, a, b = b" " + text.encode("utf-8", "surrogatepass"), self.a.encode(text), self.b.encode(text)
         for side, ids in ((self.a, a), (self.b, b)):
-            if b"".join(map(side.bytes.__getitem__, ids.tolist())) != whole:
+            if not side.exact and b"".join(map(side.bytes.__getitem__, ids.tolist())) != whole:
                 return none
         start_a, start_b = (np.cumsum(side.lengths[ids]) - side.lengths[ids] for side, ids in ((self.a, a), (self.b, b)))
         anchors = np.intersect1d(start_a[self.a.spaced[a]], start_b[self.b.spaced[b]], assume_unique=True)
         if not len(anchors) or anchors[0]:
             anchors = np.concatenate(([0], anchors))
         cut_a, cut_b = (4 * np.append(np.searchsorted(start, anchors), len(start)) for start in (start_a, start_b))
-        cut_a, cut_b, raw_a, raw_b = cut_a.tolist(), cut_b.tolist(), a.tobytes(), b.tobytes()
-        found = list(map(self.windows.__getitem__, [(raw_a[i:j], raw_b[k:n]) for i, j, k, n in zip(cut_a, cut_a[1:], cut_b, cut_b[1:], strict=False)]))
-        codes = np.frombuffer(b"".join([x[2] for x in found]), "<i8")
-        digest = hashlib.sha256(";".join([x[0] for x in found]).encode()).hexdigest()
-        return len(a), len(b), sum([x[1] for x in found]), len(codes), digest, *np.unique(codes, return_counts=True)
+        cut_a, cut_b, raw_a, raw_b = cut_a.tolist(), cut_b.tolist(), a.tobytes(), (b + SECOND).astype("<i4").tobytes()
+        groups, links = zip(*map(self.windows.__getitem__, [raw_a[i:j] + raw_b[k:n] for i, j, k, n in zip(cut_a, cut_a[1:], cut_b, cut_b[1:], strict=False)]), strict=True)
+        codes = np.frombuffer(b"".join(links), "<i8")
+        # A group of p and q tokens has p + q - 1 links.
+        return len(a), len(b), len(a) + len(b) - len(codes), len(codes), hashlib.sha256(";".join(groups).encode()).hexdigest(), *np.unique(codes, return_counts=True)
 
 
 _aligners: dict[tuple[str, str], Aligner] = {}
