@@ -74,7 +74,7 @@ class Windows(dict):
     def __init__(self, a: Tokens, b: Tokens):
         self.a, self.b, self.old = a, b, {}
 
-    def __missing__(self, key: bytes) -> tuple[str, bytes]:
+    def __missing__(self, key: bytes) -> tuple[str | None, bytes]:
         found = self.old.get(key) or self.align(key)
         if len(key) <= 4 * KEPT_IDS:
             if len(self) >= WINDOWS_KEPT:
@@ -83,11 +83,13 @@ class Windows(dict):
             self[key] = found
         return found
 
-    def align(self, key: bytes) -> tuple[str, bytes]:
-        """One sweep over both runs of tokens, which cover the same bytes."""
+    def align(self, key: bytes) -> tuple[str | None, bytes]:
+        """One sweep over both runs of tokens, which must cover the same bytes; no text where they don't."""
         a = memoryview(key).cast("i").tolist()
         n = sum([x < SECOND for x in a])
-        b = [x - SECOND for x in a[n:]]
+        a, b = a[:n], [x - SECOND for x in a[n:]]
+        if b"".join([self.a.bytes[x] for x in a]) != b"".join([self.b.bytes[x] for x in b]):
+            return None, b""
         a_len, b_len, a_text, b_text = self.a.length, self.b.length, self.a.text, self.b.text
         groups, codes, i, j, x, y = [], [], 0, 0, a[0], b[0]
         end_a, end_b, first, second = a_len[x], b_len[y], a_text[x], b_text[y]
@@ -122,17 +124,26 @@ class Aligner:
         none = (0, 0, 0, 0, "", np.empty(0, np.int64), np.empty(0, np.int64))
         if not text:
             return none
-        whole, a, b = b" " + text.encode("utf-8", "surrogatepass"), self.a.encode(text), self.b.encode(text)
-        for side, ids in ((self.a, a), (self.b, b)):
-            if not side.exact and b"".join(map(side.bytes.__getitem__, ids.tolist())) != whole:
-                return none
-        start_a, start_b = (np.cumsum(side.lengths[ids]) - side.lengths[ids] for side, ids in ((self.a, a), (self.b, b)))
-        anchors = np.intersect1d(start_a[self.a.spaced[a]], start_b[self.b.spaced[b]], assume_unique=True)
-        if not len(anchors) or anchors[0]:
-            anchors = np.concatenate(([0], anchors))
-        cut_a, cut_b = (4 * np.append(np.searchsorted(start, anchors), len(start)) for start in (start_a, start_b))
-        cut_a, cut_b, raw_a, raw_b = cut_a.tolist(), cut_b.tolist(), a.tobytes(), (b + SECOND).astype("<i4").tobytes()
+        a, b = self.a.encode(text), self.b.encode(text)
+        size = len(text.encode("utf-8", "surrogatepass")) + 1
+        length_a, length_b = self.a.lengths[a], self.b.lengths[b]
+        if not len(a) or length_a.sum() != size or length_b.sum() != size:
+            return none
+        if not self.a.exact and b"".join(map(self.a.bytes.__getitem__, a.tolist())) != b" " + text.encode("utf-8", "surrogatepass"):
+            return none
+        # Places of tokens with a space in front, and which of them begin where one of the other side does.
+        at_a, at_b = np.flatnonzero(self.a.spaced[a]), np.flatnonzero(self.b.spaced[b])
+        start_a, start_b = (np.cumsum(length_a) - length_a)[at_a], (np.cumsum(length_b) - length_b)[at_b]
+        here_a, here_b = np.zeros(size, bool), np.zeros(size, bool)
+        here_a[start_a], here_b[start_b] = True, True
+        at_a, at_b = at_a[here_b[start_a]], at_b[here_a[start_b]]
+        if not len(at_a) or at_a[0] or at_b[0]:
+            at_a, at_b = np.concatenate(([0], at_a[at_a > 0])), np.concatenate(([0], at_b[at_b > 0]))
+        cut_a, cut_b, raw_a, raw_b = (4 * np.append(at_a, len(a))).tolist(), (4 * np.append(at_b, len(b))).tolist(), a.tobytes(), (b + SECOND).astype("<i4").tobytes()
         groups, links = zip(*map(self.windows.__getitem__, [raw_a[i:j] + raw_b[k:n] for i, j, k, n in zip(cut_a, cut_a[1:], cut_b, cut_b[1:], strict=False)]), strict=True)
+        # The first side gives back the text, so where each window's bytes are the same the second one does, too.
+        if None in groups:
+            return none
         codes = np.frombuffer(b"".join(links), "<i8")
         # A group of p and q tokens has p + q - 1 links.
         return len(a), len(b), len(a) + len(b) - len(codes), len(codes), hashlib.sha256(";".join(groups).encode()).hexdigest(), *np.unique(codes, return_counts=True)
