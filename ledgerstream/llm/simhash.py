@@ -275,6 +275,7 @@ def near_duplicates(docs: DataFrame, radius: int = 4, words: int = 4, seed: int
 
     Null and wordless texts have fingerprint zero and link like any other; rows with a null doc_id keep it and count
     for links, but no component is named after them. Repeated rows stay, each with its own row. An empty table gives none.
+    Components settle in rounds; more than 60 of them (``max_rounds`` of ``connected_components``) raise rather than lose a link.
     """
     rows = stored(fingerprints(docs, words, seed), "simhash")
     distinct = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first")).select("fp", _node("first", F.col("fp")).alias("node")), "simhash-distinct")

@@ -243,7 +243,11 @@ def read_token_files(spark: SparkSession, path: str, per_doc=None, schema: str =
 
 
 def token_spans(docs: DataFrame, tokenizer_path: str, end_id: int = 0) -> DataFrame:
-    """Write ``docs`` as token files in the shared folder, read them back: doc_id, start, n_tokens, ids_crc32."""
+    """Write ``docs (doc_id, text)`` as token files in the shared folder, read them back: doc_id, start, n_tokens, ids_crc32.
+
+    Null and empty texts have the end id only; repeated rows stay, rows of one id in order of their texts, null ids first; an empty
+    table gives none; columns of other names, whatever they are, are ignored.
+    """
     from .common import scratch_path
 
     spark = docs.sparkSession

@@ -396,7 +396,8 @@ def extract(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars, wrapper`` for every row of ``pages (page_id, url, html)``; other columns are ignored.
 
     Null or empty html has the empty text; repeated rows are kept each, and a url without a host counts for the host ''. ``wrapper``
-    is the host's wrapper as a pattern, its content slots in braces. An empty table gives none.
+    is the host's wrapper as a pattern, its content slots in braces. An empty table gives none. Pages are taken whole, however long. Where a
+    host has fewer than ``LEAST`` distinct pages no text of it is constant, so what neither element nor name tells for a menu or notice stays.
     """
     rows = parsed(pages)
     made = infer_wrappers(rows).join(slot_roles(rows), "host", "left")
