@@ -24,26 +24,30 @@ WINDOW, LEAST_WINDOWS, LEAST_LITERALS = 8, 6, 4
 BROADCAST_ROWS = 200_000
 # Fixed values.
 UNITS = "mm cm dm m km g kg mg t s ms min mins h hr hrs hour hours day days week weeks month months year years second seconds minute minutes metre metres meter meters mile miles inch inches foot feet yard yards gram grams kilogram kilograms pound pounds ounce ounces litre litres liter liters ml percent dollar dollars euro euros cent cents degree degrees watt watts volt volts kwh mph km2 m2 stunde stunden jahre tage euros heures jours ans horas dias"
-NUMBER, NAME, UNIT, VALUE = "ⓝ", "ⓐ", "ⓤ", "§"
+NUMBER, NAME, UNIT, VALUE, JOINT = "ⓝ", "ⓐ", "ⓤ", "§", "ⓙ"
 SEPARATORS = r"[^\p{L}\p{M}\p{So}§0-9]+"
 
 
 def template(text: Column) -> Column:
     """The tokens of a text: lower-cased words and placeholders, each followed by § and its value.
 
-    Numbers are runs of digits, so 12.5 is two. Documents and items are cut by this one rule, so positions agree; signs of
-    the text itself that are reserved for placeholders are left out.
+    A number with its separators (12.5, 1,000, 7:30, 1/2) and a run of two or three names (New York) are one token each,
+    so values of any length stand at the same place of the template; longer runs, as in titles, are a token a word. Documents and items are cut by this one rule, so positions agree; signs
+    of the text itself that are reserved for placeholders are left out.
     """
     of = lambda kind, group: f" {kind}{VALUE}${group} "
     units = "|".join(sorted(set(UNITS.split()), key=lambda u: (-len(u), u)))
-    signs = [NUMBER, NAME, UNIT, NUMBER.upper(), NAME.upper(), UNIT.upper(), VALUE]
+    signs = [*NUMBER + NAME + UNIT + JOINT, *(NUMBER + NAME + UNIT + JOINT).upper(), VALUE]
     # Few texts hold such signs, and to look for them costs less than to replace none.
     held = reduce(Column.__or__, [F.contains(text, F.lit(x)) for x in signs])
     clean = F.when(held, F.regexp_replace(text, f"[{''.join(signs)}]", " ")).otherwise(text)
     # Each pattern looks at the sign ahead first: at most places that fails, before anything is looked at behind.
     named = F.regexp_replace(clean, r"(?=\p{Lu})(?<=[\p{L}\p{N},;)] )(\p{Lu}\p{Ll}+)(?![\p{L}\p{N}])", of(NAME, 1).strip())
-    with_units = F.regexp_replace(named, rf"(?i)(?=\p{{Nd}})(?<![\p{{L}}\p{{Nd}}])(\p{{Nd}}+)\s?({units})(?![\p{{L}}\p{{N}}])", of(NUMBER, 1) + of(UNIT, 2))
-    numbered = F.regexp_replace(with_units, rf"(?=\p{{Nd}})(?<![{VALUE}\p{{Nd}}])(\p{{Nd}}+)", of(NUMBER, 1))
+    word = r"\p{Lu}\p{Ll}++"
+    named = F.regexp_replace(named, rf"(?={NAME})(?<!{NAME}{VALUE}\p{{Lu}}\p{{Ll}}{{1,60}} )({NAME}{VALUE}{word}) {NAME}{VALUE}({word})(?: {NAME}{VALUE}({word}))?(?! {NAME})", f"$1{JOINT}$2{JOINT}$3")
+    joined = F.regexp_replace(named, r"(?=[.,:/]\p{Nd})(?<=\p{Nd})[.,:/]", JOINT)
+    with_units = F.regexp_replace(joined, rf"(?i)(?=\p{{Nd}})(?<![\p{{L}}\p{{Nd}}{JOINT}])([\p{{Nd}}{JOINT}]+)\s?({units})(?![\p{{L}}\p{{N}}])", of(NUMBER, 1) + of(UNIT, 2))
+    numbered = F.regexp_replace(with_units, rf"(?=\p{{Nd}})(?<![{VALUE}\p{{Nd}}{JOINT}])([\p{{Nd}}{JOINT}]+)", of(NUMBER, 1))
     marked = F.when(text.rlike(r"\p{Nd}"), numbered).otherwise(named)
     # Only the first and the last token can be empty.
     cut = lambda t: F.slice(t, F.when(t[0] == "", 2).otherwise(1), F.greatest(F.lit(0), F.size(t) - F.when(t[0] == "", 1).otherwise(0) - F.when((F.size(t) > 1) & (F.element_at(t, -1) == ""), 1).otherwise(0)))
@@ -182,8 +186,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least: in
     return kept.groupBy("doc_id", "text_hash", "item_id").agg(best.alias("b")).select("doc_id", "text_hash", "item_id", "b.*")
 
 
-def remove_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least: int = LEAST_WINDOWS) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item, all columns and repeated rows as they are."""
+def remove_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, least: int = LEAST_WINDOWS, shortest: int = 1) -> DataFrame:
+    """The rows of ``docs`` that hold no benchmark item, all columns and repeated rows as they are.
+
+    Items of fewer than ``shortest`` tokens are left out: by 1, an item of one word removes every document with that word.
+    """
+    if shortest > 1:
+        benchmark = benchmark.where(F.size(template(F.coalesce(F.col("text").cast("string"), F.lit("")))) >= shortest)
     of, h = unused(docs, "_id"), unused(docs, "_hash")
     found = stored(leaks(docs, benchmark, window, least).select(F.col("doc_id").alias(of), F.col("text_hash").alias(h)).distinct(), "leaks")
     few = F.broadcast(found) if found.count() <= BROADCAST_ROWS else found

@@ -546,6 +546,41 @@ def test_recall_of_changed_items(spark):
     assert all(a == b for a, b in found) and len(found) >= 36
 
 
+def test_values_of_other_token_counts(spark):
+    """Names of one word by names of two or three, whole numbers by others with separators, and back."""
+    names, longer = ["Paris", "Tom", "Alice", "Peter"], ["New York", "Mary Ann", "Maria De Souza", "Los Angeles"]
+    items = [f"{text(5)} where {names[i % 4]} bought {i + 3} {WORDS[i]} and {2 * i + 40} km of rope {text(6)} so {names[(i + 1) % 4]} paid {i * 11 + 900} {text(4)}" for i in range(40)]
+
+    def other(i):
+        swap = {names[i % 4]: longer[i % 4], names[(i + 1) % 4]: longer[(i + 1) % 4], str(i + 3): f"{i}.25", str(2 * i + 40): f"1,{200 + i}.5", str(i * 11 + 900): f"{i + 1}/7"}
+        return " ".join(swap.get(w, w) for w in items[i].split())
+
+    changed = [other(i) for i in range(40)]
+    around = lambda xs: [text(30) + " so " + x + " " + text(30) for x in xs]
+    for bench, copies in ((items, changed), (changed, items)):
+        found = leak_pairs(spark, bench, around(copies) + [text(80) for _ in range(40)])
+        assert all(a == b for a, b in found) and len(found) >= 36
+    # One value by two different ones is not a copy with other values.
+    item = "He gave 5 of the coats to Tom and kept 5 for the old shop near the door of the long hall"
+    assert leak_pairs(spark, [item], [item.replace("5", "2.5"), item.replace("5", "2.5", 1), item.replace("Tom", "Mary Ann")]) == {(0, 0), (2, 0)}
+
+
+def test_template_of_names_and_numbers(spark):
+    of = lambda x: spark.createDataFrame([(x,)], "t string").select(decontam.template(F.col("t")).alias("x")).first().x
+    a, n, u, j = "\u24d0\u00a7", "\u24dd\u00a7", "\u24e4\u00a7", "\u24d9"
+    assert of("go to New York by 7:30, pay 1,000.50 or 2.") == ["go", "to", f"{a}new{j}york{j}", "by", f"{n}7{j}30", "pay", f"{n}1{j}000{j}50", "or", f"{n}2"]
+    assert of("in Paris and 2.5km") == ["in", f"{a}paris", "and", f"{n}2{j}5", f"{u}km"]
+    assert of("of Old Tales And Rare Poems") == ["of", *(a + x for x in "old tales and rare poems".split())]
+    long = of("1,2." * 60_000 + " " + "see Mary " * 20_000)
+    assert len(long) == 1 + 40_000
+
+
+def test_short_items_can_be_left_out(spark):
+    docs = spark.createDataFrame([(1, "a zanzibar b"), (2, PASSAGE)], SCHEMA)
+    bench = spark.createDataFrame([(1, "Zanzibar"), (2, PASSAGE)], "item_id long, text string")
+    assert decontam.remove_leaks(docs, bench).count() == 0 and [r.doc_id for r in decontam.remove_leaks(docs, bench, shortest=2).collect()] == [1]
+
+
 def leak_pairs(spark, items, texts):
     bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
     return {(r.doc_id, r.item_id) for r in decontam.leaks(spark.createDataFrame(list(enumerate(texts)), SCHEMA), bench).collect()}
