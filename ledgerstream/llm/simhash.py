@@ -332,9 +332,9 @@ def _pick(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     return docs.join(F.broadcast(ids) if ids.count() <= SENT_ROWS else ids, on, how)
 
 
-def similar_texts(docs: DataFrame, rows: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = RADIUS) -> DataFrame:
+def similar_texts(docs: DataFrame, rows: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = RADIUS, nearest: int = 8) -> DataFrame:
     """Pairs ``(u, v)`` of nodes of different texts of which the shared shingles are ``similarity`` of all: in each shard, a text
-    and the nearest ones before it, in the order of nodes."""
+    and the ``nearest`` ones before it, in the order of nodes."""
     texts = rows.groupBy("h").agg(F.min("doc_id").alias("doc_id"), F.first("fp").alias("fp"), F.first("shards").alias("shards"))
     keyed = texts.select(F.explode(F.array_distinct("shards")).alias("shard"), _node("doc_id", F.col("h")).alias("node"), "fp")
     # A large shard is cut into pieces, and each two of them (a piece with itself too) are one shard.
@@ -347,7 +347,7 @@ def similar_texts(docs: DataFrame, rows: DataFrame, words: int = 5, similarity:
         for t in _by_shard(batches, 2):
             fps, us, vs = t.column(3).to_numpy(), [], []
             for lo, hi in _bounds(t, 2).tolist():
-                u, v = nearest_before(fps[lo:hi], radius)
+                u, v = nearest_before(fps[lo:hi], radius, nearest)
                 us.append(u + lo)
                 vs.append(v + lo)
             if us:
@@ -373,16 +373,18 @@ def similar_texts(docs: DataFrame, rows: DataFrame, words: int = 5, similarity:
     return both.where(alike).select("u", "v")
 
 
-def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8) -> DataFrame:
+def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = RADIUS, nearest: int = 8) -> DataFrame:
     """One row of each group of rows of ``docs`` with similar texts, that of the least doc_id; all columns as they are.
 
     Texts link where shared distinct ``words``-word shingles are ``similarity`` of all their shingles: linked texts are checked on
-    32-bit hashes of their shingles, candidates come from trees in the shards that least shingles name (tests measure their recall). Equal
+    32-bit hashes of their shingles, candidates come from trees in the shards that least shingles name (tests measure their recall):
+    of those before a text in a shard the ``nearest`` ones within ``radius`` bits. More of both find more, at a cost in memory and time in
+    proportion to ``nearest``; links that no shard brings together stay unseen. Components that need more than 60 rounds raise. Equal
     texts always link, and texts without words, null or not, are equal. Rows that repeat id and text are one; other texts
     of a repeated id stand for themselves. Null ids come last: one such row stays only where no row of its group has an id.
     """
     rows = stored(_sketches(docs, words), "similar-sketches")
-    roots = connected_components(similar_texts(docs, rows, words, similarity), "similar-links")
+    roots = connected_components(similar_texts(docs, rows, words, similarity, radius, nearest), "similar-links")
     first = rows.groupBy("h").agg(F.min("doc_id").alias("first")).select("h", _node("first", F.col("h")).alias("own"))
     root = first.join(roots, F.col("own") == F.col("node"), "left").select("h", F.coalesce("root", "own").alias("root"))
     mine = rows.select("doc_id", "h").join(root, "h").select(F.col("doc_id").alias("_doc_id"), F.col("h").alias("_h"), (_node("doc_id", F.col("h")) == F.col("root")).alias("stays"))

@@ -326,9 +326,9 @@ def test_keep_one_of_similar_texts(spark, monkeypatch):
     pairs = [(a, b) for a, x in rows for b, y in rows if a < b and similar(x, y)]
     assert len(pairs) > 200
     want = components(pairs, range(len(rows)))
-    for shard in (8192, 2):
+    for shard, wider in ((8192, {}), (2, {}), (8192, {"radius": 24, "nearest": 64})):
         monkeypatch.setattr(simhash, "SHARD", shard)
-        kept = {r.doc_id for r in simhash.keep_one(df).collect()}
+        kept = {r.doc_id for r in simhash.keep_one(df, **wider).collect()}
         assert set(want.values()) <= kept and len(kept - set(want.values())) <= 0.03 * (len(rows) - len(set(want.values())))
 
 
