@@ -292,6 +292,8 @@ def near_duplicates(docs: DataFrame, radius: int = 4, words: int = 4, seed: int
 #: miss one with probability 1 - 0.8 ** 2, all six with 0.002. Their fingerprints differ in about 10 bits (0.002 over RADIUS).
 SHARDS, RADIUS = 6, 18
 _ORDERS = np.random.default_rng(7).integers(1, 1 << 63, 2 * SHARDS, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+#: Texts of which shingles are counted, about, and shingles that count as common, at most. They change no result.
+COUNTED, COMMON = 20_000, 100_000
 #: Rows sent to all tasks (about 50 bytes each), beyond which texts are shuffled to them.
 SENT_ROWS = 300_000
 
@@ -305,19 +307,56 @@ def shard_names(hashes: np.ndarray) -> list[int]:
     return mixed.view(np.int64).tolist()
 
 
-def _sketches(docs: DataFrame, words: int) -> DataFrame:
-    """``doc_id, h, fp, shards`` of every row; ``h`` tells texts apart."""
+def _common(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that many texts hold, in order, and how many of ``COUNTED`` texts do. They only say which shingles ``prefix`` takes last."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps, names = [], []
-            for t in b.column(2):
-                x = shingle_hashes(t.as_py(), words)
-                fps.append(fingerprint_of(x))
-                names.append(shard_names(x))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps, pa.int64()), pa.array(names, pa.list_(pa.int64()))], names=["doc_id", "h", "fp", "shards"])
+            found = [np.unique(shingle_hashes(t.as_py(), words)) for t in b.column(1)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["s"])
 
-    return docs.select(F.col("doc_id").cast("long"), _text_hash().alias("h"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, h long, fp long, shards array<long>")
+    texts = docs.select(_text_hash().alias("h"), F.col("text").cast("string"))
+    one_of = max(1, docs.count() // COUNTED)
+    counts = texts.where(F.pmod(F.xxhash64("h"), F.lit(one_of)) == 0).dropDuplicates(["h"]).mapInArrow(run, "s long").groupBy("s").agg(F.count("*").alias("n")).where("n > 3")
+    top = counts.orderBy(F.desc("n"), "s").limit(COMMON).collect()
+    values = np.array([r.s for r in top], np.int64).view(np.uint64)
+    order = np.argsort(values)
+    return values[order], np.array([r.n for r in top], np.int64)[order]
+
+
+def prefix(hashes: np.ndarray, similarity: float, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The first distinct shingles in an order that all texts share, rare ones first: as many as a similar text can't miss altogether.
+
+    Similar texts share at least ``similarity`` of each one's shingles, so the first shingle they share is among these of both."""
+    if not len(hashes):
+        return np.zeros(1, np.uint64)  # texts without words are similar to one another alone
+    distinct = np.unique(hashes)
+    often = np.zeros(len(distinct), np.int64)
+    if len(common[0]):
+        at = np.minimum(np.searchsorted(common[0], distinct), len(common[0]) - 1)
+        often = np.where(common[0][at] == distinct, common[1][at], 0)
+    most = len(distinct) - int(np.ceil(similarity * len(distinct) - 1e-6)) + 1
+    return distinct[np.argsort(often, kind="stable")][:most]
+
+
+def _sketches(docs: DataFrame, words: int, similarity: float) -> DataFrame:
+    """``doc_id, h, fp, shards, size, prefix`` of every row; ``h`` tells texts apart, ``size`` counts distinct shingles."""
+    common = _common(docs, words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 1000):
+                part = b.slice(at, 1000)
+                fps, names, sizes, prefixes = [], [], [], []
+                for t in part.column(2):
+                    x = shingle_hashes(t.as_py(), words)
+                    fps.append(fingerprint_of(x))
+                    names.append(shard_names(x))
+                    sizes.append(len(np.unique(x)))
+                    prefixes.append(prefix(x, similarity, common).view(np.int64))
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(fps, pa.int64()), pa.array(names, pa.list_(pa.int64())), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64()))], names=["doc_id", "h", "fp", "shards", "size", "prefix"])
+
+    return docs.select(F.col("doc_id").cast("long"), _text_hash().alias("h"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, h long, fp long, shards array<long>, size int, prefix array<long>")
 
 
 def _text_hash() -> Column:
@@ -332,16 +371,12 @@ def _pick(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     return docs.join(F.broadcast(ids) if ids.count() <= SENT_ROWS else ids, on, how)
 
 
-def similar_texts(docs: DataFrame, rows: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = RADIUS, nearest: int = 8) -> DataFrame:
-    """Pairs ``(u, v)`` of nodes of different texts of which the shared shingles are ``similarity`` of all: in each shard, a text
-    and the ``nearest`` ones before it, in the order of nodes."""
-    texts = rows.groupBy("h").agg(F.min("doc_id").alias("doc_id"), F.first("fp").alias("fp"), F.first("shards").alias("shards"))
-    keyed = texts.select(F.explode(F.array_distinct("shards")).alias("shard"), _node("doc_id", F.col("h")).alias("node"), "fp")
+def near_pairs(texts: DataFrame, radius: int = RADIUS, nearest: int = 8) -> DataFrame:
+    """Pairs ``(u, v)`` of nodes that are likely similar: in each shard, a text and the ``nearest`` ones before it, in the order of nodes."""
+    keyed = texts.select(F.explode(F.array_distinct("shards")).alias("shard"), "node", "fp")
     # A large shard is cut into pieces, and each two of them (a piece with itself too) are one shard.
     pieces = keyed.groupBy("shard").agg(F.ceil(F.count("*") / (2 * SHARD)).alias("n")).where("n > 2")
-    piece = F.pmod(F.xxhash64("node"), "n")
-    cut = F.when(F.col("n").isNull(), F.array(F.lit(0).cast("long"))).otherwise(F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda k: F.least(piece, k) * F.col("n") + F.greatest(piece, k)))
-    keyed = keyed.join(pieces, "shard", "left").select("shard", F.explode(cut).alias("part"), "node", "fp")
+    keyed = keyed.join(pieces, "shard", "left").select("shard", F.explode(_parts(F.col("n"), F.xxhash64("node"))).alias("part"), "node", "fp")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _by_shard(batches, 2):
@@ -354,7 +389,58 @@ def similar_texts(docs: DataFrame, rows: DataFrame, words: int = 5, similarity:
                 node = t.column(2).combine_chunks()
                 yield pa.RecordBatch.from_arrays([node.take(pa.array(np.concatenate(x))) for x in (us, vs)], names=["u", "v"])
 
-    pairs = stored(keyed.repartition("shard", "part").sortWithinPartitions("shard", "part", "node").mapInArrow(run, f"u {NODE}, v {NODE}").distinct(), "similar-pairs")
+    return keyed.repartition("shard", "part").sortWithinPartitions("shard", "part", "node").mapInArrow(run, f"u {NODE}, v {NODE}").distinct()
+
+
+def _parts(n: Column, of: Column) -> Column:
+    """The parts a row goes to where its group is cut into ``n`` pieces, each two of which meet in one; one part where ``n`` is null."""
+    piece = F.pmod(of, n)
+    return F.when(n.isNull(), F.array(F.lit(0).cast("long"))).otherwise(F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda k: F.least(piece, k) * n + F.greatest(piece, k)))
+
+
+def pairs_in_groups(ends: np.ndarray, group: np.ndarray, size: np.ndarray, place: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of one shingle (rows up to ``ends``, by size) of different ``group`` that sizes and places in the prefixes let be similar."""
+    u, d = np.arange(len(ends)), 0
+    slack = 1e-6
+    while len(u):
+        d += 1
+        u = u[u + d < ends[u]]
+        u = u[size[u] + slack >= similarity * size[u + d]]  # later rows are no smaller
+        v = u + d
+        # From the first shared shingle on, the rest of both must hold all they share.
+        least = similarity / (1 + similarity) * (size[u] + size[v]) - slack
+        fits = (group[u] != group[v]) & (np.minimum(size[u] - place[u], size[v] - place[v]) >= least)
+        if fits.any():
+            yield u[fits], v[fits]
+
+
+def other_pairs(texts: DataFrame, similarity: float) -> DataFrame:
+    """All pairs ``(u, v)`` of nodes of different ``root`` that may be similar: none that is similar is left out.
+
+    Texts meet by the shingles of their prefixes. A shingle of one group alone has nothing to compare; groups of one shingle
+    of any length are compared, in pieces of which each two meet."""
+    keys = texts.select(F.posexplode("prefix").alias("place", "key"), "node", "root", "size")
+    live = stored(keys.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key", F.when(F.col("n") > 4 * SHARD, F.ceil(F.col("n") / (2 * SHARD))).alias("n")), "similar-keys")
+    met = keys.join(F.broadcast(live) if live.count() <= SENT_ROWS else live, "key")
+    met = met.select("key", F.explode(_parts(F.col("n"), F.xxhash64("node"))).alias("part"), "size", "place", "root", "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _by_shard(batches, 2):
+            bounds = _bounds(t, 2)
+            ends = np.zeros(t.num_rows, np.int64)
+            for lo, hi in bounds.tolist():
+                ends[lo:hi] = hi
+            node = t.column(5).combine_chunks()
+            for u, v in pairs_in_groups(ends, t.column(4).to_numpy(), t.column(2).to_numpy(), t.column(3).to_numpy(), similarity):
+                for i in range(0, len(u), 10_000):
+                    yield pa.RecordBatch.from_arrays([node.take(pa.array(x[i : i + 10_000])) for x in (u, v)], names=["u", "v"])
+
+    found = met.repartition("key", "part").sortWithinPartitions("key", "part", "size", "node").mapInArrow(run, f"u {NODE}, v {NODE}")
+    return found.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+
+
+def checked(docs: DataFrame, pairs: DataFrame, repeated: bool, words: int, similarity: float) -> DataFrame:
+    """Those of ``pairs (u, v)`` of which the shared shingles are ``similarity`` of all."""
     wanted = stored(pairs.select("u").union(pairs.select("v")).distinct().select(F.col("u").alias("node"), F.when(~F.col("u.lone"), F.col("u.id")).alias("_doc_id"), F.col("u.key").alias("_h")), "similar-texts")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -365,7 +451,6 @@ def similar_texts(docs: DataFrame, rows: DataFrame, words: int = 5, similarity:
 
     picked = _pick(docs.select("doc_id", "text"), wanted, "inner").select("node", F.col("text").cast("string")).mapInArrow(sets, f"node {NODE}, shingles array<int>")
     # Only where rows repeat id and text a node has several.
-    repeated = not rows.groupBy("doc_id", "h").count().where("count > 1").isEmpty()
     held = stored(picked.dropDuplicates(["node"]) if repeated else picked, "similar-shingles")
     both = pairs.join(held.select(F.col("node").alias("u"), F.col("shingles").alias("a")), "u").join(held.select(F.col("node").alias("v"), F.col("shingles").alias("b")), "v")
     shared = F.size(F.array_intersect("a", "b"))
@@ -373,18 +458,37 @@ def similar_texts(docs: DataFrame, rows: DataFrame, words: int = 5, similarity:
     return both.where(alike).select("u", "v")
 
 
+def similar_groups(docs: DataFrame, rows: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = RADIUS, nearest: int = 8) -> DataFrame:
+    """``node, root`` of texts that links of ``similarity`` connect with another text, root the least node reachable.
+
+    Near fingerprints come first, so that copies are together; then all texts of different groups that may be similar are compared."""
+    repeated = not rows.groupBy("doc_id", "h").count().where("count > 1").isEmpty()
+    texts = stored(rows.groupBy("h").agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("fp", "shards", "size", "prefix")]).withColumn("node", _node("doc_id", F.col("h"))), "similar-distinct")
+    pairs = stored(near_pairs(texts, radius, nearest), "similar-pairs")
+    first = connected_components(checked(docs, pairs, repeated, words, similarity), "similar-links")
+    # Of a root its hash is enough to tell it from others.
+    of = first.select(F.col("node").alias("_n"), F.col("root.key").alias("root"))
+    grouped = texts.join(of, F.col("node") == F.col("_n"), "left").select("node", F.coalesce("root", "h").alias("root"), "size", "prefix")
+    others = stored(other_pairs(grouped, similarity), "similar-others")
+    more = stored(checked(docs, others, repeated, words, similarity), "similar-more")
+    if more.isEmpty():
+        return first
+    return connected_components(more.unionByName(first.select(F.col("node").alias("u"), F.col("root").alias("v"))), "similar-all")
+
+
 def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, radius: int = RADIUS, nearest: int = 8) -> DataFrame:
     """One row of each group of rows of ``docs`` with similar texts, that of the least doc_id; all columns as they are.
 
-    Texts link where shared distinct ``words``-word shingles are ``similarity`` of all their shingles: linked texts are checked on
-    32-bit hashes of their shingles, candidates come from trees in the shards that least shingles name (tests measure their recall):
-    of those before a text in a shard the ``nearest`` ones within ``radius`` bits. More of both find more, at a cost in memory and time in
-    proportion to ``nearest``; links that no shard brings together stay unseen. Components that need more than 60 rounds raise. Equal
+    Texts link where shared distinct ``words``-word shingles are ``similarity`` of all their shingles, checked on 32-bit hashes of
+    them. Every such link counts: trees in the shards that least shingles name bring most of them together, of those before a text in a
+    shard the ``nearest`` ones within ``radius`` bits; then all texts of different groups that share a shingle of their prefixes, as
+    all similar texts do, are compared. ``nearest`` and ``radius`` change what is left for this, but no result.
+    Components that need more than 60 rounds raise. Equal
     texts always link, and texts without words, null or not, are equal. Rows that repeat id and text are one; other texts
     of a repeated id stand for themselves. Null ids come last: one such row stays only where no row of its group has an id.
     """
-    rows = stored(_sketches(docs, words), "similar-sketches")
-    roots = connected_components(similar_texts(docs, rows, words, similarity, radius, nearest), "similar-links")
+    rows = stored(_sketches(docs, words, similarity), "similar-sketches")
+    roots = similar_groups(docs, rows, words, similarity, radius, nearest)
     first = rows.groupBy("h").agg(F.min("doc_id").alias("first")).select("h", _node("first", F.col("h")).alias("own"))
     root = first.join(roots, F.col("own") == F.col("node"), "left").select("h", F.coalesce("root", "own").alias("root"))
     mine = rows.select("doc_id", "h").join(root, "h").select(F.col("doc_id").alias("_doc_id"), F.col("h").alias("_h"), (_node("doc_id", F.col("h")) == F.col("root")).alias("stays"))

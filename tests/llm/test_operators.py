@@ -332,6 +332,23 @@ def test_keep_one_of_similar_texts(spark, monkeypatch):
         assert set(want.values()) <= kept and len(kept - set(want.values())) <= 0.03 * (len(rows) - len(set(want.values())))
 
 
+def test_keep_one_misses_no_link(spark, monkeypatch):
+    """What fingerprints and their nearest ones don't bring together is found all the same, in pieces and with frequent lines too."""
+    line = text(30)
+    texts = [changed_words(x, k) for x in [text(120) for _ in range(12)] for k in (0, 2, 3, 4, 5, 5)]
+    texts += [text(n) + " " + line + " " + text(n) for n in (2, 2, 3, 4, 10, 40, 80)] + [line] * 2
+    x = text(100)
+    texts += [x := changed_words(x, 2) for _ in range(30)]  # a chain: its ends are not similar
+    texts += ["", None, " ", "one", "two three", "Two three"]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    want = set(components([(a, b) for a, x in rows for b, y in rows if a < b and similar(x, y)], range(len(rows))).values())
+    for shard, common, first in ((8192, 100_000, {}), (8192, 100_000, {"radius": 0, "nearest": 1}), (4, 5, {"radius": 0, "nearest": 1})):
+        monkeypatch.setattr(simhash, "SHARD", shard)
+        monkeypatch.setattr(simhash, "COMMON", common)
+        assert {r.doc_id for r in simhash.keep_one(df, **first).collect()} == want
+
+
 def test_keep_one_of_odd_rows(spark):
     a, b = text(60), text(60)
     rows = [(1, a), (1, b), (1, a), (None, a), (None, b + " x"), (None, "lone"), (None, "lone"), (2, None), (3, ""), (4, b), (5, text(60))]
