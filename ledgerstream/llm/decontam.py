@@ -22,6 +22,8 @@ from .winnow import BASE, PRIME, gram_hashes, let
 WINDOW, LEAST_WINDOWS, LEAST_LITERALS = 8, 6, 4
 #: Items' windows are sent to all tasks up to this number of rows (about 100 bytes each), else joined by shuffle.
 BROADCAST_ROWS = 200_000
+#: Up to this number of distinct hashes of items' windows, a document's are looked up in a set of them before they become rows.
+LOOKED_UP = 20_000
 # Fixed values.
 UNITS = "mm cm dm m km g kg mg t s ms min mins h hr hrs hour hours day days week weeks month months year years second seconds minute minutes metre metres meter meters mile miles inch inches foot feet yard yards gram grams kilogram kilograms pound pounds ounce ounces litre litres liter liters ml percent dollar dollars euro euros cent cents degree degrees watt watts volt volts kwh mph km2 m2 stunde stunden jahre tage euros heures jours ans horas dias"
 NUMBER, NAME, UNIT, VALUE, JOINT = "ⓝ", "ⓐ", "ⓤ", "§", "ⓙ"
@@ -127,7 +129,14 @@ def candidates(docs: DataFrame, wanted: DataFrame, window: int, small: bool) ->
     """``doc_id, text_hash, item_id, diagonal, size, n`` of all matches that are long enough, slots not yet looked at."""
     lengths = sorted(r[0] for r in wanted.select("length").where("length > 0").distinct().collect())  # at most ``window`` rows
     cut = let(template(F.col("text")), lambda t: F.struct(F.size(t).alias("held"), keys(t, window, lengths).alias("hashes")))
-    found = _documents(docs).select("doc_id", F.xxhash64("text").alias("text_hash"), cut.alias("cut")).select("doc_id", "text_hash", F.col("cut.held").alias("held"), F.posexplode("cut.hashes").alias("place", "hash"))
+    own = _documents(docs).select("doc_id", F.xxhash64("text").alias("text_hash"), cut.alias("cut")).select("doc_id", "text_hash", F.col("cut.held").alias("held"), F.col("cut.hashes").alias("hashes"))
+    hashes = [r[0] for r in wanted.select("hash").distinct().limit(LOOKED_UP + 1).collect()]
+    if 0 < len(hashes) <= LOOKED_UP:
+        # Most windows are in no item: to make a row of each costs more than all that comes before.
+        hits = F.expr(f"filter(transform(hashes, (x, i) -> if(x in ({','.join(f'{h}L' for h in hashes)}), struct(i as place, x as hash), null)), y -> y is not null)")
+        found = own.select("doc_id", "text_hash", "held", F.inline(hits))
+    else:
+        found = own.select("doc_id", "text_hash", "held", F.posexplode("hashes").alias("place", "hash"))
     items = wanted.select("hash", "length", "item_id", "at", "size", "n")
     joined = found.join(F.broadcast(items) if small else items, "hash").withColumn("pos", _at(F.col("place"), F.col("length"), F.col("held"), window, lengths))
     return joined.groupBy("doc_id", "text_hash", "item_id", (F.col("pos") - F.col("at")).alias("diagonal"), "size", "n").agg(F.countDistinct("at").alias("n_windows"))

@@ -696,3 +696,19 @@ def test_frequent_anchors_are_cut(spark, monkeypatch):
     monkeypatch.setattr(repeats, "COLLECTION", 3)
     df = spark.createDataFrame(rows, SCHEMA).repartition(3)
     assert {d: tuple(r)[1:5] for d, r in by_id(repeats.remove_repeats(df)).items()} == brute_repeats(rows)
+
+
+def test_leaks_looked_up_or_not(spark, monkeypatch):
+    """Windows of documents become rows only where an item has them, and what is found is the same."""
+    items = [(1, text(20)), (2, text(12) + " 40 " + text(9)), (3, "one word"), (4, text(15)), (None, ""), (5, None)]
+    docs = [(i, text(30) + " " + (items[i % 4][1] if i % 3 else "").replace("40", "1,250") + " " + text(5)) for i in range(40)] + [(None, None), (50, "")]
+    docs, items = spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(items, "item_id long, text string")
+    wanted = decontam.benchmark_windows(items).cache()
+    found, looked_up = [], []
+    for most in (20_000, 0):
+        monkeypatch.setattr(decontam, "LOOKED_UP", most)
+        got = decontam.candidates(docs, wanted, 8, True)
+        looked_up.append("inline(" in got._jdf.queryExecution().optimizedPlan().toString())
+        found.append(sorted(map(tuple, got.collect()), key=str))
+    assert found[0] == found[1] and len(found[0]) > 20 and looked_up == [True, False]
+    assert decontam.leaks(docs, items.limit(0)).count() == 0
