@@ -246,7 +246,7 @@ def model(path: str) -> Model:
     return _models[path]
 
 
-def _batches(b: pa.RecordBatch, most: int = 2 << 20) -> Iterator[tuple[int, list[str]]]:
+def _batches(b: pa.RecordBatch, most: int = 1 << 19) -> Iterator[tuple[int, list[str]]]:
     """Rows of a batch in runs of a bounded number of characters (or one text)."""
     at, run, held = 0, [], 0
     for k, t in enumerate(b.column(1)):

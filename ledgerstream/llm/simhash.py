@@ -293,7 +293,11 @@ def near_duplicates(docs: DataFrame, radius: int = 4, words: int = 4, seed: int
 SHARDS, RADIUS = 6, 18
 _ORDERS = np.random.default_rng(7).integers(1, 1 << 63, 2 * SHARDS, dtype=np.int64).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 #: Texts of which shingles are counted, about, and shingles that count as common, at most. They change no result.
-COUNTED, COMMON = 20_000, 100_000
+COUNTED, COMMON = 20_000, 400_000
+#: Buckets of a text's shingles, by which texts that can't be similar are told apart. They change no result.
+BUCKETS = 64
+#: Pairs that a task gives back at a time.
+PAIRS = 10_000
 #: Rows sent to all tasks (about 50 bytes each), beyond which texts are shuffled to them.
 SENT_ROWS = 300_000
 
@@ -317,11 +321,22 @@ def _common(docs: DataFrame, words: int) -> tuple[np.ndarray, np.ndarray]:
 
     texts = docs.select(_text_hash().alias("h"), F.col("text").cast("string"))
     one_of = max(1, docs.count() // COUNTED)
-    counts = texts.where(F.pmod(F.xxhash64("h"), F.lit(one_of)) == 0).dropDuplicates(["h"]).mapInArrow(run, "s long").groupBy("s").agg(F.count("*").alias("n")).where("n > 3")
-    top = counts.orderBy(F.desc("n"), "s").limit(COMMON).collect()
-    values = np.array([r.s for r in top], np.int64).view(np.uint64)
+    counts = stored(texts.where(F.pmod(F.xxhash64("h"), F.lit(one_of)) == 0).dropDuplicates(["h"]).mapInArrow(run, "s long").groupBy("s").agg(F.count("*").alias("n")).where("n > 1"), "similar-common")
+    # The least count with which those of it and more are COMMON at most.
+    least, held = 1 << 62, 0
+    for r in counts.groupBy("n").agg(F.count("*").alias("shingles")).orderBy(F.desc("n")).collect():
+        if (held := held + r.shingles) > COMMON:
+            break
+        least = r.n
+    top = counts.where(F.col("n") >= F.lit(least)).toArrow()
+    values = top.column("s").to_numpy().view(np.uint64)
     order = np.argsort(values)
-    return values[order], np.array([r.n for r in top], np.int64)[order]
+    return values[order], top.column("n").to_numpy().astype(np.int32)[order]
+
+
+def bucket_counts(distinct: np.ndarray) -> bytes:
+    """How many of a text's distinct shingles fall into each bucket, 255 at most: sums of the differences of two texts are at most the shingles of one alone."""
+    return np.minimum(np.bincount((distinct % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS), 255).astype(np.uint8).tobytes()
 
 
 def prefix(hashes: np.ndarray, similarity: float, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
@@ -340,23 +355,25 @@ def prefix(hashes: np.ndarray, similarity: float, common: tuple[np.ndarray, np.n
 
 
 def _sketches(docs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """``doc_id, h, fp, shards, size, prefix`` of every row; ``h`` tells texts apart, ``size`` counts distinct shingles."""
+    """``doc_id, h, fp, shards, size, buckets, prefix`` of every row; ``h`` tells texts apart, ``size`` counts distinct shingles."""
     common = _common(docs, words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for at in range(0, b.num_rows, 1000):
                 part = b.slice(at, 1000)
-                fps, names, sizes, prefixes = [], [], [], []
+                fps, names, sizes, buckets, prefixes = [], [], [], [], []
                 for t in part.column(2):
                     x = shingle_hashes(t.as_py(), words)
                     fps.append(fingerprint_of(x))
                     names.append(shard_names(x))
-                    sizes.append(len(np.unique(x)))
+                    distinct = np.unique(x)
+                    sizes.append(len(distinct))
+                    buckets.append(bucket_counts(distinct))
                     prefixes.append(prefix(x, similarity, common).view(np.int64))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(fps, pa.int64()), pa.array(names, pa.list_(pa.int64())), pa.array(sizes, pa.int32()), pa.array(prefixes, pa.list_(pa.int64()))], names=["doc_id", "h", "fp", "shards", "size", "prefix"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(fps, pa.int64()), pa.array(names, pa.list_(pa.int64())), pa.array(sizes, pa.int32()), pa.array(buckets, pa.binary()), pa.array(prefixes, pa.list_(pa.int64()))], names=["doc_id", "h", "fp", "shards", "size", "buckets", "prefix"])
 
-    return docs.select(F.col("doc_id").cast("long"), _text_hash().alias("h"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, h long, fp long, shards array<long>, size int, prefix array<long>")
+    return docs.select(F.col("doc_id").cast("long"), _text_hash().alias("h"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, h long, fp long, shards array<long>, size int, buckets binary, prefix array<long>")
 
 
 def _text_hash() -> Column:
@@ -398,8 +415,10 @@ def _parts(n: Column, of: Column) -> Column:
     return F.when(n.isNull(), F.array(F.lit(0).cast("long"))).otherwise(F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda k: F.least(piece, k) * n + F.greatest(piece, k)))
 
 
-def pairs_in_groups(ends: np.ndarray, group: np.ndarray, size: np.ndarray, place: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of rows of one shingle (rows up to ``ends``, by size) of different ``group`` that sizes and places in the prefixes let be similar."""
+def pairs_in_groups(ends: np.ndarray, group: np.ndarray, size: np.ndarray, place: np.ndarray, before: np.ndarray, buckets: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of one shingle (rows up to ``ends``, by size) of different ``group`` that sizes, places in the prefixes and ``buckets`` let be similar.
+
+    Texts whose shingles ``before`` this one are one and the same meet by that, too, and are left to it."""
     u, d = np.arange(len(ends)), 0
     slack = 1e-6
     while len(u):
@@ -410,8 +429,14 @@ def pairs_in_groups(ends: np.ndarray, group: np.ndarray, size: np.ndarray, place
         # From the first shared shingle on, the rest of both must hold all they share.
         least = similarity / (1 + similarity) * (size[u] + size[v]) - slack
         fits = (group[u] != group[v]) & (np.minimum(size[u] - place[u], size[v] - place[v]) >= least)
-        if fits.any():
-            yield u[fits], v[fits]
+        fits &= (before[u] != before[v]) | (place[u] == 0) | (place[v] == 0)
+        for at in range(0, len(u), 1 << 16):
+            some = np.flatnonzero(fits[at : at + (1 << 16)]) + at
+            x, y = u[some], v[some]
+            alone = np.abs(buckets[x].astype(np.int16) - buckets[y]).sum(axis=1, dtype=np.int64)
+            may = alone <= size[x] + size[y] - 2 * least[some]
+            if may.any():
+                yield x[may], y[may]
 
 
 def other_pairs(texts: DataFrame, similarity: float) -> DataFrame:
@@ -419,10 +444,11 @@ def other_pairs(texts: DataFrame, similarity: float) -> DataFrame:
 
     Texts meet by the shingles of their prefixes. A shingle of one group alone has nothing to compare; groups of one shingle
     of any length are compared, in pieces of which each two meet."""
-    keys = texts.select(F.posexplode("prefix").alias("place", "key"), "node", "root", "size")
+    entry = lambda x, i: F.struct(x.alias("key"), i.alias("place"), F.coalesce(F.get("prefix", i - 1), F.lit(0).cast("long")).alias("before"))
+    keys = texts.select(F.explode(F.transform("prefix", entry)).alias("_e"), "node", "root", "size").select("_e.*", "node", "root", "size")
     live = stored(keys.groupBy("key").agg(F.count("*").alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key", F.when(F.col("n") > 4 * SHARD, F.ceil(F.col("n") / (2 * SHARD))).alias("n")), "similar-keys")
-    met = keys.join(F.broadcast(live) if live.count() <= SENT_ROWS else live, "key")
-    met = met.select("key", F.explode(_parts(F.col("n"), F.xxhash64("node"))).alias("part"), "size", "place", "root", "node")
+    met = keys.join(F.broadcast(live) if live.count() <= SENT_ROWS else live, "key").join(texts.select("node", "buckets"), "node")
+    met = met.select("key", F.explode(_parts(F.col("n"), F.xxhash64("node"))).alias("part"), "size", "place", "root", "node", "before", "buckets")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _by_shard(batches, 2):
@@ -431,9 +457,19 @@ def other_pairs(texts: DataFrame, similarity: float) -> DataFrame:
             for lo, hi in bounds.tolist():
                 ends[lo:hi] = hi
             node = t.column(5).combine_chunks()
-            for u, v in pairs_in_groups(ends, t.column(4).to_numpy(), t.column(2).to_numpy(), t.column(3).to_numpy(), similarity):
-                for i in range(0, len(u), 10_000):
-                    yield pa.RecordBatch.from_arrays([node.take(pa.array(x[i : i + 10_000])) for x in (u, v)], names=["u", "v"])
+            buckets = np.frombuffer(b"".join(t.column(7).to_pylist()), np.uint8).reshape(-1, BUCKETS)
+            size, place, root, before = (t.column(i).to_numpy() for i in (2, 3, 4, 6))
+            held, n = [], 0
+            batch = lambda held: pa.RecordBatch.from_arrays([node.take(pa.array(np.concatenate(x))) for x in zip(*held, strict=True)], names=["u", "v"])  # noqa: B023, E731
+            for u, v in pairs_in_groups(ends, root, size, place, before, buckets, similarity):
+                for i in range(0, len(u), PAIRS):
+                    held.append((u[i : i + PAIRS], v[i : i + PAIRS]))
+                    n += len(held[-1][0])
+                    if n >= PAIRS:
+                        yield batch(held)
+                        held, n = [], 0
+            if n:
+                yield batch(held)
 
     found = met.repartition("key", "part").sortWithinPartitions("key", "part", "size", "node").mapInArrow(run, f"u {NODE}, v {NODE}")
     return found.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
@@ -463,12 +499,12 @@ def similar_groups(docs: DataFrame, rows: DataFrame, words: int = 5, similarity:
 
     Near fingerprints come first, so that copies are together; then all texts of different groups that may be similar are compared."""
     repeated = not rows.groupBy("doc_id", "h").count().where("count > 1").isEmpty()
-    texts = stored(rows.groupBy("h").agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("fp", "shards", "size", "prefix")]).withColumn("node", _node("doc_id", F.col("h"))), "similar-distinct")
+    texts = stored(rows.groupBy("h").agg(F.min("doc_id").alias("doc_id"), *[F.first(c).alias(c) for c in ("fp", "shards", "size", "buckets", "prefix")]).withColumn("node", _node("doc_id", F.col("h"))), "similar-distinct")
     pairs = stored(near_pairs(texts, radius, nearest), "similar-pairs")
     first = connected_components(checked(docs, pairs, repeated, words, similarity), "similar-links")
     # Of a root its hash is enough to tell it from others.
     of = first.select(F.col("node").alias("_n"), F.col("root.key").alias("root"))
-    grouped = texts.join(of, F.col("node") == F.col("_n"), "left").select("node", F.coalesce("root", "h").alias("root"), "size", "prefix")
+    grouped = texts.join(of, F.col("node") == F.col("_n"), "left").select("node", F.coalesce("root", "h").alias("root"), "size", "buckets", "prefix")
     others = stored(other_pairs(grouped, similarity), "similar-others")
     more = stored(checked(docs, others, repeated, words, similarity), "similar-more")
     if more.isEmpty():

@@ -349,6 +349,21 @@ def test_keep_one_misses_no_link(spark, monkeypatch):
         assert {r.doc_id for r in simhash.keep_one(df, **first).collect()} == want
 
 
+def test_pairs_to_check_are_few(spark, monkeypatch):
+    """Texts that share many shingles and are not similar are told apart before they become pairs; similar ones stay, with counts that reach their limit, too."""
+    monkeypatch.setattr(simhash, "COMMON", 0)  # as with shingles that the counted texts don't hold
+    x, y = text(200).split(), text(300)
+    texts = [" ".join(x[i : i + 100]) + " " + text(100) for i in range(0, 40)] + [changed_words(y, k) for k in (0, 1, 2, 3, 4, 5)]
+    long = " ".join(str(i) for i in range(40_000))  # over 255 shingles in a bucket
+    texts += [long, long + " x", "", " "]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    nodes = simhash._sketches(df, 5, 0.8).withColumn("node", simhash._node("doc_id", F.col("h"))).withColumn("root", F.col("doc_id"))
+    got = [tuple(sorted((r.u.id, r.v.id))) for r in simhash.other_pairs(nodes, 0.8).collect()]
+    want = {(a, b) for a, s in rows for b, t in rows if a < b and similar(s, t)}
+    assert len(want) > 10 and want <= set(got) and len(got) <= 2 * len(want)
+
+
 def test_keep_one_of_odd_rows(spark):
     a, b = text(60), text(60)
     rows = [(1, a), (1, b), (1, a), (None, a), (None, b + " x"), (None, "lone"), (None, "lone"), (2, None), (3, ""), (4, b), (5, text(60))]
