@@ -4,14 +4,13 @@ Each text is tokenised in full by both. Wherever a token of each that begins wit
 both end there; such shared ends cut the document into windows, most of them a word. What a window's alignment is depends on
 its ids alone, so a worker keeps it by the two tuples of ids: its groups, its links and their text.
 
-Inside a window one sweep over both runs of tokens gives the links: two tokens overlap in one stretch of bytes, so links are the
-stretches between neighbouring ends of either side, and a group closes where both end.
+The windows of a text that are not kept are aligned in one sweep over both sides' ends: two tokens overlap in one stretch of bytes, so
+links are the stretches between neighbouring ends of either side, and a group closes where both end.
 """
 
 from __future__ import annotations
 
 import hashlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,9 +35,8 @@ class Tokens:
     ``exact``: the tokens give back every text, so this needs no proof text by text."""
 
     def __init__(self, encode, table: list[bytes], exact: bool = False):
-        self.encode, self.bytes, self.exact, self.text = encode, table, exact, [str(i) for i in range(len(table))]
-        self.length = [len(x) for x in table]
-        self.lengths = np.array(self.length, np.int64)
+        self.encode, self.bytes, self.exact = encode, table, exact
+        self.lengths = np.array([len(x) for x in table], np.int64)
         self.spaced = np.array([x[:1] == b" " for x in table], bool)
 
 
@@ -73,46 +71,60 @@ class Windows(dict):
 
     def __init__(self, a: Tokens, b: Tokens):
         self.a, self.b, self.old = a, b, {}
-
-    def __missing__(self, key: bytes) -> tuple[str | None, bytes]:
-        found = self.old.get(key) or self.align(key)
-        if len(key) <= 4 * KEPT_IDS:
-            if len(self) >= WINDOWS_KEPT:
+        # Each id as text before the next one of its group, before the other side's, and before the next group.
+        self.text = [str(i) + sign for i in range(max(len(a.bytes), len(b.bytes))) for sign in ",|;"]
+        self.text_lengths = np.array([len(x) for x in self.text], np.int64)
+
+    def of(self, keys: list[bytes]) -> list[tuple[str | None, bytes]]:
+        """The alignments of windows in order; those that are not kept are aligned together, each once."""
+        found = list(map(self.get, keys))
+        if at := [i for i, x in enumerate(found) if x is None]:
+            missing = {keys[i] for i in at}
+            if len(self) + len(missing) > WINDOWS_KEPT:
                 self.old = dict(self)
                 self.clear()
-            self[key] = found
+            got = {k: self.old[k] for k in missing if k in self.old}
+            if new := [k for k in missing if k not in got]:
+                got.update(zip(new, self.align(new), strict=True))
+            for i in at:
+                found[i] = got[keys[i]]
+            self.update([(k, x) for k, x in got.items() if len(k) <= 4 * KEPT_IDS])
         return found
 
-    def align(self, key: bytes) -> tuple[str | None, bytes]:
-        """One sweep over both runs of tokens, which must cover the same bytes; no text where they don't."""
-        a = memoryview(key).cast("i").tolist()
-        n = sum([x < SECOND for x in a])
-        a, b = a[:n], [x - SECOND for x in a[n:]]
-        if b"".join([self.a.bytes[x] for x in a]) != b"".join([self.b.bytes[x] for x in b]):
-            return None, b""
-        a_len, b_len, a_text, b_text = self.a.length, self.b.length, self.a.text, self.b.text
-        groups, codes, i, j, x, y = [], [], 0, 0, a[0], b[0]
-        end_a, end_b, first, second = a_len[x], b_len[y], a_text[x], b_text[y]
-        while True:
-            codes.append((x << SHIFT) + y)
-            if end_a < end_b:
-                i += 1
-                x = a[i]
-                end_a += a_len[x]
-                first += "," + a_text[x]
-            elif end_b < end_a:
-                j += 1
-                y = b[j]
-                end_b += b_len[y]
-                second += "," + b_text[y]
-            else:
-                groups.append(first + "|" + second)
-                i += 1
-                if i == n:
-                    return ";".join(groups), array("q", codes).tobytes()
-                j += 1
-                x, y = a[i], b[j]
-                end_a, end_b, first, second = end_a + a_len[x], end_b + b_len[y], a_text[x], b_text[y]
+    def align(self, keys: list[bytes]) -> list[tuple[str | None, bytes]]:
+        """One sweep over the tokens of all windows, of which both sides have the same number of bytes; no text where these are not the same."""
+        ids = np.frombuffer(b"".join(keys), "<i4").astype(np.int64)
+        sizes = np.array([len(k) >> 2 for k in keys], np.int64)
+        second = ids >= SECOND
+        a, b = ids[~second], ids[second] - SECOND
+        end_a, end_b = np.cumsum(self.a.lengths[a]), np.cumsum(self.b.lengths[b])
+        # A link for each end of either side.
+        ends = np.unique(np.concatenate((end_a, end_b)))
+        codes = (a[np.searchsorted(end_a, ends)] << SHIFT) + b[np.searchsorted(end_b, ends)]
+        closes_a, closes_b = end_b[np.searchsorted(end_b, end_a)] == end_a, end_a[np.searchsorted(end_a, end_b)] == end_b
+        # Ids of a group stand behind those of all groups before, the first side's first.
+        group_a, group_b = np.cumsum(closes_a) - closes_a, np.cumsum(closes_b) - closes_b
+        last_a, last_b = np.flatnonzero(closes_a) + 1, np.flatnonzero(closes_b) + 1
+        words = np.empty(len(ids), np.int64)
+        words[np.arange(len(a)) + np.concatenate(([0], last_b))[group_a]] = 3 * a + closes_a
+        words[np.arange(len(b)) + last_a[group_b]] = 3 * b + 2 * closes_b
+        text = "".join(map(self.text.__getitem__, words.tolist()))
+        stops = np.cumsum(sizes)
+        cuts = np.cumsum(self.text_lengths[words])[stops - 1].tolist()
+        byte_ends = end_a[np.cumsum(np.add.reduceat((~second).astype(np.int64), stops - sizes)) - 1]
+        link_cuts = (8 * np.searchsorted(ends, byte_ends, "right")).tolist()
+        raw, found, at, link = codes.tobytes(), [], 0, 0
+        for cut, link_cut in zip(cuts, link_cuts, strict=True):
+            found.append((text[at : cut - 1], raw[link:link_cut]))
+            at, link = cut, link_cut
+        left, right = b"".join(map(self.a.bytes.__getitem__, a.tolist())), b"".join(map(self.b.bytes.__getitem__, b.tolist()))
+        if left != right:
+            start = 0
+            for i, stop in enumerate(byte_ends.tolist()):
+                if left[start:stop] != right[start:stop]:
+                    found[i] = None, b""
+                start = stop
+        return found
 
 
 class Aligner:
@@ -140,11 +152,12 @@ class Aligner:
         if not len(at_a) or at_a[0] or at_b[0]:
             at_a, at_b = np.concatenate(([0], at_a[at_a > 0])), np.concatenate(([0], at_b[at_b > 0]))
         cut_a, cut_b, raw_a, raw_b = (4 * np.append(at_a, len(a))).tolist(), (4 * np.append(at_b, len(b))).tolist(), a.tobytes(), (b + SECOND).astype("<i4").tobytes()
-        groups, links = zip(*map(self.windows.__getitem__, [raw_a[i:j] + raw_b[k:n] for i, j, k, n in zip(cut_a, cut_a[1:], cut_b, cut_b[1:], strict=False)]), strict=True)
+        found = self.windows.of([raw_a[i:j] + raw_b[k:n] for i, j, k, n in zip(cut_a, cut_a[1:], cut_b, cut_b[1:], strict=False)])
+        groups = [x[0] for x in found]
         # The first side gives back the text, so where each window's bytes are the same the second one does, too.
         if None in groups:
             return none
-        codes = np.frombuffer(b"".join(links), "<i8")
+        codes = np.frombuffer(b"".join([x[1] for x in found]), "<i8")
         # A group of p and q tokens has p + q - 1 links.
         return len(a), len(b), len(a) + len(b) - len(codes), len(codes), hashlib.sha256(";".join(groups).encode()).hexdigest(), *np.unique(codes, return_counts=True)
 

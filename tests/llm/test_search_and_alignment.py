@@ -150,6 +150,27 @@ def test_token_alignment_by_shuffle_and_windows(spark, docs, monkeypatch):
     assert len(made) <= 4
 
 
+def test_windows_of_a_text_are_aligned_together(monkeypatch):
+    """One sweep for all windows of a text that are not kept, also where few are kept, and no text for windows of other bytes."""
+    paths = tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model")
+    align = alignment.Aligner(alignment.byte_level(paths[0]), alignment.pieces(paths[1]))
+    texts = [" ".join(f"{w}{i}zqx" for w in ("walking", "unkept", "é" * 3) for i in range(n)) for n in (40, 60, 50)] + ["b" * 900 + " a b"]
+    want = []
+    for x in texts:
+        a, b = align.a.encode(x).tolist(), align.b.encode(x).tolist()
+        groups, links = aligned_by_bytes(a, b, align.a.bytes, align.b.bytes)
+        want.append((len(a), len(b), len(groups), len(links), hashlib.sha256(";".join(groups).encode()).hexdigest()))
+    made = []
+    one = align.windows.align
+    monkeypatch.setattr(align.windows, "align", lambda keys: made.append(1) or one(keys))
+    monkeypatch.setattr(alignment, "WINDOWS_KEPT", 100)
+    assert [align(x)[:5] for x in texts] == want and len(made) <= len(texts)
+    ids = {x: i for i, x in enumerate(align.b.bytes)}
+    key = lambda x, y: np.array([align.a.bytes.index(x), ids[y] + alignment.SECOND], "<i4").tobytes()
+    found = one([key(b"a", b"a"), key(b"a", b"b"), key(b"b", b"b")])
+    assert [x[0] is None for x in found] == [False, True, False]
+
+
 def linked(rows, cosine=0.9):
     ok = [v is not None and None not in v and len(v) > 0 and np.isfinite(v).all() and np.any(np.array(v) != 0) for _, v in rows]
     n = len(rows)
