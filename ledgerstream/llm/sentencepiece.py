@@ -7,13 +7,15 @@ A unigram model's state at a prefix is its best score and last piece (Viterbi);
 in another order, the one with the longer piece first counts, where the library goes by rounding of the text's sum. A BPE model's scores are merge ranks,
 whose best sum is not what merging gives, so its state at a prefix is the last piece of that prefix's own encoding: a
 piece may follow the encoding of what stands before it if the two pieces, merged alone, stay as they are. That is the
-same forward pass with another transition, and gives exactly the merged result. Characters outside of the vocabulary
+same forward pass with another transition, and gives exactly the merged result. Which pieces a prefix ends in is known from
+the longest end of it that begins a piece, which is part of its state. Characters outside of the vocabulary
 become byte pieces, or the unknown piece where the model has none.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 import re
 import zlib
 from array import array
@@ -26,9 +28,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MARK = "▁"
-#: Words (twice) and pairs of pieces a worker keeps. It changes no result.
-WORDS_KEPT, PAIRS_KEPT = 100_000, 200_000
+#: Words (twice), pairs of pieces and steps from an open end a worker keeps. It changes no result.
+WORDS_KEPT, PAIRS_KEPT, STEPS_KEPT = 200_000, 200_000, 100_000
 UNIGRAM, BPE = 1, 2
+#: What any piece may follow: an unknown character (-1) and nothing (-2).
+ANY = {-1: True, -2: True}
 
 
 def _fields(raw: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -83,15 +87,13 @@ class Model:
         self.scores = [sp.get_score(i) for i in range(n)]
         with open(path, "rb") as f:
             self.kind = model_kind(f.read())
-        # Lengths, from the longest, of the pieces of three characters or more by their last three.
-        by_end: dict[str, set[int]] = {}
-        for p in self.ids:
-            if len(p) > 2:
-                by_end.setdefault(p[-3:], set()).add(len(p))
-        self.ending = {c: (*sorted(v, reverse=True), 2, 1) for c, v in by_end.items()}
+        self.beginnings = {p[:k] for p in self.ids for k in range(len(p) + 1)}
+        self.steps: dict[str, tuple[str, tuple]] = {}
         self.crossing = any(re.search(f"[^{MARK}]{MARK}", p) for p in self.ids)
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.solid: dict[int, bool] = {}
+        # By piece: its length, id, id as bytes, what it may follow or not. How many such pairs; how each piece merges.
+        self.entries: dict[int, tuple[int, int, bytes, dict[int, bool]]] = {}
+        self.pairs = 0
+        self.merged: dict[int, tuple[list[str], list[tuple[float, str, str]]]] = {}
         self.byte_of = {i: b for b, i in self.bytes.items()}
         self.high = np.array([i for b, i in self.bytes.items() if b > 127], np.int64)
         self.texts = ["" if i in special else chr(self.byte_of[i]) if i in self.byte_of else p.replace(MARK, " ") for i, p in enumerate(self.pieces)]
@@ -107,11 +109,15 @@ class Model:
 
     # -- BPE: which pieces may follow each other --
 
-    def merge(self, text: str) -> list[str]:
-        """Merged symbols of a short string: the best-scoring neighbours first, leftmost of equals."""
+    def merge(self, text: str) -> tuple[list[str], list[tuple[float, str, str]]]:
+        """Merged symbols of a short string: the best-scoring neighbours first, leftmost of equals.
+
+        With them, in order, each merge's cost (less is earlier) and the first and last symbols after it; before the first one, both characters.
+        """
         parts: list[str | None] = list(text)
         left, right = list(range(-1, len(parts) - 1)), list(range(1, len(parts) + 1))
         heap: list = []
+        tail, done = len(parts) - 1, [(0.0, text[:1], text[-1:])]
 
         def offer(i: int, j: int) -> None:
             if 0 <= i and j < len(parts):
@@ -122,78 +128,126 @@ class Model:
         for i in range(len(parts) - 1):
             offer(i, i + 1)
         while heap:
-            _, i, j, p = heapq.heappop(heap)
+            cost, i, j, p = heapq.heappop(heap)
             if parts[i] is None or parts[j] is None or parts[i] + parts[j] != p or right[i] != j:
                 continue
             parts[i], parts[j] = p, None
             right[i] = right[j]
             if right[i] < len(parts):
                 left[right[i]] = i
+            else:
+                tail = i
+            done.append((cost, parts[0], parts[tail]))
             offer(left[i], i)
             offer(i, right[i])
-        return [p for p in parts if p is not None]
+        return [p for p in parts if p is not None], done
 
-    def may_follow(self, a: int, b: int) -> bool:
-        key = (a, b)
-        if (found := self.pairs.get(key)) is None:
-            if len(self.pairs) > PAIRS_KEPT:
-                self.pairs.clear()
-            x, y = self.pieces[a], self.pieces[b]
-            found = self.pairs[key] = self.merge(x + y) == [x, y]
+    def merge_piece(self, i: int) -> tuple[list[str], list[tuple[float, str, str]]]:
+        if (found := self.merged.get(i)) is None:
+            found = self.merged[i] = self.merge(self.pieces[i])
         return found
 
-    def is_solid(self, i: int) -> bool:
-        if (found := self.solid.get(i)) is None:
-            found = self.solid[i] = self.merge(self.pieces[i]) == [self.pieces[i]]
+    def stay_apart(self, a: int, b: int) -> bool:
+        """Whether two pieces, merged alone, stay as they are: no merge across their border comes before the next one within either.
+
+        Until then each merges as it does by itself, the left one first at equal cost, and one across after it but before the right one.
+        """
+        x, y = self.merge_piece(a)[1], self.merge_piece(b)[1]
+        p = q = 0
+        while True:
+            i = self.ids.get(x[p][2] + y[q][1])
+            across = math.inf if i is None else -self.scores[i]
+            within_x = x[p + 1][0] if p + 1 < len(x) else math.inf
+            within_y = y[q + 1][0] if q + 1 < len(y) else math.inf
+            if within_x <= within_y:
+                if across < within_x:
+                    return False
+                if p + 1 == len(x):
+                    return True
+                p += 1
+            else:
+                if across <= within_y:
+                    return False
+                q += 1
+
+    def may_follow(self, a: int, b: int) -> bool:
+        if self.pairs >= PAIRS_KEPT:
+            for *_, known in self.entries.values():
+                known.clear()
+                known.update(ANY)
+            self.pairs = 0
+        self.pairs += 1
+        found = self.entries[b][3][a] = self.stay_apart(a, b)
         return found
 
     # -- the forward pass --
 
-    def _unknown_char(self, c: str) -> tuple[int, ...]:
+    def _unknown_char(self, c: str) -> bytes:
         raw = c.encode("utf-8", "surrogatepass")
-        return tuple(self.bytes[x] for x in raw) if self.bytes else (self.unknown,)
+        return array("I", [self.bytes[x] for x in raw] if self.bytes else [self.unknown]).tobytes()
+
+    def step(self, read: str) -> tuple[str, tuple]:
+        """The longest end of ``read`` that begins a piece, and the pieces ``read`` ends in, longest first.
+
+        ``read`` is such an end and the next character. A BPE piece that merging doesn't give is left out.
+        """
+        if len(self.steps) >= STEPS_KEPT:
+            self.steps.clear()
+        at = 0
+        while read[at:] not in self.beginnings:
+            at += 1
+        ends = []
+        for k in range(at, len(read)):
+            i = self.ids.get(read[k:])
+            if i is not None and (self.kind != BPE or len(self.merge_piece(i)[0]) == 1):
+                if i not in self.entries:
+                    self.entries[i] = (len(read) - k, i, i.to_bytes(4, "little"), dict(ANY))
+                ends.append(self.entries[i])
+        found = self.steps[read] = read[at:], tuple(ends)
+        return found
 
     def encode_words(self, words: list[str]) -> dict[str, bytes]:
         """Ids of distinct words (32-bit little-endian), sorted so that common prefixes are passed once."""
         out: dict[str, bytes] = {}
-        # State at prefix length k: score, last piece (-1: an unknown character, -2: none), its length.
-        score, last, size = [0.0], [-2], [0]
+        # State at prefix length k: score, last piece (-1: an unknown character, -2: none), its length, its ids as bytes, open end.
+        longest = max(map(len, words), default=0) + 1
+        score, last, size, made, open_at = [0.0] * longest, [-2] * longest, [0] * longest, [b""] * longest, [""] * longest
         before = ""
-        get, scores, ending, bpe, pairs, solid = self.ids.get, self.scores, self.ending.get, self.kind == BPE, self.pairs, self.solid
-        short, worst, pack = (2, 1), min(scores, default=0.0) - 10.0, array
+        steps, scores, bpe, worst = self.steps, self.scores, self.kind == BPE, min(self.scores, default=0.0) - 10.0
         for word in sorted(words):
-            k, most = 0, min(len(word), len(before))
-            while k < most and word[k] == before[k]:
-                k += 1
-            del score[k + 1 :], last[k + 1 :], size[k + 1 :]
-            for end in range(k + 1, len(word) + 1):
-                piece, length, top = -1, 1, score[end - 1] + worst
-                for n in ending(word[end - 3 : end], short) if end > 2 else short:
-                    if n > end or (i := get(word[end - n : end])) is None:
-                        continue
-                    a = last[end - n]
-                    if bpe:
-                        if a >= 0 and not (pairs[a, i] if (a, i) in pairs else self.may_follow(a, i)):
-                            continue
-                        if n > 1 and not (solid[i] if i in solid else self.is_solid(i)):
-                            continue
-                        piece, length = i, n
-                        break
-                    if score[end - n] + scores[i] > top or piece < 0 and n == 1:
-                        piece, length, top = i, n, score[end - n] + scores[i]
-                score.append(0.0 if bpe else top)
-                last.append(piece)
-                size.append(length)
+            end = 0
+            for c, d in zip(word, before):  # noqa: B905
+                if c != d:
+                    break
+                end += 1
+            at = open_at[end]
+            for c in word[end:]:
+                end += 1
+                at, ends = steps.get(at + c) or self.step(at + c)
+                open_at[end] = at
+                if bpe:
+                    for n, i, ids, follows in ends:
+                        a = last[end - n]
+                        if (may := follows.get(a)) or may is None and self.may_follow(a, i):
+                            last[end], size[end], made[end] = i, n, ids
+                            break
+                    else:
+                        last[end] = -1
+                else:
+                    last[end], score[end] = -1, score[end - 1] + worst
+                    for n, i, ids, _ in ends:
+                        if (total := score[end - n] + scores[i]) > score[end] or last[end] < 0 and n == 1:
+                            last[end], size[end], made[end], score[end] = i, n, ids, total
+                if last[end] < 0:
+                    # Neighbouring unknown characters are one piece, where there are no bytes.
+                    size[end], made[end] = 1, b"" if last[end - 1] == -1 and not self.bytes else self._unknown_char(c)
             before = word
-            end, found = len(word), []
+            found = []
             while end:
-                if last[end] >= 0:
-                    found.append(last[end])
-                elif self.bytes or not (found and found[-1] == self.unknown):  # neighbouring unknowns are one piece
-                    found += reversed(self._unknown_char(word[end - 1]))
+                found.append(made[end])
                 end -= size[end]
             found.reverse()
-            out[word] = pack("I", found).tobytes()
+            out[word] = b"".join(found)
         return out
 
     def split(self, normal: str) -> list[str]:
@@ -213,9 +267,13 @@ class Model:
             self.old_words, self.words = words, {}
             words = self.words
             missing = set(chain.from_iterable(split))
-        old = self.old_words
-        words.update((w, old[w]) for w in missing if w in old)
-        words.update(self.encode_words([w for w in missing if w not in old]))
+        old, fresh = self.old_words, []
+        for w in missing:
+            if (ids := old.get(w)) is None:
+                fresh.append(w)
+            else:
+                words[w] = ids
+        words.update(self.encode_words(fresh))
         return [np.frombuffer(b"".join(map(words.__getitem__, ws)), "<u4") for ws in split]
 
     def decode(self, ids: np.ndarray) -> str:
@@ -246,7 +304,7 @@ def model(path: str) -> Model:
     return _models[path]
 
 
-def _batches(b: pa.RecordBatch, most: int = 1 << 19) -> Iterator[tuple[int, list[str]]]:
+def _batches(b: pa.RecordBatch, most: int = 1 << 21) -> Iterator[tuple[int, list[str]]]:
     """Rows of a batch in runs of a bounded number of characters (or one text)."""
     at, run, held = 0, [], 0
     for k, t in enumerate(b.column(1)):

@@ -230,6 +230,49 @@ def test_sentencepiece_of_odd_rows(spark, docs):
     assert sorted(((r.doc_id, r.text) for r in back.collect()), key=str) == sorted([(None, "a b"), (1, None), (1, "x"), (1, "x")], key=str)
 
 
+def test_sentencepiece_merges_each_piece_once(monkeypatch):
+    path = tokenizer_file("piece_bpe_32k.model")
+    m = sentencepiece.Model(path)
+    merged = []
+    monkeypatch.setattr(m, "merge", lambda x, f=m.merge: merged.append(x) or f(x))
+    r = random.Random(4)
+    parts = r.sample(sorted(p for p in m.ids if p.isalpha() and p.isascii()), 400)
+    texts = [" ".join("".join(r.choices(parts, k=r.randint(1, 4))) for _ in range(300)) for _ in range(10)] + ["\n\n  a\x00\u2581\u65e5\u672c\U0001f600b ", "ab" * 3000, ""]
+    assert [x.tolist() for x in m.encode(texts)] == [m.library.encode(x) for x in texts]
+    assert len(merged) == len(set(merged)) and set(merged) <= set(m.pieces)  # no pair of pieces is merged anew
+
+
+def test_pieces_stay_apart_as_merging_them_tells():
+    class Pieces(sentencepiece.Model):
+        def __init__(self, pieces, scores):
+            self.pieces, self.scores, self.merged = pieces, scores, {}
+            self.ids = {p: i for i, p in enumerate(pieces)}
+
+    told = set()
+    for seed in range(60):  # few scores, so ties, and not in the order of lengths
+        r = random.Random(seed)
+        pieces = ["a", "b", "c", *sorted({"".join(r.choices("abc", k=r.randint(2, 5))) for _ in range(r.randint(3, 25))})]
+        m = Pieces(pieces, [float(-r.randint(0, 4)) for _ in pieces])
+        own = [i for i in range(len(pieces)) if m.merge_piece(i)[0] == [pieces[i]]]
+        for a in own:
+            for b in own:
+                told.add(want := m.merge(pieces[a] + pieces[b])[0] == [pieces[a], pieces[b]])
+                assert m.stay_apart(a, b) == want
+    assert told == {True, False}
+
+
+def test_sentencepiece_keeps_little_and_gives_the_same(monkeypatch):
+    path = tokenizer_file("piece_bpe_32k.model")
+    monkeypatch.setattr(sentencepiece, "STEPS_KEPT", 20)
+    monkeypatch.setattr(sentencepiece, "PAIRS_KEPT", 20)
+    monkeypatch.setattr(sentencepiece, "WORDS_KEPT", 20)
+    m = sentencepiece.Model(path)
+    texts = [x or "" for _, x in DOCS]
+    for at in range(0, len(texts), 3):
+        assert [x.tolist() for x in m.encode(texts[at : at + 3])] == [m.library.encode(x) for x in texts[at : at + 3]]
+    assert len(m.steps) <= 20 and m.pairs <= 20
+
+
 def components(links, ids):
     up = {i: i for i in ids}
 
