@@ -88,14 +88,17 @@ class Model:
         with open(path, "rb") as f:
             self.kind = model_kind(f.read())
         self.beginnings = {p[:k] for p in self.ids for k in range(len(p) + 1)}
-        self.steps: dict[str, tuple[str, tuple]] = {}
+        # By open end, itself at "" and steps by the next character; how many such steps.
+        self.states: dict[str, dict] = {"": {"": ""}}
+        self.steps = 0
         self.crossing = any(re.search(f"[^{MARK}]{MARK}", p) for p in self.ids)
         # By piece: its length, id, id as bytes, what it may follow or not. How many such pairs; how each piece merges.
         self.entries: dict[int, tuple[int, int, bytes, dict[int, bool]]] = {}
         self.pairs = 0
         self.merged: dict[int, tuple[list[str], list[tuple[float, str, str]]]] = {}
         self.byte_of = {i: b for b, i in self.bytes.items()}
-        self.high = np.array([i for b, i in self.bytes.items() if b > 127], np.int64)
+        self.high = np.zeros(n, bool)
+        self.high[[i for b, i in self.bytes.items() if b > 127]] = True
         self.texts = ["" if i in special else chr(self.byte_of[i]) if i in self.byte_of else p.replace(MARK, " ") for i, p in enumerate(self.pieces)]
         if self.unknown >= 0:
             self.texts[self.unknown] = " ⁇ "
@@ -186,14 +189,18 @@ class Model:
         raw = c.encode("utf-8", "surrogatepass")
         return array("I", [self.bytes[x] for x in raw] if self.bytes else [self.unknown]).tobytes()
 
-    def step(self, read: str) -> tuple[str, tuple]:
-        """The longest end of ``read`` that begins a piece, and the pieces ``read`` ends in, longest first.
+    def step(self, state: dict, c: str) -> tuple[dict, tuple]:
+        """After a state and the next character: the state of the longest end that begins a piece, and the pieces it ends in, longest first.
 
-        ``read`` is such an end and the next character. A BPE piece that merging doesn't give is left out.
+        A BPE piece that merging doesn't give is left out.
         """
-        if len(self.steps) >= STEPS_KEPT:
-            self.steps.clear()
-        at = 0
+        if self.steps >= STEPS_KEPT:
+            for end, known in self.states.items():
+                known.clear()
+                known[""] = end
+            self.steps = 0
+        self.steps += 1
+        read, at = state[""] + c, 0
         while read[at:] not in self.beginnings:
             at += 1
         ends = []
@@ -203,17 +210,17 @@ class Model:
                 if i not in self.entries:
                     self.entries[i] = (len(read) - k, i, i.to_bytes(4, "little"), dict(ANY))
                 ends.append(self.entries[i])
-        found = self.steps[read] = read[at:], tuple(ends)
+        found = state[c] = self.states.setdefault(read[at:], {"": read[at:]}), tuple(ends)
         return found
 
     def encode_words(self, words: list[str]) -> dict[str, bytes]:
         """Ids of distinct words (32-bit little-endian), sorted so that common prefixes are passed once."""
         out: dict[str, bytes] = {}
-        # State at prefix length k: score, last piece (-1: an unknown character, -2: none), its length, its ids as bytes, open end.
+        # State at prefix length k: score, last piece (-1: an unknown character, -2: none), its length, its ids as bytes, its open end's.
         longest = max(map(len, words), default=0) + 1
-        score, last, size, made, open_at = [0.0] * longest, [-2] * longest, [0] * longest, [b""] * longest, [""] * longest
+        score, last, size, made, open_at = [0.0] * longest, [-2] * longest, [0] * longest, [b""] * longest, [self.states[""]] * longest
         before = ""
-        steps, scores, bpe, worst = self.steps, self.scores, self.kind == BPE, min(self.scores, default=0.0) - 10.0
+        scores, bpe, worst = self.scores, self.kind == BPE, min(self.scores, default=0.0) - 10.0
         for word in sorted(words):
             end = 0
             for c, d in zip(word, before):  # noqa: B905
@@ -223,7 +230,7 @@ class Model:
             at = open_at[end]
             for c in word[end:]:
                 end += 1
-                at, ends = steps.get(at + c) or self.step(at + c)
+                at, ends = at.get(c) or self.step(at, c)
                 open_at[end] = at
                 if bpe:
                     for n, i, ids, follows in ends:
@@ -261,24 +268,25 @@ class Model:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [self.split(self.normalize(t)) for t in texts]
-        words = self.words
-        missing = set(chain.from_iterable(split)).difference(words)
-        if len(words) + len(missing) > WORDS_KEPT:  # the kept words become the older ones, and stay while they are in use
-            self.old_words, self.words = words, {}
-            words = self.words
-            missing = set(chain.from_iterable(split))
-        old, fresh = self.old_words, []
+        known = [list(map(self.words.get, ws)) for ws in split]
+        missing = {w for ws, ids in zip(split, known, strict=True) for w, x in zip(ws, ids, strict=True) if x is None}
+        if len(self.words) + len(missing) > WORDS_KEPT:  # the kept words become the older ones, and stay if they are used again
+            self.old_words, self.words = self.words, {}
+        words, old, fresh = self.words, self.old_words, []
         for w in missing:
             if (ids := old.get(w)) is None:
                 fresh.append(w)
             else:
                 words[w] = ids
         words.update(self.encode_words(fresh))
-        return [np.frombuffer(b"".join(map(words.__getitem__, ws)), "<u4") for ws in split]
+        for ws, ids in zip(split, known, strict=True):
+            if None in ids:
+                ids[:] = [words[w] if x is None else x for w, x in zip(ws, ids, strict=True)]
+        return [np.frombuffer(b"".join(ids), "<u4") for ids in known]
 
     def decode(self, ids: np.ndarray) -> str:
         """Pieces joined, byte pieces as UTF-8 (a malformed byte becomes U+FFFD), marks as spaces without the first."""
-        if not len(self.high) or not np.isin(ids, self.high).any():
+        if not self.high[ids].any():
             text = "".join(map(self.texts.__getitem__, ids.tolist()))
         else:
             out, raw = [], bytearray()
